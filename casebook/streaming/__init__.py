@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The modelled workloads have no stream source, watermark, event-time window or
+late-data rule; "real-time" allocation in the bank scenario is a batch daily sum
+(``casebook.operators.ledger.allocation_daily``). Everything runs as batch
+DataFrame jobs, which also run unchanged inside ``foreachBatch`` if a caller feeds
+them from a stream.
+"""
