@@ -247,7 +247,8 @@ def q_prep_by_items(spark, d):
 def q_avg_distance(spark, d):
     per_order = _order_times(spark, d).select("order_id", "customer_id")
     j = per_order.join(_delivered(spark, d).select("order_id", "distance"), "order_id")
-    return j.groupBy("customer_id").agg(F.round(F.avg(F.col("distance").cast("double")), 4).alias("avg_distance_km"))
+    # decimal average (exact, rounded half-up), not a double: no binary rounding surprises
+    return j.groupBy("customer_id").agg(F.avg("distance").cast("decimal(12,4)").alias("avg_distance_km"))
 
 
 @query("delivery_duration_range")
