@@ -104,12 +104,12 @@ def top_k_items(df: DataFrame, item, k: int = 1, by=None, count_name: str = "n",
     order = [F.col(count_name).desc()] + [F.col(i).asc() for i in items]
     if not by:
         if ties == "all":
-            w = Window.orderBy(F.col(count_name).desc())
-            # k is small and the input is the per-item count table
+            # the k-th largest count (a one-row aggregate), then every item reaching it
             top = counts.orderBy(*order).limit(k).agg(F.min(count_name).alias("_kth"))
             return counts.join(one_row(top), F.col(count_name) >= F.col("_kth")).drop("_kth")
         return counts.orderBy(*order).limit(k)
-    w = Window.partitionBy(*by).orderBy(*order)
+    # ties="all": rank on the count alone, so equal counts share a rank
+    w = Window.partitionBy(*by).orderBy(*(order[:1] if ties == "all" else order))
     rk = F.rank() if ties == "all" else F.row_number()
     rn = rank_name or "_rk"
     out = counts.withColumn(rn, rk.over(w)).filter(F.col(rn) <= k)

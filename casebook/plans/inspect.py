@@ -25,11 +25,12 @@ def count_nodes(df: DataFrame, pattern: str) -> int:
 def exchanges(df: DataFrame) -> dict[str, int]:
     """Counts of shuffle (hash/range/single), broadcast exchanges and Python
     evaluation nodes in the physical plan (before AQE re-planning)."""
-    text = physical_plan(df)
+    text = physical_plan(df, "simple")
     return {
         "hash": len(re.findall(r"Exchange hashpartitioning", text)),
         "range": len(re.findall(r"Exchange rangepartitioning", text)),
         "single": len(re.findall(r"Exchange SinglePartition", text)),
         "broadcast": len(re.findall(r"BroadcastExchange", text)),
+        "reused": len(re.findall(r"ReusedExchange", text)),
         "python": len(re.findall(r"(BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas)", text)),
     }
