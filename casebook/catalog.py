@@ -34,6 +34,11 @@ BILLING_HORIZON = "2001-12-31"
 LEDGER_END = "2024-01-31"
 N_PIZZAS = A.N_PIZZAS
 
+
+def _month_bucket(col: str = "start_date"):
+    """Time bucket that splits a hot customer's change history across tasks."""
+    return F.trunc(F.col(col), "month")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -386,7 +391,8 @@ def q_churn_only_joins(spark, d):
 
 @query("churn_right_after_trial")
 def q_churn_after_trial(spark, d):
-    t = SQ.plan_transitions(_subs(spark, d), "customer_id", "start_date", "plan_id", "sub_seq", nxt=False)
+    t = SQ.plan_transitions(_subs(spark, d), "customer_id", "start_date", "plan_id", "sub_seq", nxt=False,
+                            bucket=_month_bucket())
     hit = (F.col("prev_plan_id") == 0) & (F.col("plan_id") == 4)
     return t.agg(F.count_if(hit).alias("n_churned_after_trial"),
                  F.countDistinct("customer_id").alias("n_customers")) \
@@ -395,7 +401,8 @@ def q_churn_after_trial(spark, d):
 
 @query("plan_after_trial")
 def q_plan_after_trial(spark, d):
-    t = SQ.plan_transitions(_subs(spark, d), "customer_id", "start_date", "plan_id", "sub_seq", prev=False)
+    t = SQ.plan_transitions(_subs(spark, d), "customer_id", "start_date", "plan_id", "sub_seq", prev=False,
+                            bucket=_month_bucket())
     trial = t.filter((F.col("plan_id") == 0) & F.col("next_plan_id").isNotNull())
     return AG.share_of_total(trial, F.lit(True), by="next_plan_id", within="all",
                              n_name="n", total_name="n_trials_with_next", pct_name="pct")
@@ -431,12 +438,12 @@ def q_days_buckets(spark, d):
 @query("downgrades_in_year")
 def q_downgrades(spark, d):
     return SQ.count_transitions(_subs(spark, d), "customer_id", "start_date", "plan_id", 2, 1, "sub_seq",
-                                year=REPORT_YEAR, name="n_downgrades")
+                                year=REPORT_YEAR, name="n_downgrades", bucket=_month_bucket())
 
 
 @query("payment_ledger")
 def q_ledger(spark, d):
-    return BI.billing_ledger(_subs(spark, d), A.plans(spark), BILLING_HORIZON)
+    return BI.billing_ledger(_subs(spark, d), A.plans(spark), BILLING_HORIZON, bucket=_month_bucket())
 
 
 # ====================================================================== bank

@@ -5,7 +5,8 @@ plan class. Here one row per subscription change is expanded in place: a
 higher-order ``aggregate`` builds the array of payment dates and ``posexplode``
 emits them, so the whole expansion is narrow (no join, no recursion, no shuffle).
 The only exchange of the ledger is the hash partitioning on the customer that the
-``lead`` needs; the ``lag`` over payments reuses it.
+``lead``/``lag`` over change rows need (or, for hot customers, the (customer,
+bucket) partitioning of :func:`casebook.operators.sequence.shift_rows`).
 """
 
 from __future__ import annotations
@@ -13,10 +14,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casebook.operators.sequence import plan_transitions
+from casebook.operators.sequence import shift_rows
 
 
 def payment_dates(start, end, step_months) -> Column:
@@ -52,25 +53,36 @@ def billing_ledger(subs: DataFrame, plans: DataFrame, horizon: str, key: str = "
                    date: str = "start_date", state: str = "plan_id", tiebreak: str | None = "sub_seq",
                    monthly: Sequence[int] = (1, 2), yearly: Sequence[int] = (3,),
                    upgrade_from: int = 1, upgrade_to: Sequence[int] = (2, 3),
-                   credit: Decimal | float = Decimal("9.90")) -> DataFrame:
+                   credit: Decimal | float = Decimal("9.90"), bucket: Column | None = None) -> DataFrame:
     """Every payment: customer_id, plan_id, payment_date, amount_paid DECIMAL(5,2).
 
     Rule: a paid plan bills on its start day and then every month (``monthly``) or
     year (``yearly``) while the date is before the customer's next change, or before
     ``horizon`` when there is none. A payment for an ``upgrade_to`` plan whose
     previous payment was for ``upgrade_from`` is reduced by ``credit``.
+
+    The previous payment needs no window over payments: the payments of one paid
+    change all fall before the next change, so the first payment of a change
+    follows the last payment of the previous *paid* change, and every later payment
+    follows one of its own plan. Both neighbours therefore come from windows over the
+    change rows (bounded per key by the number of changes, and split by ``bucket``
+    for hot keys); the payments themselves are generated narrowly and never sorted.
     """
     tb = [tiebreak] if tiebreak else []
-    t = plan_transitions(subs.select(key, date, state, *tb), key, date, state, tb, prev=False)
-    paid = t.filter(F.col(state).isin(list(monthly) + list(yearly)))
+    paid_states = list(monthly) + list(yearly)
+    base = subs.select(key, date, state, *tb).withColumn(
+        "_paid", F.when(F.col(state).isin(paid_states), F.col(state)))
+    # one pass over the change rows: the next change (any plan) and the plan of the
+    # last earlier paid change (a carried last-non-NULL value)
+    t = shift_rows(base, key, [date, *tb], [date], prev=False, nxt=True, bucket=bucket, carry=["_paid"])
+    paid = t.filter(F.col(state).isin(paid_states)).withColumnRenamed("last__paid", f"prev_{state}")
     step = F.when(F.col(state).isin(list(yearly)), F.lit(12)).otherwise(F.lit(1))
     end = F.coalesce(F.col(f"next_{date}"), F.lit(horizon).cast("date"))
-    pay = paid.select(key, state, *tb,
+    pay = paid.select(key, state, f"prev_{state}",
                       F.posexplode(payment_dates(F.col(date), end, step)).alias("_pos", "payment_date"))
     j = pay.join(plans.select(F.col("plan_id").alias(state) if state != "plan_id" else "plan_id", "price"), state)
-    w = Window.partitionBy(key).orderBy("payment_date", *tb, "_pos")
-    prev = F.lag(state).over(w)
-    amount = F.when(F.col(state).isin(list(upgrade_to)) & (prev == F.lit(upgrade_from)),
+    prev_payment_plan = F.when(F.col("_pos") == 0, F.col(f"prev_{state}")).otherwise(F.col(state))
+    amount = F.when(F.col(state).isin(list(upgrade_to)) & (prev_payment_plan == F.lit(upgrade_from)),
                     F.col("price") - F.lit(credit)).otherwise(F.col("price"))
     return j.select(F.col(key).alias("customer_id"), F.col(state).alias("plan_id"), "payment_date",
                     amount.cast("decimal(5,2)").alias("amount_paid"))

@@ -80,28 +80,82 @@ def totals_before_anchor(facts: DataFrame, anchors: DataFrame, key, date: str, a
 
 # ---------------------------------------------------------------- O13
 
+def shift_rows(df: DataFrame, key, order, cols, prev: bool = True, nxt: bool = True,
+               bucket: Column | None = None, carry=()) -> DataFrame:
+    """Adds ``prev_<c>`` (lag) and/or ``next_<c>`` (lead) for each column of ``cols``,
+    one row back/forward per ``key`` in ``order``, and ``last_<c>`` for each column
+    of ``carry``: the last non-NULL value of ``c`` strictly before the row.
+
+    Without ``bucket``: one window partitioned by the key (one hash exchange).
+
+    With ``bucket`` (an expression non-decreasing in ``order``, e.g. the month of
+    the date): a hot key is split into (key, bucket) window partitions, so its rows
+    are processed by many tasks. Rows at a bucket edge take their neighbour (and the
+    carried values) from a per-(key, bucket) summary: first row, last row and last
+    non-NULL carried values, each a partial-aggregated ``min``/``max`` of a struct,
+    shifted by one bucket with a window over the summary, whose rows per key are
+    bounded by the number of buckets.
+    """
+    keys, order, cols, carry = _cols(key), _cols(order), _cols(cols), _cols(carry)
+    ordered = [F.col(c) for c in order]
+    if bucket is None:
+        w = Window.partitionBy(*keys).orderBy(*ordered)
+        out = df
+        for c in cols:
+            if prev:
+                out = out.withColumn(f"prev_{c}", F.lag(c).over(w))
+            if nxt:
+                out = out.withColumn(f"next_{c}", F.lead(c).over(w))
+        before = w.rowsBetween(Window.unboundedPreceding, -1)
+        for c in carry:
+            out = out.withColumn(f"last_{c}", F.last(c, ignorenulls=True).over(before))
+        return out
+    t = df.withColumn("_bkt", bucket)
+    okey = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
+    edge = F.struct(*okey, *[F.col(c).alias(f"_v{i}") for i, c in enumerate(cols)])
+    aggs = [F.min(edge).alias("_first"), F.max(edge).alias("_last")]
+    aggs += [F.max(F.when(F.col(c).isNotNull(), F.struct(*okey, F.col(c).alias("_v")))).alias(f"_lc{i}")
+             for i, c in enumerate(carry)]
+    summary = t.groupBy(*keys, "_bkt").agg(*aggs)
+    wb = Window.partitionBy(*keys).orderBy("_bkt")
+    wb_before = wb.rowsBetween(Window.unboundedPreceding, -1)
+    summary = summary.select(
+        *keys, "_bkt", F.lag("_last").over(wb).alias("_prev_last"), F.lead("_first").over(wb).alias("_next_first"),
+        *[F.last(F.col(f"_lc{i}")["_v"], ignorenulls=True).over(wb_before).alias(f"_carry{i}")
+          for i in range(len(carry))])
+    j = t.join(summary, [*keys, "_bkt"])
+    w = Window.partitionBy(*keys, "_bkt").orderBy(*ordered)
+    is_first = F.lag(F.lit(1)).over(w).isNull()
+    is_last = F.lead(F.lit(1)).over(w).isNull()
+    out = j
+    for i, c in enumerate(cols):
+        if prev:
+            out = out.withColumn(f"prev_{c}", F.when(is_first, F.col("_prev_last")[f"_v{i}"]).otherwise(F.lag(c).over(w)))
+        if nxt:
+            out = out.withColumn(f"next_{c}", F.when(is_last, F.col("_next_first")[f"_v{i}"]).otherwise(F.lead(c).over(w)))
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    for i, c in enumerate(carry):
+        out = out.withColumn(f"last_{c}", F.coalesce(F.last(c, ignorenulls=True).over(before), F.col(f"_carry{i}")))
+    return out.drop("_bkt", "_prev_last", "_next_first", *[f"_carry{i}" for i in range(len(carry))])
+
+
 def plan_transitions(subs: DataFrame, key, date: str, state: str, tiebreak=None,
-                     prev: bool = True, nxt: bool = True) -> DataFrame:
+                     prev: bool = True, nxt: bool = True, bucket: Column | None = None) -> DataFrame:
     """Adds ``prev_<state>``/``prev_<date>`` and ``next_<state>``/``next_<date>``.
 
     Ordered by ``date`` then ``tiebreak`` (two changes on one day need one). One
-    hash exchange on ``key``; lag and lead share the same window.
+    hash exchange on ``key``; lag and lead share the same window. ``bucket`` (e.g.
+    ``F.trunc(date, "month")``) splits hot keys, see :func:`shift_rows`.
     """
-    keys = _cols(key)
-    w = Window.partitionBy(*keys).orderBy(F.col(date), *[F.col(c) for c in _cols(tiebreak)])
-    out = subs
-    if prev:
-        out = out.withColumn(f"prev_{state}", F.lag(state).over(w)).withColumn(f"prev_{date}", F.lag(date).over(w))
-    if nxt:
-        out = out.withColumn(f"next_{state}", F.lead(state).over(w)).withColumn(f"next_{date}", F.lead(date).over(w))
-    return out
+    return shift_rows(subs, key, [date, *_cols(tiebreak)], [state, date], prev, nxt, bucket)
 
 
 def count_transitions(subs: DataFrame, key, date: str, state: str, frm, to, tiebreak=None,
-                      year: int | None = None, name: str = "n_transitions") -> DataFrame:
+                      year: int | None = None, name: str = "n_transitions",
+                      bucket: Column | None = None) -> DataFrame:
     """Number of changes ``frm`` -> ``to`` (consecutive states), optionally only the
     changes dated in ``year``. One row."""
-    t = plan_transitions(subs, key, date, state, tiebreak, nxt=False)
+    t = plan_transitions(subs, key, date, state, tiebreak, nxt=False, bucket=bucket)
     cond = (F.col(f"prev_{state}") == F.lit(frm)) & (F.col(state) == F.lit(to))
     if year is not None:
         cond = cond & (F.year(date) == F.lit(year))

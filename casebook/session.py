@@ -26,6 +26,7 @@ def get_session(master: str | None = None, app: str = "casebook",
         b = b.master(master)
     conf = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.ansi.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from casebook.plans.broadcast import literal_table
 from casebook.sources.tables import read_table
@@ -105,13 +104,18 @@ def customer_nodes(spark: SparkSession, d: str) -> DataFrame:
     o = read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     c = read_table(spark, d, "customer", "c_custkey", "c_nationkey")
     n = read_table(spark, d, "nation", "n_nationkey", "n_regionkey")
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    return (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
-             .select(F.col("o_custkey").alias("customer_id"),
-                     F.col("n_regionkey").alias("region_id"),
-                     (F.col("o_orderkey") % 5 + 1).cast("int").alias("node_id"),
-                     _date("o_orderdate").alias("start_date"),
-                     F.coalesce(F.lead(_date("o_orderdate")).over(w), F.lit(OPEN_END).cast("date")).alias("end_date")))
+    # the next order comes from a bucketed lead, so one very active customer is
+    # split by month across tasks (see casebook.operators.sequence.shift_rows)
+    from casebook.operators.sequence import shift_rows
+    base = o.select("o_custkey", "o_orderkey", _date("o_orderdate").alias("start_date"))
+    nxt = shift_rows(base, "o_custkey", ["start_date", "o_orderkey"], ["start_date"], prev=False,
+                     bucket=F.trunc("start_date", "month"))
+    return (nxt.join(c, nxt.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
+               .select(F.col("o_custkey").alias("customer_id"),
+                       F.col("n_regionkey").alias("region_id"),
+                       (F.col("o_orderkey") % 5 + 1).cast("int").alias("node_id"),
+                       "start_date",
+                       F.coalesce(F.col("next_start_date"), F.lit(OPEN_END).cast("date")).alias("end_date")))
 
 
 def _txn_type_from_status():

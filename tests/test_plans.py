@@ -23,8 +23,12 @@ def test_no_python_no_single_partition(spark, name):
 
 
 def test_ledger_one_shuffle(spark):
-    ex = exchanges(QUERIES["payment_ledger"](spark, SF_SMALL))
-    assert ex["hash"] == 1 and ex["single"] == 0
+    """Unsplit ledger: a single hash exchange on the customer (the payment rows are
+    generated narrowly and never sorted) plus the broadcast literal plan table."""
+    from casebook.operators import billing as BI
+    from casebook.sources import adapters as A
+    ex = exchanges(BI.billing_ledger(A.subscriptions(spark, SF_SMALL), A.plans(spark), "2001-12-31"))
+    assert ex["hash"] == 1 and ex["single"] == 0 and ex["broadcast"] == 1
 
 
 def test_scans_are_pruned(spark):
