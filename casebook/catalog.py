@@ -126,8 +126,12 @@ def q_points_week(spark, d):
 
 # ====================================================================== delivery
 
-def _lines(spark, d):
-    return CL.clean_customer_orders(A.customer_orders_raw(spark, d))
+def _lines(spark, d, line_ids: bool = False):
+    """Clean order lines. Line ids only when a query addresses single lines; they are
+    numbered per order in (order, customer, pizza) groups so one huge order is
+    still spread over many tasks."""
+    return CL.clean_customer_orders(A.customer_orders_raw(spark, d), line_id="line_id" if line_ids else None,
+                                    split_prefix=2)
 
 
 def _deliveries(spark, d):
@@ -138,8 +142,8 @@ def _delivered(spark, d):
     return _deliveries(spark, d).filter(F.col("cancellation").isNull())
 
 
-def _delivered_lines(spark, d):
-    return _lines(spark, d).join(_delivered(spark, d).select("order_id"), "order_id", "left_semi")
+def _delivered_lines(spark, d, line_ids: bool = False):
+    return _lines(spark, d, line_ids).join(_delivered(spark, d).select("order_id"), "order_id", "left_semi")
 
 
 def _ratings(spark, d):
@@ -212,7 +216,7 @@ def q_clean_runner(spark, d):
 
 @query("clean_customer_orders")
 def q_clean_orders(spark, d):
-    return _lines(spark, d).select("order_id", "customer_id", "pizza_id",
+    return _lines(spark, d, True).select("order_id", "customer_id", "pizza_id",
                                    F.array_join("exclusions", ",").alias("exclusions"),
                                    F.array_join("extras", ",").alias("extras"),
                                    "order_time", "line_id")
@@ -301,7 +305,7 @@ def q_top_exclusion(spark, d):
 @query("order_line_labels")
 def q_line_labels(spark, d):
     m = CL.dictionary_map(A.TOPPINGS)
-    j = _lines(spark, d).join(A.pizza_names(spark, d), "pizza_id")
+    j = _lines(spark, d, True).join(A.pizza_names(spark, d), "pizza_id")
     label = CL.line_label("pizza_name", [("Exclude", CL.decode_array("exclusions", m)),
                                          ("Extra", CL.decode_array("extras", m))])
     return j.select("order_id", "line_id", label.alias("label"))
@@ -309,7 +313,7 @@ def q_line_labels(spark, d):
 
 @query("ingredient_bill")
 def q_bill(spark, d):
-    return RE.ingredient_bill(_lines(spark, d), A.pizza_recipes(spark, d), A.pizza_names(spark, d), A.TOPPINGS)
+    return RE.ingredient_bill(_lines(spark, d, True), A.pizza_recipes(spark, d), A.pizza_names(spark, d), A.TOPPINGS)
 
 
 @query("ingredient_usage_delivered")
@@ -321,7 +325,7 @@ def q_usage(spark, d):
 def q_usage_setops(spark, d):
     """Same totals as ``ingredient_usage_delivered`` with set operators over
     exploded rows: (base EXCEPT exclusions) UNION ALL extras, then one count."""
-    lines = _delivered_lines(spark, d)
+    lines = _delivered_lines(spark, d, True)
     k = ["order_id", "line_id"]
     base = lines.join(CL.bridge_table(A.pizza_recipes(spark, d)), "pizza_id").select(*k, "topping_id")
     excl = CL.explode_list(lines, "exclusions", keep=k, out="topping_id", parsed=True)

@@ -41,11 +41,12 @@ def clean_runner_orders(raw: DataFrame, ts_format: str = "yyyy-MM-dd HH:mm:ss")
 
 
 def clean_customer_orders(raw: DataFrame, list_cols: Sequence[str] = ("exclusions", "extras"),
-                          partition: str = "order_id", line_id: str = "line_id") -> DataFrame:
-    """Parse the list columns into ``array<int>`` and number the lines of each order
-    (see :func:`with_row_id`; numbered on the raw text so the id does not depend on
-    how a list was spelled)."""
-    numbered = with_row_id(raw, partition, name=line_id)
+                          partition: str = "order_id", line_id: str | None = "line_id",
+                          split_prefix: int = 0) -> DataFrame:
+    """Parse the list columns into ``array<int>`` and (when ``line_id`` is given)
+    number the lines of each order (see :func:`with_row_id`; numbered on the raw text
+    so the id does not depend on how a list was spelled)."""
+    numbered = with_row_id(raw, partition, name=line_id, split_prefix=split_prefix) if line_id else raw
     return numbered.withColumns({c: split_list(c) for c in list_cols})
 
 
@@ -114,12 +115,28 @@ def line_label(name_col, parts: Sequence[tuple[str, Column]]) -> Column:
 # ---------------------------------------------------------------- O15
 
 def with_row_id(df: DataFrame, partition: str, order_cols: Sequence[str] | None = None,
-                name: str = "line_id") -> DataFrame:
+                name: str = "line_id", split_prefix: int = 0) -> DataFrame:
     """Stable line number within ``partition`` (e.g. order_id), ordered by all other
     columns. Recomputing gives the same ids (rows that tie on every column are
     identical, so swapping them changes nothing), and the numbering is parallel by
     key instead of the single-partition global ``ROW_NUMBER() OVER (ORDER BY ...)``.
+
+    ``split_prefix=n`` protects against one huge partition: rows are numbered inside
+    (partition, first n order columns) groups and shifted by the row count of the
+    earlier groups, taken from a per-group count (a partial-aggregated summary whose
+    window has one row per group).
     """
     order_cols = list(order_cols) if order_cols is not None else [c for c in df.columns if c != partition]
-    w = Window.partitionBy(partition).orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
-    return df.withColumn(name, F.row_number().over(w))
+    if split_prefix <= 0:
+        w = Window.partitionBy(partition).orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
+        return df.withColumn(name, F.row_number().over(w))
+    head, tail = order_cols[:split_prefix], order_cols[split_prefix:]
+    counts = df.groupBy(partition, *head).agg(F.count(F.lit(1)).alias("_n"))
+    wg = (Window.partitionBy(partition).orderBy(*[F.col(c).asc_nulls_first() for c in head])
+          .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(*[F.col(c).alias(f"_g_{c}") for c in [partition, *head]],
+                            F.coalesce(F.sum("_n").over(wg), F.lit(0)).alias("_off"))
+    cond = [df[c].eqNullSafe(offsets[f"_g_{c}"]) for c in [partition, *head]]
+    j = df.join(offsets, cond).drop(*[f"_g_{c}" for c in [partition, *head]])
+    w = Window.partitionBy(partition, *head).orderBy(*[F.col(c).asc_nulls_first() for c in tail])
+    return j.withColumn(name, (F.row_number().over(w) + F.col("_off")).cast("int")).drop("_off")

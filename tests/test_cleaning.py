@@ -81,3 +81,17 @@ def test_clean_runner_orders(spark):
     assert got[0] == (1, dt.datetime(2020, 1, 1, 18, 15, 34), Decimal("20.00"), 32, None)
     assert got[1] == (6, None, None, None, "Restaurant Cancellation")
     assert got[3] == (8, dt.datetime(2020, 1, 10, 0, 15, 2), Decimal("23.40"), 15, None)
+
+
+def test_row_id_split_equals_plain(spark):
+    from casebook.sources import adapters as A
+    from conftest import SF_SMALL
+    raw = A.customer_orders_raw(spark, SF_SMALL)
+    # one order holding many lines, with NULLs in the split columns
+    hot = raw.select(F.lit(-1).cast("bigint").alias("order_id"), F.lit(None).cast("bigint").alias("customer_id"),
+                     "pizza_id", "exclusions", "extras", "order_time")
+    df = raw.unionByName(hot)
+    from collections import Counter
+    plain = Counter(tuple(r) for r in CL.with_row_id(df, "order_id").collect())
+    split = Counter(tuple(r) for r in CL.with_row_id(df, "order_id", split_prefix=2).select(*df.columns, "line_id").collect())
+    assert plain == split
