@@ -78,3 +78,21 @@ def ensure_database(spark: SparkSession, name: str, use: bool = False) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
     if use:
         spark.catalog.setCurrentDatabase(name)
+
+
+def stage_table(df: DataFrame, name: str, partition_by: Sequence[str] | None = None) -> DataFrame:
+    """Materialise ``df`` as Parquet in the cluster's shared checkpoint folder and
+    return a DataFrame that reads it back.
+
+    This is the reusable intermediate table of the source (a temp table read by
+    several later queries). Reading it back cuts the lineage, so later jobs do not
+    recompute it and a lost executor costs a re-read, not a recomputation. The folder
+    comes from the session (``spark.checkpoint.dir``); see
+    :func:`casebook.session.checkpoint_dir`.
+    """
+    from casebook.session import checkpoint_dir
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/casebook-stage/{name}"
+    save_table(df, path, partition_by=partition_by)
+    return spark.read.parquet(path)
