@@ -22,7 +22,6 @@ from casebook.operators import ledger as LE
 from casebook.operators import loyalty as LO
 from casebook.operators import recipes as RE
 from casebook.operators import sequence as SQ
-from casebook.plans.broadcast import one_row
 from casebook.sources import adapters as A
 
 # Parameters of the questions (chosen for the driver data's date range).

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from casebook.functions.dates import iso_weekday, minutes_between, days_between, month_key, week_of_year_block
 from casebook.functions.safe import pct, safe_div
 from casebook.functions.lists import list_size
-from casebook.plans.broadcast import one_row
 
 
 def _cols(x) -> list[str]:
@@ -59,8 +58,8 @@ def share_of_total(df: DataFrame, cond: Column, by=None, distinct: str | None =
     """Count of rows (or distinct ``distinct`` values) meeting ``cond`` and its share.
 
     ``within="group"``: the base is the group's own population (one pass, one
-    aggregate). ``within="all"``: the base is the whole population; it comes from a
-    one-row aggregate joined by broadcast (one row: its size is fixed).
+    aggregate). ``within="all"``: the base is the whole population, a global
+    aggregate used as an uncorrelated scalar subquery (``DataFrame.scalar()``).
     """
     by = _cols(by)
     if distinct is None:
@@ -72,8 +71,8 @@ def share_of_total(df: DataFrame, cond: Column, by=None, distinct: str | None =
         out = g.agg(num.alias(n_name), den.alias(total_name))
         return out.withColumn(pct_name, pct(n_name, total_name, digits))
     grouped = df.groupBy(*by).agg(num.alias(n_name))
-    total = one_row(df.agg(den.alias(total_name)))
-    return grouped.crossJoin(total).withColumn(pct_name, pct(n_name, total_name, digits))
+    total = df.agg(den).scalar()
+    return grouped.withColumn(total_name, total).withColumn(pct_name, pct(n_name, total_name, digits))
 
 
 # ---------------------------------------------------------------- O4
@@ -104,9 +103,9 @@ def top_k_items(df: DataFrame, item, k: int = 1, by=None, count_name: str = "n",
     order = [F.col(count_name).desc()] + [F.col(i).asc() for i in items]
     if not by:
         if ties == "all":
-            # the k-th largest count (a one-row aggregate), then every item reaching it
-            top = counts.orderBy(*order).limit(k).agg(F.min(count_name).alias("_kth"))
-            return counts.join(one_row(top), F.col(count_name) >= F.col("_kth")).drop("_kth")
+            # the k-th largest count (a scalar subquery), then every item reaching it
+            kth = counts.orderBy(*order).limit(k).agg(F.min(count_name)).scalar()
+            return counts.filter(F.col(count_name) >= kth)
         return counts.orderBy(*order).limit(k)
     # ties="all": rank on the count alone, so equal counts share a rank
     w = Window.partitionBy(*by).orderBy(*(order[:1] if ties == "all" else order))

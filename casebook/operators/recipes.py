@@ -17,7 +17,6 @@ from casebook.functions.dates import minutes_between
 from casebook.functions.lists import list_size, split_list
 from casebook.functions.safe import safe_div
 from casebook.operators.cleaning import dictionary_map
-from casebook.plans.broadcast import one_row
 
 
 def _empty_int_array() -> Column:
@@ -89,12 +88,11 @@ def net_of_distance_cost(lines: DataFrame, deliveries: DataFrame, price: Column,
     (the cost is aggregated on the delivery table, before it meets the lines, so a
     multi-line order does not repeat it)."""
     delivered = deliveries.filter(F.col("cancellation").isNull()).select(order, distance)
-    rev = lines.join(delivered.select(order), order, "left_semi").agg(F.sum(price).alias("_rev"))
-    cost = delivered.agg(F.sum(distance).alias("_km"))
-    return (one_row(rev).crossJoin(one_row(cost))
-            .select(F.col("_rev").alias("revenue"),
-                    (F.col("_km") * F.lit(cost_per_km)).cast("decimal(18,2)").alias("delivery_cost"),
-                    (F.col("_rev") - F.col("_km") * F.lit(cost_per_km)).cast("decimal(18,2)").alias(name)))
+    rev = lines.join(delivered.select(order), order, "left_semi").agg(F.sum(price).alias("revenue"))
+    km = delivered.agg(F.sum(distance)).scalar()  # uncorrelated scalar subquery
+    return rev.select("revenue",
+                      (km * F.lit(cost_per_km)).cast("decimal(18,2)").alias("delivery_cost"),
+                      (F.col("revenue") - km * F.lit(cost_per_km)).cast("decimal(18,2)").alias(name))
 
 
 # ---------------------------------------------------------------- O23

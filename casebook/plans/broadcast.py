@@ -3,8 +3,9 @@
 Data-derived tables are never hinted: Spark's optimizer (file-size estimate) and AQE
 (measured shuffle size, ``spark.sql.adaptive.autoBroadcastJoinThreshold``) decide,
 so a side that grows with the data falls back to a shuffle join by itself. The hint
-is used only where the row count has a fixed bound known from the plan itself:
-a global aggregate (one row) or a dictionary written as literal rows.
+is used only where the row count has a fixed bound known before any job runs: a
+dictionary written as literal rows. (A global aggregate attached to every row is an
+uncorrelated scalar subquery, ``DataFrame.scalar()``, not a join.)
 """
 
 from __future__ import annotations
@@ -18,11 +19,6 @@ from pyspark.sql import functions as F
 MAX_LITERAL_ROWS = 10_000
 
 
-def one_row(df: DataFrame) -> DataFrame:
-    """Broadcast a global aggregate (no grouping keys): exactly one row."""
-    return F.broadcast(df)
-
-
 def _sql_literal(v) -> str:
     if v is None:
         return "NULL"
