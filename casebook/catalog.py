@@ -470,8 +470,9 @@ def q_realloc(spark, d):
 
 @query("reallocation_days_by_region")
 def q_realloc_region(spark, d):
-    j = A.regions(spark, d).join(A.customer_nodes(spark, d), "region_id", "left")
-    out = LE.interval_stats(j, "start_date", "end_date", by="region_name")
+    regions = A.regions(spark, d)
+    j = A.customer_nodes(spark, d).join(regions, "region_id")
+    out = LE.interval_stats(j, "start_date", "end_date", by="region_name", groups=regions)
     return out.select("region_name", "avg_days",
                       *[F.round(c, 4).alias(c) for c in ("p50_days", "p80_days", "p95_days")])
 

@@ -216,9 +216,19 @@ def change_flags(df: DataFrame, key, list_cols: Sequence[str]) -> DataFrame:
 
 def distinct_per_group(dim: DataFrame, facts: DataFrame, key: str, group_cols, counted: Mapping[str, str]) -> DataFrame:
     """Distinct counts of fact columns per dimension group, keeping groups without
-    any fact (count 0). ``counted`` maps output name -> fact column."""
-    j = dim.join(facts.select(key, *counted.values()), key, "left")
-    return j.groupBy(*_cols(group_cols)).agg(*[F.countDistinct(c).alias(n) for n, c in counted.items()])
+    any fact (count 0). ``counted`` maps output name -> fact column.
+
+    The facts meet the dimension in an inner join (the dimension side is the small
+    one), are aggregated per group (two-phase distinct, partial aggregates before
+    the shuffle), and only the per-group result is attached to the dimension's group
+    list. Writing ``dim LEFT JOIN facts`` instead would hash every fact row onto the
+    few group keys, a skew that AQE cannot split on the outer join's right side.
+    """
+    groups = _cols(group_cols)
+    enriched = facts.select(key, *counted.values()).join(dim.select(key, *groups), key)
+    per = enriched.groupBy(*groups).agg(*[F.countDistinct(c).alias(n) for n, c in counted.items()])
+    out = dim.select(*groups).distinct().join(per, groups, "left")
+    return out.select(*groups, *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in counted])
 
 
 # ---------------------------------------------------------------- O33 / O34

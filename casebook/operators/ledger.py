@@ -32,13 +32,14 @@ def _cols(x) -> list[str]:
 def interval_stats(df: DataFrame, start: str, end: str, by=None,
                    pcts: Sequence[float] = (0.5, 0.8, 0.95), names: Sequence[str] | None = None,
                    open_end: str | None = OPEN_END, include_open: bool = False,
-                   avg_name: str | None = "avg_days") -> DataFrame:
+                   avg_name: str | None = "avg_days", groups: DataFrame | None = None) -> DataFrame:
     """Mean and exact interpolated percentiles of ``end - start`` in days.
 
     Open intervals (``end == open_end``) are left out unless ``include_open`` (their
     length is meaningless and would swamp the mean). ``percentile`` keeps one count
     per distinct value in each partial aggregate; day counts have few distinct
-    values, so the state stays small however many rows a group has.
+    values, so the state stays small however many rows a group has. ``groups``
+    (a DataFrame with the ``by`` columns) lists groups to keep even when empty.
     """
     days = F.datediff(F.col(end), F.col(start))
     keep = F.lit(True) if include_open or open_end is None else (F.col(end) != F.lit(open_end).cast("date"))
@@ -49,6 +50,10 @@ def interval_stats(df: DataFrame, start: str, end: str, by=None,
         aggs.append(F.avg("_days").alias(avg_name))
     g = t.groupBy(*_cols(by)) if by else t
     out = g.agg(*aggs)
+    if groups is not None:
+        # keep groups without any interval: attach the (small) aggregate to the group
+        # list instead of outer-joining the group list to the raw intervals
+        out = groups.select(*_cols(by)).distinct().join(out, _cols(by), "left")
     return out.select(*_cols(by), *([avg_name] if avg_name else []),
                       *[F.col("_p")[i].alias(n) for i, n in enumerate(names)])
 
