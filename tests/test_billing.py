@@ -55,3 +55,32 @@ def test_ledger_rules(spark):
     assert c3 == [(3, 1, D(2020, 1, 31), Decimal("9.90")), (3, 1, D(2020, 2, 29), Decimal("9.90")),
                   (3, 3, D(2020, 3, 15), Decimal("189.10")), (3, 3, D(2021, 3, 15), Decimal("199.00"))]
     assert not [r for r in got if r[0] == 4]
+
+
+def _add_months_clamped(d, months):
+    import calendar
+    y, m = divmod(d.month - 1 + months, 12)
+    y, m = d.year + y, m + 1
+    return D(y, m, min(d.day, calendar.monthrange(y, m)[1]))
+
+
+def test_payment_dates_brute_force(spark):
+    """200 random (start, end, step) cases against a plain Python loop."""
+    import random
+    rnd = random.Random(7)
+    cases = []
+    for _ in range(200):
+        s = D(2019, 1, 1) + dt.timedelta(days=rnd.randrange(0, 900))
+        e = s + dt.timedelta(days=rnd.randrange(-40, 1200)) if rnd.random() > 0.05 else None
+        step = rnd.choice([1, 1, 3, 12])
+        cases.append((s, e, step))
+    df = spark.createDataFrame(cases, "s date, e date, step int")
+    got = [r.d for r in df.select(BI.payment_dates("s", "e", F.col("step")).alias("d")).collect()]
+    for (s, e, step), g in zip(cases, got):
+        want = [s]
+        while e is not None:
+            nxt = _add_months_clamped(want[-1], step)
+            if nxt >= e:
+                break
+            want.append(nxt)
+        assert g == want, (s, e, step)

@@ -37,3 +37,17 @@ def test_scans_are_pruned(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint>" in text
     text = physical_plan(QUERIES["plan_starts_after_year"](spark, SF_SMALL), "simple")
     assert "l_extendedprice" not in text and "o_totalprice" not in text
+
+
+@pytest.mark.parametrize("name", ["favourite_item_per_customer", "first_day_items_all_ties"])
+def test_per_key_top_k_is_limited_before_the_shuffle(spark, name):
+    from casebook.plans.inspect import physical_plan
+    text = physical_plan(QUERIES[name](spark, SF_SMALL), "simple")
+    assert "WindowGroupLimit" in text and "Partial" in text
+
+
+def test_no_cross_join_anywhere(spark):
+    from casebook.plans.inspect import physical_plan
+    for name, fn in QUERIES.items():
+        text = physical_plan(fn(spark, SF_SMALL), "simple")
+        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
