@@ -123,6 +123,16 @@ def q_points_week(spark, d):
     return out.select("customer_id", _money("points").alias("points"))
 
 
+@query("loyalty_points_eight_day_window")
+def q_points_literal(spark, d):
+    """Literal variant of the first-week bonus: ``order_date <= join_date + 7`` (eight
+    days including the join day) and no cut-off date."""
+    out = LO.loyalty_points(A.sales(spark, d), A.menu(spark, d), "customer_id", "order_date", "product_id",
+                            "product_name", "price", special_items=SPECIAL_ITEMS,
+                            members=A.members(spark, d), window_days=8)
+    return out.select("customer_id", _money("points").alias("points"))
+
+
 # ====================================================================== delivery
 
 def _lines(spark, d, line_ids: bool = False):
@@ -380,6 +390,14 @@ def q_churn(spark, d):
                              n_name="n_churned", total_name="n_customers", pct_name="pct_churned")
 
 
+@query("churn_share_of_rows")
+def q_churn_rows(spark, d):
+    """Literal variant of the churn share: churn rows over all subscription rows
+    (the source's denominator), instead of churned customers over customers."""
+    return AG.share_of_total(_subs(spark, d), F.col("plan_id") == 4, n_name="n_churn_rows",
+                             total_name="n_rows", pct_name="pct_of_rows")
+
+
 @query("churned_without_paid_plan")
 def q_churn_only(spark, d):
     return SQ.reached_only_share(_subs(spark, d), "customer_id", "plan_id", 4, [1, 2, 3],
@@ -523,6 +541,24 @@ def _daily(spark, d):
                              "txn_amount", LEDGER_END)
 
 
+@query("monthly_closing_balance_sql")
+def q_monthly_balance_sql(spark, d):
+    """The same ledger through the SQL API: the adapter registered as a session view
+    and a named window (``WINDOW w AS (...)``); Catalyst plans it like the DataFrame
+    form."""
+    _txns(spark, d).createOrReplaceTempView("casebook_customer_transactions")
+    return spark.sql("""
+        WITH net AS (
+          SELECT customer_id, date_format(txn_date, 'yyyy-MM') AS month,
+                 CAST(SUM(CASE WHEN txn_type = 'deposit' THEN txn_amount
+                               WHEN txn_type IN ('purchase', 'withdrawal') THEN -txn_amount
+                               ELSE 0 END) AS DECIMAL(18,2)) AS net
+          FROM casebook_customer_transactions GROUP BY customer_id, date_format(txn_date, 'yyyy-MM'))
+        SELECT customer_id, month, net, CAST(SUM(net) OVER w AS DECIMAL(18,2)) AS balance
+        FROM net
+        WINDOW w AS (PARTITION BY customer_id ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+
+
 @query("daily_balances")
 def q_daily(spark, d):
     return _daily(spark, d)

@@ -237,6 +237,13 @@ SELECT s.customer_id,
 FROM sales s JOIN menu m ON s.product_id = m.product_id JOIN members j ON s.customer_id = j.customer_id
 WHERE s.order_date <= DATE '{C.POINTS_UNTIL}' GROUP BY s.customer_id""",
 
+    "loyalty_points_eight_day_window": _with(SALES, MENU, MEMBERS) + f"""
+SELECT s.customer_id,
+       CAST(SUM(m.price * 10 * CASE WHEN s.order_date >= j.join_date AND s.order_date <= j.join_date + 7 THEN 2
+                                    WHEN m.product_name IN ({SPECIAL}) THEN 2 ELSE 1 END) AS DECIMAL(18,2)) AS points
+FROM sales s JOIN menu m ON s.product_id = m.product_id JOIN members j ON s.customer_id = j.customer_id
+GROUP BY s.customer_id""",
+
     # ------------------------------------------------------------------ delivery
     "order_counts": _with(ORDERS_RAW) + """
 SELECT COUNT(*) AS n_lines, COUNT(DISTINCT order_id) AS n_orders FROM customer_orders_raw""",
@@ -407,6 +414,11 @@ SELECT COUNT(DISTINCT CASE WHEN plan_id = 4 THEN customer_id END) AS n_churned,
        ROUND(COUNT(DISTINCT CASE WHEN plan_id = 4 THEN customer_id END) * 100.0 / COUNT(DISTINCT customer_id), 1) AS pct_churned
 FROM subscriptions""",
 
+    "churn_share_of_rows": _with(SUBS) + """
+SELECT COUNT_IF(plan_id = 4) AS n_churn_rows, COUNT(*) AS n_rows,
+       ROUND(COUNT_IF(plan_id = 4) * 100.0 / COUNT(*), 1) AS pct_of_rows
+FROM subscriptions""",
+
     "churned_without_paid_plan": _with(SUBS) + """,
 churners AS (SELECT DISTINCT customer_id FROM subscriptions WHERE plan_id = 4),
 straight AS (SELECT customer_id FROM churners
@@ -595,9 +607,11 @@ SELECT customer_id, bal_date, balance,
        ROUND(CAST(balance AS DOUBLE) * (1.0 + CAST(0.06 AS DOUBLE) / CAST(365 AS DOUBLE)), 2) AS data_allocation
 FROM daily""",
 
+    "monthly_closing_balance_sql": None,  # filled below (same answer as monthly_closing_balance)
     "ingredient_usage_set_ops": None,  # filled below (same answer as ingredient_usage_delivered)
 })
 ORACLE["ingredient_usage_set_ops"] = ORACLE["ingredient_usage_delivered"]
+ORACLE["monthly_closing_balance_sql"] = ORACLE["monthly_closing_balance"]
 
 
 def oracle_sql() -> dict[str, str]:

@@ -19,7 +19,8 @@ def test_no_python_no_single_partition(spark, name):
                         "avg_days_to_annual", "downgrades_in_year", "churn_right_after_trial", "reallocation_days",
                         "avg_deposits_per_customer", "delivery_duration_range", "allocation_trailing_30",
                         "allocation_realtime", "churned_without_paid_plan", "churned_without_paid_plan_joins",
-                        "net_revenue_after_distance_cost", "plan_after_trial", "plan_mix_at_date"}, ex
+                        "net_revenue_after_distance_cost", "plan_after_trial", "plan_mix_at_date",
+                        "churn_share_of_rows"}, ex
 
 
 def test_ledger_one_shuffle(spark):
