@@ -162,7 +162,7 @@ def _pizza_price(alias: str = "") -> str:
 
 
 def _n_pizza_cols() -> str:
-    return ", ".join(f"COUNT_IF(pizza_id = {i}) AS n_pizza_{i}" for i in range(1, N_PIZZAS + 1))
+    return ", ".join(f"COUNT(*) FILTER (WHERE pizza_id = {i}) AS n_pizza_{i}" for i in range(1, N_PIZZAS + 1))
 
 
 SPECIAL = ", ".join(f"'{s}'" for s in C.SPECIAL_ITEMS)
@@ -263,9 +263,9 @@ SELECT order_id, COUNT(*) AS n_items FROM delivered_lines GROUP BY order_id ORDE
 
     "change_flags_per_customer": _with(*PIZZA) + """
 SELECT customer_id,
-       COUNT_IF(COALESCE(len(exclusions), 0) > 0 OR COALESCE(len(extras), 0) > 0) AS n_changed,
-       COUNT_IF(NOT (COALESCE(len(exclusions), 0) > 0 OR COALESCE(len(extras), 0) > 0)) AS n_unchanged,
-       COUNT_IF(COALESCE(len(exclusions), 0) > 0 AND COALESCE(len(extras), 0) > 0) AS n_both_changed
+       COUNT(*) FILTER (WHERE COALESCE(len(exclusions), 0) > 0 OR COALESCE(len(extras), 0) > 0) AS n_changed,
+       COUNT(*) FILTER (WHERE NOT (COALESCE(len(exclusions), 0) > 0 OR COALESCE(len(extras), 0) > 0)) AS n_unchanged,
+       COUNT(*) FILTER (WHERE COALESCE(len(exclusions), 0) > 0 AND COALESCE(len(extras), 0) > 0) AS n_both_changed
 FROM delivered_lines GROUP BY customer_id""",
 
     "change_counts_full_join": _with(*PIZZA) + """
@@ -326,8 +326,8 @@ SELECT runner_id, ROUND(AVG(CAST(distance AS DOUBLE) / NULLIF(CAST(duration AS D
 FROM delivered GROUP BY runner_id""",
 
     "success_rate_per_runner": _with(RUNNER_RAW, RUNNER_ORDERS) + """
-SELECT runner_id, COUNT_IF(cancellation IS NULL) AS n_delivered, COUNT(*) AS n_orders,
-       ROUND(COUNT_IF(cancellation IS NULL) * 100.0 / COUNT(*), 1) AS pct_delivered
+SELECT runner_id, COUNT(*) FILTER (WHERE cancellation IS NULL) AS n_delivered, COUNT(*) AS n_orders,
+       ROUND(COUNT(*) FILTER (WHERE cancellation IS NULL) * 100.0 / COUNT(*), 1) AS pct_delivered
 FROM runner_orders GROUP BY runner_id""",
 
     "recipe_ingredients": _with(PIZZA_NAMES, PIZZA_RECIPES, BRIDGE, TOPPINGS_CTE) + """
@@ -415,8 +415,8 @@ SELECT COUNT(DISTINCT CASE WHEN plan_id = 4 THEN customer_id END) AS n_churned,
 FROM subscriptions""",
 
     "churn_share_of_rows": _with(SUBS) + """
-SELECT COUNT_IF(plan_id = 4) AS n_churn_rows, COUNT(*) AS n_rows,
-       ROUND(COUNT_IF(plan_id = 4) * 100.0 / COUNT(*), 1) AS pct_of_rows
+SELECT COUNT(*) FILTER (WHERE plan_id = 4) AS n_churn_rows, COUNT(*) AS n_rows,
+       ROUND(COUNT(*) FILTER (WHERE plan_id = 4) * 100.0 / COUNT(*), 1) AS pct_of_rows
 FROM subscriptions""",
 
     "churned_without_paid_plan": _with(SUBS) + """,
@@ -432,8 +432,8 @@ WHERE customer_id IN (SELECT customer_id FROM subscriptions WHERE plan_id = 4)
   AND customer_id NOT IN (SELECT customer_id FROM subscriptions WHERE plan_id IN (1, 2, 3))""",
 
     "churn_right_after_trial": _with(SUBS) + """
-SELECT COUNT_IF(prev_plan = 0 AND plan_id = 4) AS n_churned_after_trial, COUNT(DISTINCT customer_id) AS n_customers,
-       ROUND(COUNT_IF(prev_plan = 0 AND plan_id = 4) * 100.0 / COUNT(DISTINCT customer_id), 1) AS pct_of_customers
+SELECT COUNT(*) FILTER (WHERE prev_plan = 0 AND plan_id = 4) AS n_churned_after_trial, COUNT(DISTINCT customer_id) AS n_customers,
+       ROUND(COUNT(*) FILTER (WHERE prev_plan = 0 AND plan_id = 4) * 100.0 / COUNT(DISTINCT customer_id), 1) AS pct_of_customers
 FROM (SELECT *, LAG(plan_id) OVER (PARTITION BY customer_id ORDER BY start_date, sub_seq) AS prev_plan FROM subscriptions)""",
 
     "plan_after_trial": _with(SUBS) + """,
@@ -473,7 +473,7 @@ SELECT bucket, CAST((bucket - 1) * 30 AS VARCHAR) || '-' || CAST(bucket * 30 AS
 FROM b GROUP BY bucket""",
 
     "downgrades_in_year": _with(SUBS) + f"""
-SELECT COUNT_IF(prev_plan = 2 AND plan_id = 1 AND year(start_date) = {C.REPORT_YEAR}) AS n_downgrades
+SELECT COUNT(*) FILTER (WHERE prev_plan = 2 AND plan_id = 1 AND year(start_date) = {C.REPORT_YEAR}) AS n_downgrades
 FROM (SELECT *, LAG(plan_id) OVER (PARTITION BY customer_id ORDER BY start_date, sub_seq) AS prev_plan FROM subscriptions)""",
 
     "payment_ledger": "WITH RECURSIVE " + ",\n".join([SUBS, PLANS_CTE]) + f""",
@@ -521,15 +521,15 @@ FROM customer_transactions GROUP BY txn_type""",
 
     "avg_deposits_per_customer": _with(TXNS) + """
 SELECT AVG(n) AS avg_deposit_count, ROUND(AVG(CAST(amt AS DOUBLE)), 2) AS avg_deposit_amount
-FROM (SELECT customer_id, COUNT_IF(txn_type = 'deposit') AS n,
+FROM (SELECT customer_id, COUNT(*) FILTER (WHERE txn_type = 'deposit') AS n,
              SUM(CASE WHEN txn_type = 'deposit' THEN txn_amount ELSE 0 END) AS amt
       FROM customer_transactions GROUP BY customer_id)""",
 
     "active_customers_per_month": _with(TXNS) + """
-SELECT month, COUNT_IF(n_dep >= 2 AND (n_pur >= 1 OR n_wd >= 1)) AS n_customers
+SELECT month, COUNT(*) FILTER (WHERE n_dep >= 2 AND (n_pur >= 1 OR n_wd >= 1)) AS n_customers
 FROM (SELECT strftime(txn_date, '%Y-%m') AS month, customer_id,
-             COUNT_IF(txn_type = 'deposit') AS n_dep, COUNT_IF(txn_type = 'purchase') AS n_pur,
-             COUNT_IF(txn_type = 'withdrawal') AS n_wd
+             COUNT(*) FILTER (WHERE txn_type = 'deposit') AS n_dep, COUNT(*) FILTER (WHERE txn_type = 'purchase') AS n_pur,
+             COUNT(*) FILTER (WHERE txn_type = 'withdrawal') AS n_wd
       FROM customer_transactions GROUP BY 1, 2)
 GROUP BY month""",
 
@@ -552,10 +552,10 @@ bal AS (SELECT customer_id, month,
         FROM net),
 g AS (SELECT month, balance, LAG(balance) OVER (PARTITION BY customer_id ORDER BY month) AS prev FROM bal)
 SELECT month,
-       COUNT_IF(CASE WHEN prev > 0 THEN (balance - prev) > 0.05 * prev
+       COUNT(*) FILTER (WHERE CASE WHEN prev > 0 THEN (balance - prev) > 0.05 * prev
                      WHEN prev < 0 THEN (balance - prev) < 0.05 * prev ELSE false END) AS n_grew,
        COUNT(*) AS n_customers,
-       ROUND(COUNT_IF(CASE WHEN prev > 0 THEN (balance - prev) > 0.05 * prev
+       ROUND(COUNT(*) FILTER (WHERE CASE WHEN prev > 0 THEN (balance - prev) > 0.05 * prev
                            WHEN prev < 0 THEN (balance - prev) < 0.05 * prev ELSE false END) * 100.0 / COUNT(*), 1) AS pct_grew
 FROM g GROUP BY month""",
 }

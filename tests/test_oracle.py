@@ -42,3 +42,18 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["customer_id", "plan_id", "payment_date", "amount_paid"]
     assert df.count() > 0
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_types_match_oracle(spark, con, name):
+    """Column types agree too (decimals with the same precision and scale)."""
+    sdf = E.queries()[name](spark, SF_SMALL)
+    rel = con.sql(E.oracle_sql()[name])
+    duck = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for f in sdf.schema.fields:
+        t = f.dataType.simpleString()
+        assert duck[f.name] == SPARK_TO_DUCK.get(t, t.upper()), (f.name, t, duck[f.name])
