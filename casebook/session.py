@@ -47,8 +47,11 @@ def get_session(master: str | None = None, app: str = "casebook",
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared checkpoint folder of the cluster.
 
-    Read from the session (``spark.checkpoint.dir`` / ``SparkContext``). Only when
-    nothing is configured (local tests) do we set one ourselves.
+    Read from the session (``SparkContext.getCheckpointDir`` / ``spark.checkpoint.dir``).
+    Only when nothing is configured do we pick one ourselves: ``fallback`` when given
+    (tests), else a temporary folder, and that only in local mode. On a cluster a
+    machine-local folder would not survive the loss of an executor, so there it is
+    an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,6 +61,8 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir()
+    if fallback is None and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is not set: configure a shared folder (e.g. on HDFS/S3) for the cluster")
     path = fallback or tempfile.mkdtemp(prefix="casebook-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()

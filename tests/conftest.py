@@ -14,7 +14,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session("local[*]", app="casebook-tests", shuffle_partitions=8)
+    s = get_session("local[*]", app="casebook-tests", shuffle_partitions=8,
+                    extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="casebook-warehouse-")})
     # tests only: set a checkpoint folder when the session has none
     checkpoint_dir(s, tempfile.mkdtemp(prefix="casebook-test-ckpt-"))
     yield s

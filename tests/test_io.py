@@ -45,3 +45,16 @@ def test_stage_table_reads_back(spark):
     staged = stage_table(df, "unit-stage", partition_by=["m"])
     assert staged.count() == 10
     assert "casebook-stage/unit-stage" in staged.inputFiles()[0]
+
+
+def test_namespace_table_roundtrip(spark):
+    """CREATE DATABASE IF NOT EXISTS, a typed catalog table written twice
+    (overwrite = idempotent replace) and read back as ``db.table``."""
+    from casebook.sources.io import ensure_database, save_as_table
+    ensure_database(spark, "casebook_test")
+    df = spark.createDataFrame([(1, 5), (2, 3)], "order_id bigint, rating bigint")
+    save_as_table(df, "casebook_test.ratings", RATINGS)
+    save_as_table(df, "casebook_test.ratings", RATINGS)
+    t = spark.table("casebook_test.ratings").alias("r")
+    assert t.dtypes == [("order_id", "int"), ("rating", "int")]
+    assert rows(t) == [(1, 5), (2, 3)]
