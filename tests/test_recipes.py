@@ -75,3 +75,44 @@ def test_revenue_fixture(pizza, spark):
     assert r == 160
     r1 = RE.revenue(lines, price, surcharge_per_extra=1).collect()[0][0]
     assert r1 == 166
+
+
+@pytest.fixture(scope="module")
+def deliveries(spark):
+    raw = spark.createDataFrame([
+        (1, 1, "2020-01-01 18:15:34", "20km", "32 minutes", ""),
+        (2, 1, "2020-01-01 19:10:54", "20km", "27 minutes", ""),
+        (3, 1, "2020-01-03 00:12:37", "13.4km", "20 mins", None),
+        (4, 2, "2020-01-04 13:53:03", "23.4", "40", None),
+        (5, 3, "2020-01-08 21:10:57", "10", "15", None),
+        (6, 3, "null", "null", "null", "Restaurant Cancellation"),
+        (7, 2, "2020-01-08 21:30:45", "25km", "25mins", "null"),
+        (8, 2, "2020-01-10 00:15:02", "23.4 km", "15 minute", "null"),
+        (9, 2, "null", "null", "null", "Customer Cancellation"),
+        (10, 1, "2020-01-11 18:50:20", "10km", "10minutes", "null"),
+    ], "order_id int, runner_id int, pickup_time string, distance string, duration string, cancellation string")
+    return CL.clean_runner_orders(raw)
+
+
+def test_revenue_anchors(pizza, deliveries):
+    """Source anchors: 160 all / 138 delivered; with a 1 surcharge per extra 166 / 142;
+    delivered revenue net of 0.30 per km (distance once per order) 94.44."""
+    from casebook.operators import aggregates as AG
+    lines = pizza[0]
+    price = F.when(F.col("pizza_id") == 1, 12).otherwise(10)
+    flag = deliveries.select("order_id", F.col("cancellation").isNull().alias("delivered"))
+    got = {r.delivered: (r.revenue, r.revenue_with_extras)
+           for r in AG.revenue_by(lines.join(flag, "order_id"), "delivered", price, "extras", 1).collect()}
+    assert got[True] == (138, 142)
+    assert got[True][0] + got[False][0] == 160 and got[True][1] + got[False][1] == 166
+    net = RE.net_of_distance_cost(lines, deliveries, price, cost_per_km=0.30).collect()[0]
+    assert float(net.net_revenue) == pytest.approx(94.44)
+
+
+def test_delivery_report_fixture(pizza, deliveries, spark):
+    lines = pizza[0]
+    ratings = spark.createDataFrame([(1, 3), (2, 4), (3, 5)], "order_id int, rating int")
+    rep = {r.order_id: r for r in RE.delivery_report(lines, deliveries, ratings).collect()}
+    assert sorted(rep) == [1, 2, 3, 4, 5, 7, 8, 10]
+    assert rep[3].n_items == 2 and rep[3].rating == 5 and rep[4].rating is None
+    assert rep[8].avg_speed_kmh == pytest.approx(93.6)   # 23.4 km in 15 min
