@@ -8,7 +8,8 @@ Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_REPEAT (default 2; the best of N runs is reported per query -- the first
 run of a query also pays Janino code generation and JIT warm-up, which large inputs
 amortise; the cold first-run total is reported as well, as ``cold_value``),
-BENCH_ONLY (comma-separated query names).
+BENCH_ONLY (comma-separated query names), BENCH_SHUFFLE_PARTITIONS (default: cpus;
+AQE coalesces what is too small).
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ def main() -> None:
     from casebook.session import get_session
     from casebook.catalog import QUERIES
 
-    spark = get_session(f"local[{cpus}]", app="casebook-bench", shuffle_partitions=cpus * 2,
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
+    spark = get_session(f"local[{cpus}]", app="casebook-bench", shuffle_partitions=partitions,
                         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
                                "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024)})
 
