@@ -70,8 +70,15 @@ def share_of_total(df: DataFrame, cond: Column, by=None, distinct: str | None =
         g = df.groupBy(*by) if by else df
         out = g.agg(num.alias(n_name), den.alias(total_name))
         return out.withColumn(pct_name, pct(n_name, total_name, digits))
-    grouped = df.groupBy(*by).agg(num.alias(n_name))
-    total = df.agg(den).scalar()
+    if distinct is None:
+        # the base is the sum of the per-group populations: taken from the small
+        # grouped result (its exchange is reused) instead of a second pass over df
+        grouped = df.groupBy(*by).agg(num.alias(n_name), den.alias("_den"))
+        total = grouped.agg(F.sum("_den")).scalar()
+        grouped = grouped.drop("_den")
+    else:
+        grouped = df.groupBy(*by).agg(num.alias(n_name))
+        total = df.agg(den).scalar()
     return grouped.withColumn(total_name, total).withColumn(pct_name, pct(n_name, total_name, digits))
 
 
