@@ -30,7 +30,6 @@ POINTS_UNTIL = "1999-01-31"
 PLAN_MIX_DATE = "2000-12-31"
 REPORT_YEAR = 2000
 BILLING_HORIZON = "2001-12-31"
-LEDGER_END = "2024-01-31"
 N_PIZZAS = A.N_PIZZAS
 
 
@@ -537,8 +536,8 @@ def q_growth(spark, d):
 
 
 def _daily(spark, d):
-    return LE.daily_balances(A.event_transactions(spark, d), "customer_id", "txn_date", "txn_type",
-                             "txn_amount", LEDGER_END)
+    # history runs to the end of the month of the latest transaction
+    return LE.daily_balances(A.event_transactions(spark, d), "customer_id", "txn_date", "txn_type", "txn_amount")
 
 
 @query("monthly_closing_balance_sql")

@@ -114,16 +114,17 @@ def growth_over_threshold(bal: DataFrame, key: str, order: str, value: str = "ba
 
 # ---------------------------------------------------------------- O35
 
-def densify_daily(bal: DataFrame, key: str, date: str, value: str, end: str,
+def densify_daily(bal: DataFrame, key: str, date: str, value: str, end,
                   date_name: str = "bal_date", value_name: str = "balance") -> DataFrame:
     """One row per entity per day from its first row to ``end``, each day carrying
     the latest value on or before it (forward fill).
 
     ``bal`` has at most one row per (key, date). Each row is expanded to the days
     until the day before the entity's next row (``lead``) or ``end``; rows after
-    ``end`` are dropped first. Narrow expansion, one window on the key.
+    ``end`` are dropped first. Narrow expansion, one window on the key. ``end`` is a
+    date string or a date Column (e.g. a scalar subquery over the data).
     """
-    e = F.lit(end).cast("date")
+    e = F.lit(end).cast("date") if isinstance(end, str) else end
     w = Window.partitionBy(key).orderBy(date)
     t = bal.filter(F.col(date) <= e).withColumn("_next", F.lead(date).over(w))
     last = F.coalesce(F.date_sub(F.col("_next"), 1), e)
@@ -131,11 +132,15 @@ def densify_daily(bal: DataFrame, key: str, date: str, value: str, end: str,
                     F.col(value).alias(value_name))
 
 
-def daily_balances(txns: DataFrame, key: str, date: str, type_col: str, amount: str, end: str,
+def daily_balances(txns: DataFrame, key: str, date: str, type_col: str, amount: str, end=None,
                    credit: Sequence[str] = ("deposit",),
                    debit: Sequence[str] = ("purchase", "withdrawal")) -> DataFrame:
     """O30 + O31 + O35: customer_id, bal_date, balance DECIMAL(18,2) for every day
-    from the entity's first transaction to ``end``."""
+    from the entity's first transaction to ``end``. ``end=None``: the last day of
+    the month of the latest transaction (a scalar subquery), so no transaction is
+    ever left out."""
+    if end is None:
+        end = F.last_day(txns.agg(F.max(date)).scalar())
     net = signed_ledger(txns, key, date, type_col, amount, "day", date, "net", credit, debit)
     bal = running_balance(net, key, date, "net", "balance")
     return densify_daily(bal, key, date, "balance", end)

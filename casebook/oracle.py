@@ -570,7 +570,8 @@ net AS (SELECT customer_id, txn_date,
 bal AS (SELECT customer_id, txn_date,
                CAST(SUM(net) OVER (PARTITION BY customer_id ORDER BY txn_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(18,2)) AS balance
         FROM net),
-grid AS (SELECT customer_id, CAST(unnest(generate_series(MIN(txn_date), DATE '{C.LEDGER_END}', INTERVAL 1 DAY)) AS DATE) AS bal_date
+horizon AS (SELECT last_day(MAX(txn_date)) AS end_date FROM event_txns),
+grid AS (SELECT customer_id, CAST(unnest(generate_series(MIN(txn_date), (SELECT end_date FROM horizon), INTERVAL 1 DAY)) AS DATE) AS bal_date
          FROM net GROUP BY customer_id),
 grp AS (SELECT g.customer_id, g.bal_date, b.balance,
                COUNT(b.balance) OVER (PARTITION BY g.customer_id ORDER BY g.bal_date) AS grp_id

@@ -88,3 +88,13 @@ def test_allocations(spark, txns):
     assert tr.daily_max == Decimal("70.00")
     acc = LE.accrue(daily, "balance", 0.06, 365, digits=None).filter("customer_id = 1 AND bal_date = '2020-01-02'").collect()[0]
     assert acc.data_allocation == pytest.approx(70 * (1 + 0.06 / 365))
+
+
+def test_daily_balances_default_end_keeps_every_transaction(txns):
+    """end=None: history runs to the last day of the month of the latest
+    transaction, so no row is cut off."""
+    daily = LE.daily_balances(txns, "customer_id", "txn_date", "txn_type", "txn_amount")
+    last = daily.agg(F.max("bal_date")).collect()[0][0]
+    assert last == D(2020, 2, 29)
+    c3 = rows(daily.filter("customer_id = 3"), "bal_date", "balance")
+    assert c3[0] == (D(2020, 1, 10), Decimal("1.00")) and len(c3) == 51
