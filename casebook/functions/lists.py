@@ -25,6 +25,7 @@ def split_list(col, sep: str = ",", as_type: str = "int",
 
 
 def list_size(col) -> Column:
-    """Number of entries of a parsed list; a NULL list counts as 0."""
+    """Number of entries of a parsed list; a NULL list counts as 0 (tested
+    explicitly: with ANSI mode off, ``size(NULL)`` is -1, not NULL)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.coalesce(F.size(c), F.lit(0))
+    return F.when(c.isNull(), F.lit(0)).otherwise(F.size(c))

@@ -46,9 +46,16 @@ def parse_measure(col, to_type: str = "decimal(10,2)",
 
 def parse_timestamp(col, fmt: str = "yyyy-MM-dd HH:mm:ss",
                     tokens: Iterable[str] = DEFAULT_NULL_TOKENS) -> Column:
-    """Dirty text -> TIMESTAMP_NTZ; tokens and unparseable text -> NULL."""
+    """Dirty text -> TIMESTAMP_NTZ (the wall-clock time as written); tokens and
+    unparseable text -> NULL.
+
+    ``try_to_timestamp`` only decides validity: its value is an instant in the
+    session time zone, which moves wall-clock times that fall into a daylight-saving
+    gap. The value itself comes from ``to_timestamp_ntz``, which ignores time zones.
+    """
     cleaned = null_tokens(col, tokens)
-    return F.try_to_timestamp(cleaned, F.lit(fmt)).cast("timestamp_ntz")
+    f = F.lit(fmt)
+    return F.when(F.try_to_timestamp(cleaned, f).isNotNull(), F.to_timestamp_ntz(cleaned, f))
 
 
 def concat_nullsafe(*cols) -> Column:

@@ -81,7 +81,7 @@ def decode_array(arr, dictionary: Column) -> Column:
     """ids -> names, sorted by name, joined with ', '; NULL for a NULL/empty list."""
     a = F.col(arr) if isinstance(arr, str) else arr
     names = F.array_sort(F.transform(a, lambda i: F.try_element_at(dictionary, i)))
-    return F.when(F.size(a) > 0, F.array_join(names, ", "))
+    return F.when(a.isNotNull() & (F.size(a) > 0), F.array_join(names, ", "))
 
 
 def decode_list(df: DataFrame, keys, list_col: str, dictionary, dict_id: str = "topping_id",

@@ -220,7 +220,9 @@ def runner_orders_raw(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("o_orderkey")
     cancelled = (F.col("o_orderstatus") == "P") & (k % 3 == 0)
     pickup_secs = _order_offset_seconds() + 300 + (k % 37) * 60 + (k % 13) * 4
-    pickup = F.date_format(F.timestamp_add("SECOND", pickup_secs, F.col("o_orderdate")), "yyyy-MM-dd HH:mm:ss")
+    # 'yyyy-MM-dd HH:mm:ss' text of the wall-clock time (casting a TIMESTAMP_NTZ to
+    # string does not pass through the session time zone, date_format would)
+    pickup = F.timestamp_add("SECOND", pickup_secs, F.col("o_orderdate")).cast("string")
     km = F.concat(F.floor(F.col("o_totalprice") / 20000).cast("bigint").cast("string"), F.lit("."),
                   (k % 10).cast("string"))
     km_sfx = (F.when(k % 4 == 0, "km").when(k % 4 == 1, " km").when(k % 4 == 2, "").otherwise("km "))

@@ -95,3 +95,19 @@ def test_row_id_split_equals_plain(spark):
     plain = Counter(tuple(r) for r in CL.with_row_id(df, "order_id").collect())
     split = Counter(tuple(r) for r in CL.with_row_id(df, "order_id", split_prefix=2).select(*df.columns, "line_id").collect())
     assert plain == split
+
+
+def test_session_settings_do_not_change_results(spark):
+    """Wall-clock parsing ignores the session time zone (even inside a daylight-saving
+    gap), and a NULL list has size 0 with ANSI mode off too (where size(NULL) = -1)."""
+    from casebook.functions import parse_timestamp, list_size
+    df = spark.createDataFrame([("2000-04-02 02:42:25", None), ("2020-01-01 18:05:58", [1, 2])], "s string, l array<int>")
+    old_tz, old_ansi = spark.conf.get("spark.sql.session.timeZone"), spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        got = df.select(parse_timestamp("s").alias("t"), list_size("l").alias("n")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old_tz)
+        spark.conf.set("spark.sql.ansi.enabled", old_ansi)
+    assert [(r.t, r.n) for r in got] == [(dt.datetime(2000, 4, 2, 2, 42, 25), 0), (dt.datetime(2020, 1, 1, 18, 5, 58), 2)]

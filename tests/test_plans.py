@@ -10,17 +10,21 @@ from conftest import SF_SMALL
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_no_single_partition(spark, name):
-    ex = exchanges(QUERIES[name](spark, SF_SMALL))
-    assert ex["python"] == 0
-    # the only gathers allowed are global aggregates / top-k, which Spark plans as
-    # partial aggregation + a tiny final step (never a SinglePartition window)
-    if ex["single"]:
-        assert name in {"order_counts", "customer_count", "unique_nodes", "churn_share", "annual_upgrades_in_year",
-                        "avg_days_to_annual", "downgrades_in_year", "churn_right_after_trial", "reallocation_days",
-                        "avg_deposits_per_customer", "delivery_duration_range", "allocation_trailing_30",
-                        "allocation_realtime", "churned_without_paid_plan", "churned_without_paid_plan_joins",
-                        "net_revenue_after_distance_cost", "plan_after_trial", "plan_mix_at_date",
-                        "churn_share_of_rows"}, ex
+    """No Python evaluation, and every single-partition exchange feeds the final step
+    of a global aggregate (``keys=[]``, after a partial aggregate) or of a top-k:
+    never a window or a sort of a whole table."""
+    from casebook.plans.inspect import physical_plan
+    df = QUERIES[name](spark, SF_SMALL)
+    assert exchanges(df)["python"] == 0
+    lines = physical_plan(df, "simple").splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            parent = lines[i - 1]
+            assert ("HashAggregate(keys=[]" in parent or "TakeOrderedAndProject" in parent
+                    or "GlobalLimit" in parent or "ObjectHashAggregate(keys=[]" in parent
+                    or "SortAggregate(keys=[]" in parent), (name, parent)
+            below = lines[i + 1]
+            assert "keys=[]" in below or "LocalLimit" in below or "TakeOrdered" in below, (name, below)
 
 
 def test_ledger_one_shuffle(spark):
