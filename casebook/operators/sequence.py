@@ -208,8 +208,10 @@ def reached_only_joins(subs: DataFrame, key, state: str, must, never: Sequence)
     anti join, not the null-aware NOT IN plan, which always broadcasts)."""
     keys = _cols(key)
     ents = subs.select(*keys).distinct()
-    has = subs.filter(F.col(state) == F.lit(must)).select(*keys)
-    bad = subs.filter(F.col(state).isin(list(never))).select(*keys)
+    # the build sides are deduplicated (partial aggregation first), so a hot key is
+    # one row there too: AQE can split only the probe side of a semi/anti join
+    has = subs.filter(F.col(state) == F.lit(must)).select(*keys).distinct()
+    bad = subs.filter(F.col(state).isin(list(never))).select(*keys).distinct()
     return ents.join(has, keys, "left_semi").join(bad, keys, "left_anti")
 
 
