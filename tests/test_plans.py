@@ -56,3 +56,16 @@ def test_no_cross_join_anywhere(spark):
     for name, fn in QUERIES.items():
         text = physical_plan(fn(spark, SF_SMALL), "simple")
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+
+
+@pytest.mark.parametrize("name,needle", [
+    ("plan_mix_at_date", "LessThan(o_orderdate"),
+    ("plan_starts_after_year", "GreaterThanOrEqual(o_orderdate"),
+    ("annual_upgrades_in_year", "GreaterThanOrEqual(o_orderdate"),
+    ("loyalty_points_first_week", "LessThan(o_orderdate"),
+    ("first_item_after_joining", "EqualTo(c_mktsegment,BUILDING)"),
+])
+def test_date_and_segment_filters_reach_the_scan(spark, name, needle):
+    from casebook.plans.inspect import physical_plan
+    text = physical_plan(QUERIES[name](spark, SF_SMALL), "simple")
+    assert any("PushedFilters" in l and needle in l for l in text.splitlines())
