@@ -83,12 +83,31 @@ def signed_ledger(txns: DataFrame, key: str, date: str, type_col: str, amount: s
 
 # ---------------------------------------------------------------- O31
 
-def running_balance(net: DataFrame, key: str, order: str, value: str = "net",
-                    name: str = "balance") -> DataFrame:
+def running_balance(net: DataFrame, key: str, order, value: str = "net",
+                    name: str = "balance", bucket: Column | None = None) -> DataFrame:
     """Cumulative sum of ``value`` per entity in ``order`` (explicit ORDER BY and
-    ROWS frame: the result does not depend on row arrival order)."""
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return net.withColumn(name, F.sum(value).over(w).cast("decimal(18,2)"))
+    ROWS frame: the result does not depend on row arrival order).
+
+    With ``bucket`` (an expression non-decreasing in ``order``, e.g. the month): a
+    two-level prefix sum for inputs where one entity has very many rows. Each
+    (entity, bucket) total comes from a partial aggregate; an exclusive running
+    total over the buckets (a window whose rows per entity are bounded by the number
+    of buckets) gives each bucket its opening balance; the running sum inside each
+    (entity, bucket) window partition is added to it. The hot entity's rows are then
+    summed by many tasks.
+    """
+    order = _cols(order)
+    if bucket is None:
+        w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return net.withColumn(name, F.sum(value).over(w).cast("decimal(18,2)"))
+    t = net.withColumn("_bkt", bucket)
+    totals = t.groupBy(key, "_bkt").agg(F.sum(value).alias("_bt"))
+    wb = Window.partitionBy(key).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    opening = totals.select(key, "_bkt", F.coalesce(F.sum("_bt").over(wb), F.lit(0)).alias("_open"))
+    w = Window.partitionBy(key, "_bkt").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (t.join(opening, [key, "_bkt"])
+             .withColumn(name, (F.col("_open") + F.sum(value).over(w)).cast("decimal(18,2)"))
+             .drop("_bkt", "_open"))
 
 
 # ---------------------------------------------------------------- O32
