@@ -32,20 +32,27 @@ def _cols(x) -> list[str]:
 def interval_stats(df: DataFrame, start: str, end: str, by=None,
                    pcts: Sequence[float] = (0.5, 0.8, 0.95), names: Sequence[str] | None = None,
                    open_end: str | None = OPEN_END, include_open: bool = False,
-                   avg_name: str | None = "avg_days", groups: DataFrame | None = None) -> DataFrame:
+                   avg_name: str | None = "avg_days", groups: DataFrame | None = None,
+                   exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """Mean and exact interpolated percentiles of ``end - start`` in days.
 
     Open intervals (``end == open_end``) are left out unless ``include_open`` (their
     length is meaningless and would swamp the mean). ``percentile`` keeps one count
     per distinct value in each partial aggregate; day counts have few distinct
-    values, so the state stays small however many rows a group has. ``groups``
-    (a DataFrame with the ``by`` columns) lists groups to keep even when empty.
+    values, so the state stays small however many rows a group has. For lengths
+    with many distinct values use ``exact=False``: ``percentile_approx`` keeps a
+    fixed-size sketch per group (``accuracy``; it returns observed values, no
+    interpolation). ``groups`` (a DataFrame with the ``by`` columns) lists groups
+    to keep even when empty.
     """
     days = F.datediff(F.col(end), F.col(start))
     keep = F.lit(True) if include_open or open_end is None else (F.col(end) != F.lit(open_end).cast("date"))
     t = df.withColumn("_days", F.when(keep, days))
     names = list(names) if names else [f"p{int(round(p * 100))}_days" for p in pcts]
-    aggs = [F.percentile("_days", F.lit(list(pcts))).alias("_p")]
+    if exact:
+        aggs = [F.percentile("_days", F.lit(list(pcts))).alias("_p")]
+    else:
+        aggs = [F.percentile_approx("_days", list(pcts), accuracy).cast("array<double>").alias("_p")]
     if avg_name:
         aggs.append(F.avg("_days").alias(avg_name))
     g = t.groupBy(*_cols(by)) if by else t

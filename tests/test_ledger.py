@@ -114,3 +114,12 @@ def test_running_balance_split_equals_plain(spark):
                                bucket=F.trunc("txn_date", "month"))
     cols = ["customer_id", "txn_date", "txn_type", "txn_amount", "balance"]
     assert rows(plain, *cols) == rows(split, *cols)
+
+
+def test_percentile_approx_option(spark):
+    df = spark.range(1, 1001).select(F.lit("g").alias("g"), F.lit(D(2020, 1, 1)).alias("s"),
+                                     F.date_add(F.lit(D(2020, 1, 1)), F.col("id").cast("int")).alias("e"))
+    ex = LE.interval_stats(df, "s", "e", by="g").collect()[0]
+    ap = LE.interval_stats(df, "s", "e", by="g", exact=False).collect()[0]
+    assert ex.p50_days == pytest.approx(500.5)
+    assert abs(ap.p50_days - ex.p50_days) <= 1 and abs(ap.p95_days - ex.p95_days) <= 1
