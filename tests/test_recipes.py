@@ -116,3 +116,12 @@ def test_delivery_report_fixture(pizza, deliveries, spark):
     assert sorted(rep) == [1, 2, 3, 4, 5, 7, 8, 10]
     assert rep[3].n_items == 2 and rep[3].rating == 5 and rep[4].rating is None
     assert rep[8].avg_speed_kmh == pytest.approx(93.6)   # 23.4 km in 15 min
+
+
+def test_exclusion_not_in_base_and_repeated_extra(spark, pizza):
+    _, recipes, _, _ = pizza
+    lines = spark.createDataFrame([(1, 1, 2, [1, 1], [4, 4])],
+                                  "order_id int, line_id int, pizza_id int, exclusions array<int>, extras array<int>")
+    got = RE.line_ingredients(lines, recipes).collect()[0].ingredients
+    # exclusion 1 (not on pizza 2) is a no-op; extra 4 is also a base item -> three times
+    assert sorted(got) == [4, 4, 4, 6, 7, 9, 11, 12]

@@ -81,3 +81,13 @@ def test_points(diner):
                            special_items=["sushi"], members=members, window_days=7, until="2021-01-31")
     # A: 20*10 + 15*10 (before) + 2x week: (15+12*3)*20 ; B: before 15*10*2 + 10*20, week 10*20, after 12*10
     assert rows(wk, "customer_id", "points") == [("A", 1370), ("B", 820)]
+
+
+def test_fact_without_dimension_row(diner, spark):
+    """A sale of an item missing from the menu counts as an item with no spend;
+    a menu item nobody bought changes nothing."""
+    sales, menu, _ = diner
+    extra = spark.createDataFrame([("D", D(2021, 1, 3), 7)], sales.schema)
+    out = {r.customer_id: (r.n_items, r.total_spend)
+           for r in AG.spend_by_key(sales.unionByName(extra), menu, "customer_id", "product_id", "price").collect()}
+    assert out["D"] == (1, None) and out["A"] == (6, 76)
