@@ -13,8 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.functions.dates import minutes_between
-from casebook.functions.lists import list_size, split_list
+from casebook.functions.dates import minutes_between, month_key
+from casebook.functions.lists import list_size
 from casebook.operators import aggregates as AG
 from casebook.operators import billing as BI
 from casebook.operators import cleaning as CL
@@ -518,7 +518,6 @@ def q_avg_deposits(spark, d):
 
 @query("active_customers_per_month")
 def q_active(spark, d):
-    from casebook.functions.dates import month_key
     return AG.activity_rule(_txns(spark, d), "customer_id", month_key("txn_date"), "txn_type",
                             {"deposit": (["deposit"], 2), "purchase": (["purchase"], 1),
                              "withdrawal": (["withdrawal"], 1)})
