@@ -136,10 +136,10 @@ def q_points_literal(spark, d):
 
 def _lines(spark, d, line_ids: bool = False):
     """Clean order lines. Line ids only when a query addresses single lines; they are
-    numbered per order in (order, customer, pizza) groups so one huge order is
-    still spread over many tasks."""
+    numbered per order in (order, customer, pizza, exclusions) groups so one huge
+    order is still spread over many tasks."""
     return CL.clean_customer_orders(A.customer_orders_raw(spark, d), line_id="line_id" if line_ids else None,
-                                    split_prefix=2)
+                                    split_prefix=3)
 
 
 def _deliveries(spark, d):

@@ -93,7 +93,7 @@ def test_row_id_split_equals_plain(spark):
     df = raw.unionByName(hot)
     from collections import Counter
     plain = Counter(tuple(r) for r in CL.with_row_id(df, "order_id").collect())
-    split = Counter(tuple(r) for r in CL.with_row_id(df, "order_id", split_prefix=2).select(*df.columns, "line_id").collect())
+    split = Counter(tuple(r) for r in CL.with_row_id(df, "order_id", split_prefix=3).select(*df.columns, "line_id").collect())
     assert plain == split
 
 
