@@ -102,8 +102,8 @@ def q_last_before(spark, d):
 
 @query("spend_before_joining")
 def q_spend_before(spark, d):
-    facts = A.sales(spark, d).join(A.menu(spark, d).select("product_id", "price"), "product_id", "left")
-    out = SQ.totals_before_anchor(facts, A.members(spark, d), "customer_id", "order_date", "join_date", "price")
+    out = SQ.totals_before_anchor(A.sales(spark, d), A.members(spark, d), "customer_id", "order_date", "join_date",
+                                  "price", prices=A.menu(spark, d), item="product_id")
     return out.select("customer_id", "n_items", _money("amount_spent").alias("amount_spent"))
 
 

@@ -23,16 +23,18 @@ def loyalty_points(facts: DataFrame, menu: DataFrame, key: str, date: str, item:
     (multipliers do not stack; the larger applies). ``until`` keeps purchases up to
     and including that date. Items missing from the menu earn nothing.
 
-    Plan: fact scan -> join menu (Spark/AQE choose broadcast by measured size) ->
-    join members -> one partial+final aggregate on ``key``.
+    Plan: fact scan (the ``until`` filter reaches the scan) -> join members first
+    (a subset of the customers, so every later join sees fewer rows) -> join menu ->
+    one partial+final aggregate on ``key``. Join strategies are left to Spark/AQE.
     """
     f = facts.select(key, date, item)
     if until is not None:
         f = f.filter(F.col(date) <= F.lit(until).cast("date"))
+    if members is not None:
+        f = f.join(members.select(key, join_date), key)
     j = f.join(menu.select(item, item_name, price), item)
     mult = F.when(F.col(item_name).isin(list(special_items)), F.lit(special_multiplier)).otherwise(F.lit(1))
     if members is not None:
-        j = j.join(members.select(key, join_date), key)
         if window_days is not None:
             in_window = ((F.col(date) >= F.col(join_date)) &
                          (F.col(date) < F.date_add(F.col(join_date), window_days)))

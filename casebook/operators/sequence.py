@@ -70,11 +70,19 @@ def asof_event(facts: DataFrame, anchors: DataFrame, key, fact_order, anchor_dat
 
 def totals_before_anchor(facts: DataFrame, anchors: DataFrame, key, date: str, anchor_date: str,
                          amount: str, count_name: str = "n_items", amount_name: str = "amount_spent",
-                         inclusive: bool = False) -> DataFrame:
-    """Count and sum of ``amount`` of the facts dated before the anchor."""
+                         inclusive: bool = False, prices: DataFrame | None = None,
+                         item: str | None = None) -> DataFrame:
+    """Count and sum of ``amount`` of the facts dated before the anchor.
+
+    With ``prices`` (``item`` -> ``amount``), the amount is looked up after the
+    anchor join and date filter, so the (larger) price join only sees the facts that
+    count. Items without a price count as items with no amount (left join).
+    """
     keys = _cols(key)
     cond = F.col(date) <= F.col(anchor_date) if inclusive else F.col(date) < F.col(anchor_date)
     j = facts.join(anchors.select(*keys, anchor_date), keys).filter(cond)
+    if prices is not None:
+        j = j.join(prices.select(item, amount), item, "left")
     return j.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name), F.sum(amount).alias(amount_name))
 
 
