@@ -131,12 +131,16 @@ def with_row_id(df: DataFrame, partition: str, order_cols: Sequence[str] | None
         w = Window.partitionBy(partition).orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
         return df.withColumn(name, F.row_number().over(w))
     head, tail = order_cols[:split_prefix], order_cols[split_prefix:]
-    counts = df.groupBy(partition, *head).agg(F.count(F.lit(1)).alias("_n"))
-    wg = (Window.partitionBy(partition).orderBy(*[F.col(c).asc_nulls_first() for c in head])
+    # one struct key per group: a NULL-safe equi-join key (struct equality treats
+    # NULL fields as equal) and the window's partition key, so the join and the
+    # window share one hash partitioning
+    t = df.withColumn("_g", F.struct(partition, *head))
+    counts = t.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
+    wg = (Window.partitionBy(F.col("_g")[partition])
+          .orderBy(*[F.col("_g")[c].asc_nulls_first() for c in head])
           .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(*[F.col(c).alias(f"_g_{c}") for c in [partition, *head]],
-                            F.coalesce(F.sum("_n").over(wg), F.lit(0)).alias("_off"))
-    cond = [df[c].eqNullSafe(offsets[f"_g_{c}"]) for c in [partition, *head]]
-    j = df.join(offsets, cond).drop(*[f"_g_{c}" for c in [partition, *head]])
-    w = Window.partitionBy(partition, *head).orderBy(*[F.col(c).asc_nulls_first() for c in tail])
-    return j.withColumn(name, (F.row_number().over(w) + F.col("_off")).cast("int")).drop("_off")
+    offsets = counts.select("_g", F.coalesce(F.sum("_n").over(wg), F.lit(0)).alias("_off"))
+    w = Window.partitionBy("_g").orderBy(*[F.col(c).asc_nulls_first() for c in tail])
+    return (t.join(offsets, "_g")
+             .withColumn(name, (F.row_number().over(w) + F.col("_off")).cast("int"))
+             .drop("_g", "_off"))

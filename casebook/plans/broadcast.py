@@ -38,3 +38,15 @@ def literal_table(spark: SparkSession, rows: Sequence[tuple], columns: Sequence[
     names = ", ".join(columns)
     casts = ", ".join(f"CAST({c} AS {t}) AS {c}" for c, t in zip(columns, types))
     return F.broadcast(spark.sql(f"SELECT {casts} FROM VALUES {values} AS t({names})"))
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_LITERAL_ROWS) -> DataFrame:
+    """Broadcast a data-derived dimension only after checking its size, else leave
+    the join to Spark (shuffle join, AQE skew handling).
+
+    The check is one ``count()`` job over the (already reduced) dimension. It is used
+    for dimensions joined on a tiny key domain, such as pizza kinds or regions. There
+    a shuffle join would hash every fact row onto a handful of keys, and AQE's runtime
+    switch to a broadcast would come only after that shuffle had been written.
+    """
+    return F.broadcast(df) if df.count() <= max_rows else df

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.plans.broadcast import literal_table
+from casebook.plans.broadcast import broadcast_if_small, literal_table
 from casebook.sources.tables import read_table
 
 OPEN_END = "9999-12-31"
@@ -90,9 +90,10 @@ def subscriptions(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- bank
 
 def regions(spark: SparkSession, d: str) -> DataFrame:
-    """region_id INT, region_name STRING."""
-    return read_table(spark, d, "region", "r_regionkey", "r_name").select(
-        F.col("r_regionkey").alias("region_id"), F.col("r_name").alias("region_name"))
+    """region_id INT, region_name STRING (broadcast after a size check: facts are
+    joined to it on a handful of keys)."""
+    return broadcast_if_small(read_table(spark, d, "region", "r_regionkey", "r_name").select(
+        F.col("r_regionkey").alias("region_id"), F.col("r_name").alias("region_name")))
 
 
 def customer_nodes(spark: SparkSession, d: str) -> DataFrame:
@@ -164,11 +165,14 @@ def pizza_toppings(spark: SparkSession) -> DataFrame:
 
 
 def pizza_names(spark: SparkSession, d: str) -> DataFrame:
-    """pizza_id INT, pizza_name STRING: one pizza per part brand."""
-    return (read_table(spark, d, "part", "p_brand")
-            .select(F.substring("p_brand", 7, 10).cast("int").alias("pizza_id"),
-                    F.col("p_brand").alias("pizza_name"))
-            .distinct())
+    """pizza_id INT, pizza_name STRING: one pizza per part brand. Joined against
+    order lines on a tiny key domain, so it is broadcast after a size check
+    (:func:`casebook.plans.broadcast.broadcast_if_small`)."""
+    names = (read_table(spark, d, "part", "p_brand")
+             .select(F.substring("p_brand", 7, 10).cast("int").alias("pizza_id"),
+                     F.col("p_brand").alias("pizza_name"))
+             .distinct())
+    return broadcast_if_small(names)
 
 
 def pizza_recipes(spark: SparkSession, d: str) -> DataFrame:
