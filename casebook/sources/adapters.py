@@ -104,7 +104,7 @@ def customer_nodes(spark: SparkSession, d: str) -> DataFrame:
     """
     o = read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     c = read_table(spark, d, "customer", "c_custkey", "c_nationkey")
-    n = read_table(spark, d, "nation", "n_nationkey", "n_regionkey")
+    n = broadcast_if_small(read_table(spark, d, "nation", "n_nationkey", "n_regionkey"))
     # the next order comes from a bucketed lead, so one very active customer is
     # split by month across tasks (see casebook.operators.sequence.shift_rows)
     from casebook.operators.sequence import shift_rows
