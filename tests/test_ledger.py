@@ -123,3 +123,18 @@ def test_percentile_approx_option(spark):
     ap = LE.interval_stats(df, "s", "e", by="g", exact=False).collect()[0]
     assert ex.p50_days == pytest.approx(500.5)
     assert abs(ap.p50_days - ex.p50_days) <= 1 and abs(ap.p95_days - ex.p95_days) <= 1
+
+
+def test_running_balance_split_spreads_hot_customer(spark):
+    n = 20000
+    hot = spark.range(n).select(F.lit(1).alias("customer_id"),
+                                F.date_add(F.lit(D(2015, 1, 1)), (F.col("id") / 3).cast("int")).alias("d"),
+                                F.col("id").alias("seq"), F.lit(Decimal("1.00")).alias("net"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        split = LE.running_balance(hot, "customer_id", ["d", "seq"], "net", bucket=F.trunc("d", "month"))
+        parts = split.withColumn("p", F.spark_partition_id()).groupBy("p").agg(F.max("balance")).collect()
+        assert len(parts) >= 4
+        assert split.agg(F.max("balance")).collect()[0][0] == Decimal(n)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
