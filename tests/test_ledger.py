@@ -127,10 +127,12 @@ def test_percentile_approx_option(spark):
 
 def test_running_balance_split_spreads_hot_customer(spark):
     n = 20000
-    hot = spark.range(n).select(F.lit(1).alias("customer_id"),
+    # a computed (not literal) key, and no broadcasts: as with real data at scale
+    hot = spark.range(n).select((F.col("id") * 0 + 1).alias("customer_id"),
                                 F.date_add(F.lit(D(2015, 1, 1)), (F.col("id") / 3).cast("int")).alias("d"),
                                 F.col("id").alias("seq"), F.lit(Decimal("1.00")).alias("net"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         split = LE.running_balance(hot, "customer_id", ["d", "seq"], "net", bucket=F.trunc("d", "month"))
         parts = split.withColumn("p", F.spark_partition_id()).groupBy("p").agg(F.max("balance")).collect()
@@ -138,3 +140,4 @@ def test_running_balance_split_spreads_hot_customer(spark):
         assert split.agg(F.max("balance")).collect()[0][0] == Decimal(n)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
