@@ -465,6 +465,18 @@ def q_downgrades(spark, d):
                                 year=REPORT_YEAR, name="n_downgrades", bucket=_month_bucket())
 
 
+@query("monthly_renewal_dates")
+def q_renewals(spark, d):
+    """O12 on its own: every monthly renewal date of every paid change (sticky month
+    ends), from its start until the next change or the horizon."""
+    t = SQ.plan_transitions(_subs(spark, d), "customer_id", "start_date", "plan_id", "sub_seq", prev=False,
+                            bucket=_month_bucket())
+    paid = t.filter(F.col("plan_id").isin(1, 2, 3)).withColumn(
+        "end_date", F.coalesce("next_start_date", F.lit(BILLING_HORIZON).cast("date")))
+    out = BI.recurring_dates(paid, "start_date", "end_date", 1, out="renewal_date")
+    return out.select("customer_id", "plan_id", "renewal_date")
+
+
 @query("payment_ledger")
 def q_ledger(spark, d):
     return BI.billing_ledger(_subs(spark, d), A.plans(spark), BILLING_HORIZON, bucket=_month_bucket())
