@@ -42,17 +42,22 @@ def main() -> None:
 
     times: dict[str, float] = {}
     cold: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name, fn in QUERIES.items():
         if only and name not in only:
             continue
         best = None
-        for i in range(repeat):
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            dt = time.perf_counter() - t0
-            if i == 0:
-                cold[name] = dt
-            best = dt if best is None else min(best, dt)
+        try:
+            for i in range(repeat):
+                t0 = time.perf_counter()
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                dt = time.perf_counter() - t0
+                if i == 0:
+                    cold[name] = dt
+                best = dt if best is None else min(best, dt)
+        except Exception as e:  # noqa: BLE001 - recorded, the other queries still run
+            errors[name] = str(e).splitlines()[0][:300]
+            continue
         times[name] = round(best, 3)
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
@@ -66,6 +71,7 @@ def main() -> None:
         "cold_value": round(sum(cold.values()), 3),
         "repeat": repeat,
         "cpus": cpus,
+        "errors": errors,
     }))
     spark.stop()
 
