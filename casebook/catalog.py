@@ -88,6 +88,12 @@ def q_favourite(spark, d):
     return AG.top_k_items(A.sales(spark, d), "product_id", k=1, by="customer_id", count_name="n_bought")
 
 
+@query("favourite_items_all_ties")
+def q_favourite_ties(spark, d):
+    """Every item tied for a customer's highest purchase count."""
+    return AG.top_k_items(A.sales(spark, d), "product_id", k=1, by="customer_id", count_name="n_bought", ties="all")
+
+
 @query("first_item_after_joining")
 def q_first_after(spark, d):
     return SQ.asof_event(A.sales(spark, d), A.members(spark, d), "customer_id", "order_date",

@@ -206,6 +206,12 @@ SELECT customer_id, product_id, n_bought FROM (
   FROM (SELECT customer_id, product_id, COUNT(*) AS n_bought FROM sales GROUP BY customer_id, product_id))
 WHERE rn = 1""",
 
+    "favourite_items_all_ties": _with(SALES) + """
+SELECT customer_id, product_id, n_bought FROM (
+  SELECT customer_id, product_id, n_bought, RANK() OVER (PARTITION BY customer_id ORDER BY n_bought DESC) AS rk
+  FROM (SELECT customer_id, product_id, COUNT(*) AS n_bought FROM sales GROUP BY customer_id, product_id))
+WHERE rk = 1""",
+
     "first_item_after_joining": _with(SALES, MEMBERS) + """
 SELECT customer_id, order_date, product_id FROM (
   SELECT s.customer_id, s.order_date, s.product_id,
