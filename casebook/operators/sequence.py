@@ -52,10 +52,12 @@ def asof_event(facts: DataFrame, anchors: DataFrame, key, fact_order, anchor_dat
                value, side: str = "after", inclusive: bool = False) -> DataFrame:
     """First fact after (or last fact before) each entity's anchor date.
 
-    An equi-join on ``key`` with the range as a join residual (Catalyst keeps it as
-    the join condition, not a post-join filter), then a first/last aggregate.
-    Entities without such a fact are absent (inner semantics, as the question asks
-    about the events that exist).
+    ``anchors`` holds at most one row per key (e.g. a membership table with a join
+    date). Every fact then meets exactly one anchor, so the equi-join on ``key`` (with
+    the range as a join residual) is linear in the facts and pairs nothing. A hot key
+    is split by AQE's skew-join handling on the fact side, and the first/last
+    aggregate has a partial phase. Entities without such a fact are absent (inner
+    semantics: the question is about the events that exist).
     """
     keys, order = _cols(key), _cols(fact_order)
     d = F.col(order[0])
