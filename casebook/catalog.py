@@ -551,6 +551,13 @@ def q_monthly_balance(spark, d):
     return _monthly_balances(spark, d)
 
 
+@query("monthly_closing_balance_filled")
+def q_monthly_balance_filled(spark, d):
+    """Closing balance for every month from a customer's first month to the last
+    month of the data, months without transactions carrying the previous balance."""
+    return LE.densify_months(_monthly_balances(spark, d), "customer_id", "month", "balance")
+
+
 @query("balance_growth_over_5pct")
 def q_growth(spark, d):
     return LE.growth_over_threshold(_monthly_balances(spark, d), "customer_id", "month", "balance", 0.05)

@@ -158,6 +158,28 @@ def densify_daily(bal: DataFrame, key: str, date: str, value: str, end,
                     F.col(value).alias(value_name))
 
 
+def densify_months(bal: DataFrame, key: str, month: str, value: str, end_month=None,
+                   value_name: str | None = None) -> DataFrame:
+    """One row per entity per month ('yyyy-MM') from its first month to
+    ``end_month``, each month carrying the latest value (forward fill): the monthly
+    form of :func:`densify_daily`. ``end_month=None``: the latest month present in
+    ``bal`` (a scalar subquery). Narrow expansion after one window on the key."""
+    first_day = F.to_date(F.concat(F.col(month), F.lit("-01")))
+    if end_month is None:
+        end = F.to_date(F.concat(bal.agg(F.max(month)).scalar(), F.lit("-01")))
+    else:
+        end = F.to_date(F.lit(f"{end_month}-01"))
+    w = Window.partitionBy(key).orderBy(month)
+    # the end is projected into a column first (a scalar subquery may not sit
+    # inside the higher-order function below)
+    t = bal.withColumn("_m", first_day).withColumn("_end", end).filter(F.col("_m") <= F.col("_end")) \
+           .withColumn("_next", F.lead("_m").over(w))
+    last = F.coalesce(F.add_months(F.col("_next"), -1), F.col("_end"))
+    months = F.sequence(F.col("_m"), last, F.expr("INTERVAL 1 MONTH"))
+    labels = F.transform(months, lambda m: F.date_format(m, "yyyy-MM"))
+    return t.select(F.col(key), F.explode(labels).alias(month), F.col(value).alias(value_name or value))
+
+
 def daily_balances(txns: DataFrame, key: str, date: str, type_col: str, amount: str, end=None,
                    credit: Sequence[str] = ("deposit",),
                    debit: Sequence[str] = ("purchase", "withdrawal")) -> DataFrame:

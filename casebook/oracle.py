@@ -560,6 +560,24 @@ SELECT customer_id, month, net,
        CAST(SUM(net) OVER (PARTITION BY customer_id ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(18,2)) AS balance
 FROM net""",
 
+    "monthly_closing_balance_filled": _with(TXNS) + """,
+net AS (SELECT customer_id, strftime(txn_date, '%Y-%m') AS month,
+               CAST(SUM(CASE WHEN txn_type = 'deposit' THEN txn_amount
+                             WHEN txn_type IN ('purchase', 'withdrawal') THEN -txn_amount ELSE 0 END) AS DECIMAL(18,2)) AS net
+        FROM customer_transactions GROUP BY 1, 2),
+bal AS (SELECT customer_id, month,
+               CAST(SUM(net) OVER (PARTITION BY customer_id ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(18,2)) AS balance
+        FROM net),
+grid AS (SELECT customer_id,
+                strftime(unnest(generate_series(CAST(MIN(month) || '-01' AS DATE),
+                                                (SELECT CAST(MAX(month) || '-01' AS DATE) FROM net),
+                                                INTERVAL 1 MONTH)), '%Y-%m') AS month
+         FROM net GROUP BY customer_id)
+SELECT g.customer_id, g.month,
+       LAST_VALUE(b.balance IGNORE NULLS) OVER (PARTITION BY g.customer_id ORDER BY g.month
+                                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS balance
+FROM grid g LEFT JOIN bal b ON g.customer_id = b.customer_id AND g.month = b.month""",
+
     "balance_growth_over_5pct": _with(TXNS) + """,
 net AS (SELECT customer_id, strftime(txn_date, '%Y-%m') AS month,
                CAST(SUM(CASE WHEN txn_type = 'deposit' THEN txn_amount

@@ -141,3 +141,11 @@ def test_running_balance_split_spreads_hot_customer(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_densify_months(spark):
+    bal = spark.createDataFrame([(1, "2020-01", Decimal("5")), (1, "2020-03", Decimal("7")), (2, "2020-04", Decimal("1"))],
+                                "customer_id int, month string, balance decimal(18,2)")
+    got = rows(LE.densify_months(bal, "customer_id", "month", "balance"))
+    assert got == [(1, "2020-01", Decimal("5.00")), (1, "2020-02", Decimal("5.00")), (1, "2020-03", Decimal("7.00")),
+                   (1, "2020-04", Decimal("7.00")), (2, "2020-04", Decimal("1.00"))]
