@@ -465,6 +465,15 @@ def q_days_buckets(spark, d):
     return b.groupBy("bucket", "days_range").agg(F.count(F.lit(1)).alias("n_customers"))
 
 
+@query("days_to_annual_buckets_capped")
+def q_days_buckets_capped(spark, d):
+    """Literal variant of the 30-day breakdown: everything past 180 days in one
+    '180+ days' bucket."""
+    t = SQ.time_between_states(_subs(spark, d), "customer_id", "start_date", "plan_id", 0, 3)
+    b = AG.bucketize(t, "days", 30, cap=180, index_name="bucket", label_name="days_range")
+    return b.groupBy("bucket", "days_range").agg(F.count(F.lit(1)).alias("n_customers"))
+
+
 @query("downgrades_in_year")
 def q_downgrades(spark, d):
     return SQ.count_transitions(_subs(spark, d), "customer_id", "start_date", "plan_id", 2, 1, "sub_seq",

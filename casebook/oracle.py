@@ -478,6 +478,18 @@ SELECT bucket, CAST((bucket - 1) * 30 AS VARCHAR) || '-' || CAST(bucket * 30 AS
        COUNT(*) AS n_customers
 FROM b GROUP BY bucket""",
 
+    "days_to_annual_buckets_capped": _with(SUBS) + """,
+t AS (SELECT a.customer_id, a.d3 - j.d0 AS days
+      FROM (SELECT customer_id, MIN(start_date) AS d3 FROM subscriptions WHERE plan_id = 3 GROUP BY customer_id) a
+      JOIN (SELECT customer_id, MIN(start_date) AS d0 FROM subscriptions WHERE plan_id = 0 GROUP BY customer_id) j
+      ON a.customer_id = j.customer_id WHERE a.d3 >= j.d0),
+b AS (SELECT CAST(least(greatest(ceil(days / 30.0), 1), 7) AS INTEGER) AS bucket FROM t)
+SELECT bucket,
+       CASE WHEN bucket = 7 THEN '180+ days'
+            ELSE CAST((bucket - 1) * 30 AS VARCHAR) || '-' || CAST(bucket * 30 AS VARCHAR) || ' days' END AS days_range,
+       COUNT(*) AS n_customers
+FROM b GROUP BY bucket""",
+
     "downgrades_in_year": _with(SUBS) + f"""
 SELECT COUNT(*) FILTER (WHERE prev_plan = 2 AND plan_id = 1 AND year(start_date) = {C.REPORT_YEAR}) AS n_downgrades
 FROM (SELECT *, LAG(plan_id) OVER (PARTITION BY customer_id ORDER BY start_date, sub_seq) AS prev_plan FROM subscriptions)""",
