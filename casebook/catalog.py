@@ -444,6 +444,17 @@ def q_plan_mix(spark, d):
     return mix.join(A.plans(spark), "plan_id").select("plan_id", "plan_name", "n_customers", "n_active", "pct")
 
 
+@query("plan_mix_before_date_active")
+def q_plan_mix_literal(spark, d):
+    """Literal variant of the plan mix: states strictly before the date, churned
+    customers left out of both counts."""
+    cur = SQ.state_as_of(_subs(spark, d), "customer_id", "start_date", "plan_id", PLAN_MIX_DATE,
+                         inclusive=False, tiebreak="sub_seq").filter(F.col("plan_id") != 4)
+    mix = AG.share_of_total(cur, F.lit(True), by="plan_id", within="all",
+                            n_name="n_customers", total_name="n_active", pct_name="pct")
+    return mix.join(A.plans(spark), "plan_id").select("plan_id", "plan_name", "n_customers", "n_active", "pct")
+
+
 @query("annual_upgrades_in_year")
 def q_annual_year(spark, d):
     in_year = F.col("start_date").between(F.lit(f"{REPORT_YEAR}-01-01").cast("date"),

@@ -458,6 +458,14 @@ SELECT c.plan_id, p.plan_name, COUNT(*) AS n_customers, (SELECT COUNT(*) FROM cu
        ROUND(COUNT(*) * 100.0 / (SELECT COUNT(*) FROM cur), 1) AS pct
 FROM cur c JOIN plans p ON c.plan_id = p.plan_id GROUP BY c.plan_id, p.plan_name""",
 
+    "plan_mix_before_date_active": _with(SUBS, PLANS_CTE) + f""",
+cur AS (SELECT customer_id, plan_id FROM (
+          SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY start_date DESC, sub_seq DESC) AS rn
+          FROM subscriptions WHERE start_date < DATE '{C.PLAN_MIX_DATE}') WHERE rn = 1 AND plan_id <> 4)
+SELECT c.plan_id, p.plan_name, COUNT(*) AS n_customers, (SELECT COUNT(*) FROM cur) AS n_active,
+       ROUND(COUNT(*) * 100.0 / (SELECT COUNT(*) FROM cur), 1) AS pct
+FROM cur c JOIN plans p ON c.plan_id = p.plan_id GROUP BY c.plan_id, p.plan_name""",
+
     "annual_upgrades_in_year": _with(SUBS) + f"""
 SELECT COUNT(DISTINCT customer_id) AS n_customers FROM subscriptions WHERE plan_id = 3 AND year(start_date) = {C.REPORT_YEAR}""",
 
