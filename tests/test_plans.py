@@ -46,7 +46,7 @@ def test_scans_are_pruned(spark):
     assert "l_extendedprice" not in text and "o_totalprice" not in text
 
 
-@pytest.mark.parametrize("name", ["favourite_item_per_customer", "first_day_items_all_ties"])
+@pytest.mark.parametrize("name", ["favourite_item_per_customer", "favourite_items_all_ties", "first_day_items_all_ties"])
 def test_per_key_top_k_is_limited_before_the_shuffle(spark, name):
     from casebook.plans.inspect import physical_plan
     text = physical_plan(QUERIES[name](spark, SF_SMALL), "simple")
