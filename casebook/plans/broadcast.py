@@ -49,4 +49,6 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_LITERAL_ROWS) -> DataF
     a shuffle join would hash every fact row onto a handful of keys, and AQE's runtime
     switch to a broadcast would come only after that shuffle had been written.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    # counting at most max_rows + 1 rows decides the bound without counting a large
+    # dimension to the end
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

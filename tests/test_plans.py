@@ -4,6 +4,7 @@ single-partition exchange, and the shuffle budget of the flagship operators."""
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from casebook.catalog import QUERIES
 from casebook.plans.inspect import exchanges
@@ -71,3 +72,19 @@ def test_date_and_segment_filters_reach_the_scan(spark, name, needle):
     from casebook.plans.inspect import physical_plan
     text = physical_plan(QUERIES[name](spark, SF_SMALL), "simple")
     assert any("PushedFilters" in l and needle in l for l in text.splitlines())
+
+
+def test_broadcast_if_small_checks_the_bound(spark):
+    from casebook.plans.broadcast import broadcast_if_small
+    from casebook.plans.inspect import physical_plan
+    small = spark.range(10).withColumnRenamed("id", "k")
+    big = spark.range(50).withColumnRenamed("id", "k")
+    facts = spark.range(1000).select((F.col("id") % 50).alias("k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hinted = physical_plan(facts.join(broadcast_if_small(small, max_rows=20), "k"), "simple")
+        plain = physical_plan(facts.join(broadcast_if_small(big, max_rows=20), "k"), "simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in hinted
+    assert "BroadcastHashJoin" not in plain
