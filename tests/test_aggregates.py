@@ -86,3 +86,23 @@ def test_change_flags_null_lists(spark):
                                "c int, ex array<int>, xt array<int>")
     r = AG.change_flags(df, "c", ["ex", "xt"]).collect()[0]
     assert (r.n_changed, r.n_unchanged, r.n_both_changed) == (2, 2, 1)
+
+
+def test_duration_buckets_and_rates(spark):
+    T = dt.datetime
+    df = spark.createDataFrame([
+        ("r1", T(2020, 1, 1, 10, 0, 59), T(2020, 1, 1, 10, 1, 0), D(2020, 1, 1), D(2020, 1, 31), 10.0, 20),
+        ("r1", T(2020, 1, 1, 10, 0, 0), T(2020, 1, 1, 10, 30, 0), D(2021, 6, 1), D(2021, 6, 2), 5.0, 0),
+        ("r2", T(2020, 1, 2, 23, 0, 0), None, D(2021, 6, 1), D(2021, 6, 1), 6.0, 30),
+    ], "r string, a timestamp_ntz, b timestamp_ntz, s date, e date, km double, mins int")
+    mins = {r.r: r for r in AG.duration_stats(df, "a", "b", "minute", by="r").collect()}
+    assert (mins["r1"].min, mins["r1"].max, mins["r1"].range) == (1, 30, 29)
+    assert mins["r2"].avg is None  # no end time: ignored
+    days = AG.duration_stats(df, "s", "e", "day", prefix="d_").collect()[0]
+    assert (days.d_min, days.d_max) == (0, 30)
+    by_year = rows(AG.time_bucket_counts(df, "s", "year"), "year", "n")
+    assert by_year == [(2020, 1), (2021, 2)]
+    by_date = rows(AG.time_bucket_counts(df, "a", "date", distinct="r"), "date", "n")
+    assert by_date == [(D(2020, 1, 1), 1), (D(2020, 1, 2), 1)]
+    rate = dict(rows(AG.rate_stats(df, "km", "mins", by="r", scale=60.0, name="kmh"), "r", "kmh"))
+    assert rate["r1"] == pytest.approx(30.0) and rate["r2"] == pytest.approx(12.0)  # zero duration ignored
