@@ -295,9 +295,10 @@ def q_success(spark, d):
 
 @query("recipe_ingredients")
 def q_recipe_ingredients(spark, d):
-    dec = CL.decode_list(A.pizza_recipes(spark, d), "pizza_id", "toppings", A.pizza_toppings(spark),
+    names = A.pizza_names(spark, d)
+    dec = CL.decode_list(A.pizza_recipes(spark, d, names), "pizza_id", "toppings", A.pizza_toppings(spark),
                          out="ingredients", parsed=False)
-    return dec.join(A.pizza_names(spark, d), "pizza_id").select("pizza_name", "ingredients")
+    return dec.join(names, "pizza_id").select("pizza_name", "ingredients")
 
 
 def _top_list_entry(spark, d, col):
@@ -327,7 +328,8 @@ def q_line_labels(spark, d):
 
 @query("ingredient_bill")
 def q_bill(spark, d):
-    return RE.ingredient_bill(_lines(spark, d, True), A.pizza_recipes(spark, d), A.pizza_names(spark, d), A.TOPPINGS)
+    names = A.pizza_names(spark, d)
+    return RE.ingredient_bill(_lines(spark, d, True), A.pizza_recipes(spark, d, names), names, A.TOPPINGS)
 
 
 @query("ingredient_usage_delivered")

@@ -175,13 +175,14 @@ def pizza_names(spark: SparkSession, d: str) -> DataFrame:
     return broadcast_if_small(names)
 
 
-def pizza_recipes(spark: SparkSession, d: str) -> DataFrame:
-    """pizza_id INT, toppings STRING (raw delimited list, 4 or 5 topping ids)."""
+def pizza_recipes(spark: SparkSession, d: str, names: DataFrame | None = None) -> DataFrame:
+    """pizza_id INT, toppings STRING (raw delimited list, 4 or 5 topping ids).
+    ``names``: the pizza names already built by the caller (avoids a second pass)."""
     b = F.col("pizza_id")
     ids = [(b + k) % N_TOPPINGS + 1 for k in (0, 3, 5, 8)]
     base = F.concat_ws(", ", *[i.cast("string") for i in ids])
     fifth = ((b + 10) % N_TOPPINGS + 1).cast("string")
-    return pizza_names(spark, d).select(
+    return (names if names is not None else pizza_names(spark, d)).select(
         "pizza_id",
         F.when(b % 3 == 0, F.concat(base, F.lit(","), fifth)).otherwise(base).alias("toppings"))
 
