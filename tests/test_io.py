@@ -58,3 +58,33 @@ def test_namespace_table_roundtrip(spark):
     t = spark.table("casebook_test.ratings").alias("r")
     assert t.dtypes == [("order_id", "int"), ("rating", "int")]
     assert rows(t) == [(1, 5), (2, 3)]
+
+
+def test_checkpoint_dir_never_local_on_a_cluster():
+    """No configured checkpoint folder: local mode may use a temporary folder, a
+    cluster master must not (a lost executor would lose it)."""
+    import pytest
+    from casebook.session import checkpoint_dir
+
+    class _SC:
+        def __init__(self, master):
+            self.master, self.dir = master, None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, d):
+            self.dir = d
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _Spark:
+        def __init__(self, master):
+            self.sparkContext, self.conf = _SC(master), _Conf()
+
+    with pytest.raises(ValueError):
+        checkpoint_dir(_Spark("yarn"))
+    assert checkpoint_dir(_Spark("local[4]"))
+    assert checkpoint_dir(_Spark("yarn"), fallback="hdfs:///shared/ckpt") == "hdfs:///shared/ckpt"
