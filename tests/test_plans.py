@@ -88,3 +88,10 @@ def test_broadcast_if_small_checks_the_bound(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in hinted
     assert "BroadcastHashJoin" not in plain
+
+
+def test_count_nodes(spark):
+    from casebook.plans.inspect import count_nodes
+    df = QUERIES["payment_ledger"](spark, SF_SMALL)
+    assert count_nodes(df, r"Generate posexplode") == 1
+    assert count_nodes(df, r"Window \[") >= 1
