@@ -18,8 +18,9 @@ def physical_plan(df: DataFrame, mode: str = "formatted") -> str:
 
 
 def count_nodes(df: DataFrame, pattern: str) -> int:
-    """Number of physical operators whose line matches ``pattern``."""
-    return sum(1 for line in physical_plan(df).splitlines() if re.search(pattern, line))
+    """Number of physical operators whose line matches ``pattern`` (``simple`` mode:
+    one line per operator; ``formatted`` lists each operator twice)."""
+    return sum(1 for line in physical_plan(df, "simple").splitlines() if re.search(pattern, line))
 
 
 def exchanges(df: DataFrame) -> dict[str, int]:
