@@ -5,25 +5,63 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from casebook.llm import quality, url_filter
+from casebook.llm import bpe, packing, pii, quality, toxicity, url_filter, warc
 from casebook.sources.tables import read_table
 
+BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+PACKING_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "documents", "doc_id", "text")
+
+
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.load_ranks(BPE_RANKS)
+    return bpe.digests(bpe.encode(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN), ranks)
+
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.judge_quality(read_table(spark, sf_dir, "documents", "doc_id", "text"), read_table(spark, sf_dir, "labels"))
+    judged = quality.judge_quality(_documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _documents(spark, sf_dir)
+    scored = toxicity.score_documents(documents, toxicity.train(documents, read_table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.is_held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _documents(spark, sf_dir)
+    return pii.find_personal_data(documents, pii.train(documents))
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_documents(spark, sf_dir), PACKING_TOKENIZER)
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge_urls(read_table(spark, sf_dir, "pages", "page_id", "url"))
     return judged.select("page_id", "host", "path", "rule", "verdict", "lm_score")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_byte_bpe": op1_byte_bpe,
     "op3_quality_rules": op3_quality_rules,
+    "op5_warc": op5_warc,
+    "op6_toxicity": op6_toxicity,
+    "op7_pii": op7_pii,
+    "op9_best_fit_packing": op9_best_fit_packing,
     "op10_url_filter": op10_url_filter,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_warc": warc.SQL}
