@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.llm import bpe, packing, pii, quality, toxicity, url_filter, warc
+from casebook.llm import bpe, jaccard, packing, pii, quality, topk, toxicity, url_filter, warc
 from casebook.sources.tables import read_table
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -30,6 +30,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(_documents(spark, sf_dir), n=4, percent=85)
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
@@ -45,6 +49,10 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(documents, pii.train(documents))
 
 
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"), k=20)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), PACKING_TOKENIZER)
 
@@ -57,11 +65,13 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_quality_rules": op3_quality_rules,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_warc": op5_warc,
     "op6_toxicity": op6_toxicity,
     "op7_pii": op7_pii,
+    "op8_exact_top_k": op8_exact_top_k,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_url_filter": op10_url_filter,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_warc": warc.SQL}
+ORACLE_SQL: dict[str, str] = {"op5_warc": warc.SQL, "op8_exact_top_k": topk.SQL}
