@@ -109,7 +109,7 @@ def set_key(grams: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, n: int, percent: int, cells: np.ndarray) -> DataFrame:
-    """``doc_id, key, size, tokens``: the set's digest, its size and the n-grams whose
+    """``doc_id, t, key, size, tokens``: the set's digest, its size and the n-grams whose
     lists it must scan, rarest first (all of them for small sets)."""
     shared = docs.sparkSession.sparkContext.broadcast(np.minimum(cells, (1 << 20) - 1).astype(np.int32))  # CELLS numbers
 
@@ -127,9 +127,10 @@ def signatures(docs: DataFrame, n: int, percent: int, cells: np.ndarray) -> Data
                 sizes.append(size)
                 tokens.append(np.sort(ranked[a:e])[:keep].astype(np.int64).tobytes())
                 a = e
-            yield pa.RecordBatch.from_arrays([column(table, "doc_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(tokens, pa.binary())], ["doc_id", "key", "size", "tokens"])
+            yield pa.RecordBatch.from_arrays([column(table, "doc_id"), column(table, "t"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(tokens, pa.binary())],
+                                             ["doc_id", "t", "key", "size", "tokens"])
 
-    return docs.mapInArrow(run, "doc_id long, key binary, size long, tokens binary")
+    return docs.withColumn("t", F.xxhash64("text")).mapInArrow(run, "doc_id long, t long, key binary, size long, tokens binary")
 
 
 def subset_count(size: int, boundary: int, percent: int) -> int:
@@ -291,8 +292,8 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
 
 
 def jaccard_components(documents: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row: the smallest id reachable by
-    links, where 100 * |A and B| >= percent * |A or B|."""
+    """``doc_id, n_shingles, component_id, t`` of every row: the smallest id reachable by
+    links, where 100 * |A and B| >= percent * |A or B|; t is a hash of the text."""
     docs = id_text(documents, id_col, text_col)
     signed = stage(signatures(docs, n, percent, rarity(docs, n)), "join-signatures")
     classes = (signed.where("size > 0").groupBy("key").agg(F.min("doc_id").alias("first_id"), F.min("size").alias("size"), F.min("tokens").alias("tokens")))
@@ -321,5 +322,19 @@ def jaccard_components(documents: DataFrame, n: int, percent: int, id_col: str =
     of_class = classes.select("key", "first_id", "cid").join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     ids = of_class.groupBy("comp").agg(F.min("first_id").alias("component_id"))
     by_key = of_class.join(ids, "comp").select("key", "component_id")
-    out = signed.select("doc_id", "key", F.col("size").alias("n_shingles")).join(by_key, "key", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    out = signed.select("doc_id", "t", "key", F.col("size").alias("n_shingles")).join(by_key, "key", "left")
+    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "t")
+
+
+def one_of_each(documents: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, of one document per component: that with the
+    smallest id. Documents with an empty set all stay; rows that repeat an id and its
+    text count as one."""
+    ident = lambda c: F.coalesce(c, F.lit(-(1 << 63)))
+    found = jaccard_components(documents, n, percent, id_col, text_col)
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t")
+    first = found.where("n_shingles > 0").groupBy("component_id").agg(F.min(order).alias("first_")).select("first_.doc_id", "first_.t")
+    keep = first.unionByName(found.where("n_shingles = 0").select("doc_id", "t"))
+    keep = stage(keep.select(ident(F.col("doc_id")).alias("d__"), F.col("t").alias("t__")).distinct(), "join-kept")
+    marked = documents.withColumns({"d__": ident(F.col(f"`{id_col}`")), "t__": F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))})
+    return marked.join(keep, ["d__", "t__"], "left_semi").dropDuplicates(["d__", "t__"]).drop("d__", "t__")

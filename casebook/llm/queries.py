@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.llm import bpe, jaccard, packing, pii, quality, topk, toxicity, url_filter, warc
+from casebook.llm import bpe, jaccard, packing, pii, quality, suffix_dedup, topk, toxicity, url_filter, warc
 from casebook.sources.tables import read_table
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -25,13 +25,17 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN), ranks)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(_documents(spark, sf_dir))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge_quality(_documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr")
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(_documents(spark, sf_dir), n=4, percent=85)
+    return jaccard.jaccard_components(_documents(spark, sf_dir), n=4, percent=85).select("doc_id", "n_shingles", "component_id")
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +68,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_warc": op5_warc,
