@@ -38,8 +38,8 @@ from casebook.llm.common import blocks, column, id_text, mix, spread, stage
 LENGTH = 200
 GRAM = 40
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-BLOCK_BYTES = 4 << 20
-SORT_BYTES = 2 << 20  # bytes sorted at once; a part of one anchor hash stays whole
+BLOCK_BYTES = 1 << 20
+SORT_BYTES = 1 << 20  # bytes sorted at once; a part of one anchor hash stays whole
 CROWD = 20_000  # different runs of one anchor hash that are still sorted in one part
 
 
