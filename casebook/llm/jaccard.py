@@ -42,7 +42,7 @@ CELLS = 1 << 20  # of the rarity table, for any input size
 CELL_PARTS = 64
 SMALL = 24  # sets up to this size keep all their n-grams for subset enumeration
 PIVOTS = 4  # per list and round
-ROUNDS = 3  # of pivots, before all pairs left are verified
+ROUNDS = 2  # of pivots, before all pairs left are verified
 
 
 def ceil_share(n, percent: int):
@@ -248,6 +248,9 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], ["a", "b"])
 
+    # Only the sets in question travel.
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    sets = sets.join(ids, "cid", "left_semi")
     with_a = pairs.join(sets.select(F.col("cid").alias("a"), F.col("grams").alias("grams_a")), "a")
     with_b = with_a.join(sets.select(F.col("cid").alias("b"), F.col("grams").alias("grams_b")), "b")
     return with_b.select("a", "b", "grams_a", "grams_b").mapInArrow(run, "a long, b long")
@@ -275,6 +278,11 @@ def connected(comps: DataFrame, links: DataFrame) -> DataFrame:
     return stage(merged.select("cid", F.coalesce("label", "comp").alias("comp")), "join-components")
 
 
+def ident(doc_id: Column) -> Column:
+    """An id to join on: null is one value."""
+    return F.coalesce(doc_id, F.lit(-(1 << 63)))
+
+
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """``cid, grams`` of the wanted classes, from one document of each."""
 
@@ -286,9 +294,10 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
             same = np.array([set_key(g) == k for g, k in zip(own, table.column("key").to_pylist())], bool)
             yield pa.RecordBatch.from_arrays([column(table, "cid").filter(pa.array(same)), pa.array([g.tobytes() for g, s in zip(own, same) if s], pa.binary())], ["cid", "grams"])
 
-    w = wanted.select(F.col("first_id").alias("w_id"), "cid", "key")
-    found = docs.join(w, docs["doc_id"].eqNullSafe(w["w_id"])).select("cid", "key", "text")
-    return found.mapInArrow(run, "cid long, grams binary").dropDuplicates(["cid"])
+    # One row of each wanted text: joined and thinned by the same key, so texts move once.
+    w = wanted.select(ident(F.col("first_id")).alias("d__"), "first_t", "cid", "key")
+    found = docs.select(ident(F.col("doc_id")).alias("d__"), "text").join(w, "d__").where(F.xxhash64("text") == F.col("first_t"))
+    return found.dropDuplicates(["d__", "cid"]).select("cid", "key", "text").mapInArrow(run, "cid long, grams binary")
 
 
 def jaccard_components(documents: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -296,7 +305,8 @@ def jaccard_components(documents: DataFrame, n: int, percent: int, id_col: str =
     links, where 100 * |A and B| >= percent * |A or B|; t is a hash of the text."""
     docs = id_text(documents, id_col, text_col)
     signed = stage(signatures(docs, n, percent, rarity(docs, n)), "join-signatures")
-    classes = (signed.where("size > 0").groupBy("key").agg(F.min("doc_id").alias("first_id"), F.min("size").alias("size"), F.min("tokens").alias("tokens")))
+    classes = (signed.where("size > 0").groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "t")).alias("first"), F.min("size").alias("size"), F.min("tokens").alias("tokens")))
+    classes = classes.select("key", F.col("first.doc_id").alias("first_id"), F.col("first.t").alias("first_t"), "size", "tokens")
     classes = stage(classes.withColumn("cid", F.monotonically_increasing_id()), "join-classes")
 
     heavy = stage(shared_lists(heavy_lists(classes, percent)), "join-lists")
@@ -305,7 +315,7 @@ def jaccard_components(documents: DataFrame, n: int, percent: int, id_col: str =
     lists = heavy.unionByName(stage(shared_lists(light_lists(classes, boundary, percent)), "join-subsets"))
 
     members = lists.select("cid").distinct()
-    wanted = stage(classes.join(members, "cid").select("cid", "key", "first_id"), "join-members")
+    wanted = stage(classes.join(members, "cid").select("cid", "key", "first_id", "first_t"), "join-members")
     sets = stage(sets_of(docs, wanted, n), "join-sets")
     comps = wanted.select("cid", F.col("cid").alias("comp"))
 
@@ -330,7 +340,6 @@ def one_of_each(documents: DataFrame, n: int, percent: int, id_col: str = "doc_i
     """The rows, with all their columns, of one document per component: that with the
     smallest id. Documents with an empty set all stay; rows that repeat an id and its
     text count as one."""
-    ident = lambda c: F.coalesce(c, F.lit(-(1 << 63)))
     found = jaccard_components(documents, n, percent, id_col, text_col)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t")
     first = found.where("n_shingles > 0").groupBy("component_id").agg(F.min(order).alias("first_")).select("first_.doc_id", "first_.t")
