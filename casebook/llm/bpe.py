@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from casebook.llm.common import blocks, column, id_text, spread
 
-BLOCK_BYTES = 32 << 20  # of text per block
+BLOCK_BYTES = 16 << 20  # of text per block
 BUCKET_BYTES = 16 << 20  # of text per word bucket
 CODES_PART = 1 << 20  # positions per row of a block
 

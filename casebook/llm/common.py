@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
 import numpy as np
@@ -32,10 +33,20 @@ def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
 
 
+def give_back() -> None:
+    """Return freed memory of this process to the system, where it can be."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def blocks(batches, column: str, target_bytes: int):
     """Regroup Arrow batches into tables holding about ``target_bytes`` of ``column``.
 
-    A larger batch is cut by rows; one long row stays whole.
+    A larger batch is cut by rows; one long row stays whole. What a block has used is
+    given back to the system before the next, as workers live on between tasks.
     """
     held, size = [], 0
     for batch in batches:
@@ -50,8 +61,10 @@ def blocks(batches, column: str, target_bytes: int):
             if size >= target_bytes or start < batch.num_rows:
                 yield pa.Table.from_batches(held)
                 held, size = [], 0
+                give_back()
     if held:
         yield pa.Table.from_batches(held)
+        give_back()
 
 
 def column(table: pa.Table, name: str) -> pa.Array:

@@ -25,6 +25,7 @@ whole component has no other.
 
 from __future__ import annotations
 
+import zlib
 from itertools import combinations
 from math import comb
 
@@ -80,18 +81,21 @@ def rarity(docs: DataFrame, n: int) -> np.ndarray:
     """How many documents' n-grams fall into each of ``CELLS`` cells, over all documents."""
     width = CELLS // CELL_PARTS
 
+    packed = lambda x: zlib.compress(x.astype("<i8").tobytes(), 1)
+    unpacked = lambda b: np.frombuffer(zlib.decompress(b), "<i8")
+
     def count(batches):
         total = np.zeros(CELLS, np.int64)
         for table in blocks(batches, "text", BLOCK_BYTES):
             _, grams = shingle_sets(column(table, "text"), n)
             total += np.bincount(_cell(grams), minlength=CELLS)
-        yield pa.RecordBatch.from_arrays([pa.array(range(CELL_PARTS), pa.int32()), pa.array([x.tobytes() for x in total.reshape(CELL_PARTS, width)], pa.binary())], ["part", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array(range(CELL_PARTS), pa.int32()), pa.array([packed(x) for x in total.reshape(CELL_PARTS, width)], pa.binary())], ["part", "counts"])
 
     def add(key, table):
         total = np.zeros(width, np.int64)
         for x in column(table, "counts"):
-            total += np.frombuffer(x.as_buffer(), np.int64)
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
+            total += unpacked(x.as_py())
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([packed(total)], pa.binary())})
 
     counted = docs.select("text").mapInArrow(count, "part int, counts binary")
     # Two levels: 64 tasks' parts are added first, so that few meet in the second.
@@ -100,7 +104,7 @@ def rarity(docs: DataFrame, n: int) -> np.ndarray:
     parts = first.groupBy("part").applyInArrow(add, "part int, counts binary").collect()  # CELLS numbers
     cells = np.zeros((CELL_PARTS, width), np.int64)
     for r in parts:
-        cells[r["part"]] = np.frombuffer(r["counts"], np.int64)
+        cells[r["part"]] = unpacked(r["counts"])
     return cells.ravel()
 
 
@@ -133,9 +137,17 @@ def signatures(docs: DataFrame, n: int, percent: int, cells: np.ndarray) -> Data
     return docs.withColumn("t", F.xxhash64("text")).mapInArrow(run, "doc_id long, t long, key binary, size long, tokens binary")
 
 
-def subset_count(size: int, boundary: int, percent: int) -> int:
-    """Lists that a set of ``size`` is in when sets up to ``boundary`` are enumerated."""
-    return sum(comb(size, c) for t in range(size, boundary + 1) if size >= (c := ceil_share(t, percent)))
+def keys_of(docs: DataFrame, n: int) -> DataFrame:
+    """``doc_id, t, key, size`` of every row."""
+
+    def run(batches):
+        for table in blocks(batches, "text", BLOCK_BYTES):
+            ends, grams = shingle_sets(column(table, "text"), n)
+            starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+            keys = [set_key(grams[a:b]) if b > a else None for a, b in zip(starts, ends)]
+            yield pa.RecordBatch.from_arrays([column(table, "doc_id"), column(table, "t"), pa.array(keys, pa.binary()), pa.array(ends - starts)], ["doc_id", "t", "key", "size"])
+
+    return docs.withColumn("t", F.xxhash64("text")).mapInArrow(run, "doc_id long, t long, key binary, size long")
 
 
 def choose_boundary(mean_list: float, percent: int) -> int:
@@ -188,10 +200,13 @@ def light_lists(classes: DataFrame, boundary: int, percent: int) -> DataFrame:
     return classes.where(F.col("size") <= boundary).select("cid", "size", "tokens").mapInArrow(run, LISTS)
 
 
-def shared_lists(lists: DataFrame) -> DataFrame:
-    """Only the lists with two members or more."""
+def shared_lists(lists: DataFrame, percent: int) -> DataFrame:
+    """Only the lists with two members or more, and of those only members that another
+    is near enough in size: the next smaller or larger, as it is the nearest."""
     shared = lists.groupBy("token").agg(F.count(F.lit(1)).alias("n_")).where("n_ > 1").select("token")
-    return lists.join(shared, "token")
+    by_size = Window.partitionBy("token").orderBy("size", "cid")
+    near = (F.lag("size").over(by_size) * 100 >= F.col("size") * percent) | (F.col("size") * 100 >= F.lead("size").over(by_size) * percent)
+    return lists.join(shared, "token").withColumn("near_", near).where("near_").drop("near_")
 
 
 def compatible(a: str, b: str, percent: int, boundary: int) -> Column:
@@ -304,15 +319,14 @@ def jaccard_components(documents: DataFrame, n: int, percent: int, id_col: str =
     """``doc_id, n_shingles, component_id, t`` of every row: the smallest id reachable by
     links, where 100 * |A and B| >= percent * |A or B|; t is a hash of the text."""
     docs = id_text(documents, id_col, text_col)
-    signed = stage(signatures(docs, n, percent, rarity(docs, n)), "join-signatures")
-    classes = (signed.where("size > 0").groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "t")).alias("first"), F.min("size").alias("size"), F.min("tokens").alias("tokens")))
+    classes = (signatures(docs, n, percent, rarity(docs, n)).where("size > 0").groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "t")).alias("first"), F.min("size").alias("size"), F.min("tokens").alias("tokens")))
     classes = classes.select("key", F.col("first.doc_id").alias("first_id"), F.col("first.t").alias("first_t"), "size", "tokens")
     classes = stage(classes.withColumn("cid", F.monotonically_increasing_id()), "join-classes")
 
-    heavy = stage(shared_lists(heavy_lists(classes, percent)), "join-lists")
+    heavy = stage(shared_lists(heavy_lists(classes, percent), percent), "join-lists")
     lengths = heavy.groupBy("token").agg(F.count(F.lit(1)).alias("n")).agg(F.sum(F.col("n") * F.col("n")).alias("squares"), F.sum("n").alias("n")).first()
     boundary = choose_boundary((lengths["squares"] or 0) / max(lengths["n"] or 0, 1), percent)
-    lists = heavy.unionByName(stage(shared_lists(light_lists(classes, boundary, percent)), "join-subsets"))
+    lists = heavy.unionByName(stage(shared_lists(light_lists(classes, boundary, percent), percent), "join-subsets"))
 
     members = lists.select("cid").distinct()
     wanted = stage(classes.join(members, "cid").select("cid", "key", "first_id", "first_t"), "join-members")
@@ -332,7 +346,7 @@ def jaccard_components(documents: DataFrame, n: int, percent: int, id_col: str =
     of_class = classes.select("key", "first_id", "cid").join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     ids = of_class.groupBy("comp").agg(F.min("first_id").alias("component_id"))
     by_key = of_class.join(ids, "comp").select("key", "component_id")
-    out = signed.select("doc_id", "t", "key", F.col("size").alias("n_shingles")).join(by_key, "key", "left")
+    out = keys_of(docs, n).select("doc_id", "t", "key", F.col("size").alias("n_shingles")).join(by_key, "key", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "t")
 
 
