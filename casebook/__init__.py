@@ -10,7 +10,6 @@ Layout
 - ``casebook.functions`` column-level helpers (dirty-value cleaning, date maths, lists)
 - ``casebook.operators`` the user-level operators (spend, first/last, ledgers, billing, ...)
 - ``casebook.plans``     plan inspection and size-bounded broadcast helpers
-- ``casebook.streaming`` (intentionally empty: the modelled workloads are batch only)
 - ``casebook.catalog``   one Spark query per analytical question, used by the entry file
 """
 

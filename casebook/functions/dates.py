@@ -13,12 +13,13 @@ def _c(col) -> Column:
 def minutes_between(start, end) -> Column:
     """Minute boundaries crossed from ``start`` to ``end`` (18:05:58 -> 18:06:02 is 1).
 
-    This is the ``DATEDIFF(MINUTE, a, b)`` rule of the source system; Spark's
-    ``timestampdiff`` counts whole elapsed minutes instead, so both ends are first
-    truncated to the minute.
+    This is the ``DATEDIFF(MINUTE, a, b)`` rule of the source system. It is computed
+    from the dates and wall-clock times, never through an instant, so a session zone
+    with daylight saving does not move it.
     """
-    return F.timestamp_diff("MINUTE", F.date_trunc("MINUTE", _c(start)),
-                            F.date_trunc("MINUTE", _c(end))).cast("int")
+    minute_of_day = lambda t: F.hour(t) * 60 + F.minute(t)
+    a, b = _c(start), _c(end)
+    return (F.datediff(b, a) * 1440 + minute_of_day(b) - minute_of_day(a)).cast("int")
 
 
 def days_between(start, end) -> Column:
@@ -40,8 +41,3 @@ def week_of_year_block(col, days: int = 7) -> Column:
     """Index of the ``days``-long block of the year a date falls in, counted from
     1 January (not ISO weeks): ``ceil(dayofyear / days)``."""
     return F.ceil(F.dayofyear(_c(col)) / F.lit(days)).cast("int")
-
-
-def add_months_sticky(col, months) -> Column:
-    """``add_months`` (clamps 31 Jan + 1 month to 28/29 Feb)."""
-    return F.add_months(_c(col), months)

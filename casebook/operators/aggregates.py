@@ -36,11 +36,13 @@ def spend_by_key(facts: DataFrame, dim: DataFrame, key: str, item: str, price: s
 
     ``facts`` has one row per item bought (``key``, ``item``); ``dim`` gives each
     item's ``price``. Facts whose item has no dimension row count as items with no
-    spend (left join). With ``pre_aggregate`` the facts are first reduced to
+    spend (left join); facts without a ``key`` belong to nobody and are left out. With
+    ``pre_aggregate`` the facts are first reduced to
     (key, item, count) -- worth it when the same key buys the same item many times;
     otherwise the extra exchange costs more than it saves.
     """
     d = dim.select(item, price)
+    facts = facts.where(F.col(key).isNotNull())
     if pre_aggregate:
         pre = facts.groupBy(key, item).agg(F.count(F.lit(1)).alias("_n"))
         j = pre.join(d, item, "left")
@@ -182,12 +184,12 @@ def rate_stats(df: DataFrame, num: str, den: str, by=None, scale: float = 1.0,
 def bucketize(df: DataFrame, col: str, width: int, cap: int | None = None,
               index_name: str = "bucket", label_name: str = "label", unit: str = "days") -> DataFrame:
     """Labelled ``width``-wide buckets: 0..width -> 1 ('0-30 days'), width+1..2w -> 2
-    ('30-60 days'), ... With ``cap`` the last bucket is open ('180+ days')."""
+    ('31-60 days'), ... With ``cap`` the last bucket is open ('180+ days')."""
     idx = F.greatest(F.ceil(F.col(col) / F.lit(width)), F.lit(1)).cast("int")
     if cap is not None:
         last = cap // width + 1
         idx = F.least(idx, F.lit(last))
-    lo, hi = (idx - 1) * width, idx * width
+    lo, hi = F.when(idx == 1, 0).otherwise((idx - 1) * width + 1), idx * width
     label = F.concat(lo.cast("string"), F.lit("-"), hi.cast("string"), F.lit(f" {unit}"))
     if cap is not None:
         label = F.when(idx == F.lit(cap // width + 1), F.lit(f"{cap}+ {unit}")).otherwise(label)

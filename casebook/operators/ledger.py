@@ -125,15 +125,15 @@ def growth_over_threshold(bal: DataFrame, key: str, order: str, value: str = "ba
     """Per period: entities whose ``value`` grew by more than ``threshold`` over
     their previous period, out of all entities present in the period.
 
-    growth = (v - prev) / prev is compared without dividing: v - prev > t * prev
-    when prev > 0 and v - prev < t * prev when prev < 0 (same truth value, exact in
-    decimals); a zero or missing previous value never counts.
+    A balance grew when v - prev > t * |prev| (exact in decimals, no division): a debt
+    that shrinks is growth, one that deepens is not. A zero or missing previous value
+    never counts.
     """
     w = Window.partitionBy(key).orderBy(order)
     prev = F.lag(value).over(w)
     t = bal.withColumn("_prev", prev)
     v, p, thr = F.col(value), F.col("_prev"), F.lit(threshold).cast("decimal(10,4)")
-    grew = F.coalesce(F.when(p > 0, (v - p) > thr * p).when(p < 0, (v - p) < thr * p), F.lit(False))
+    grew = F.coalesce((p != 0) & ((v - p) > thr * F.abs(p)), F.lit(False))
     return (t.groupBy(order).agg(F.count_if(grew).alias(n_name), F.count(F.lit(1)).alias(total_name))
              .withColumn(pct_name, pct(n_name, total_name, 1)))
 
@@ -215,9 +215,9 @@ def _min_avg_max(per_day: DataFrame, col: str, prefix: str) -> DataFrame:
 
 def allocation_trailing(daily: DataFrame, key: str = "customer_id", date: str = "bal_date",
                         value: str = "balance", rows: int = 30, prefix: str = "daily_") -> DataFrame:
-    """Trailing mean of the last ``rows`` + 1 daily balances per entity (ordered by
-    date), positive means summed per day, then min / avg / max over days."""
-    w = Window.partitionBy(key).orderBy(date).rowsBetween(-rows, Window.currentRow)
+    """Trailing mean of the last ``rows`` daily balances per entity, the day itself
+    included (ordered by date), positive means summed per day, then min / avg / max over days."""
+    w = Window.partitionBy(key).orderBy(date).rowsBetween(-(rows - 1), Window.currentRow)
     avg = (F.sum(value).over(w) / F.count(F.lit(1)).over(w)).cast("decimal(24,6)")
     t = daily.select(date, avg.alias("_avg")).filter(F.col("_avg") > 0)
     per_day = t.groupBy(date).agg(F.sum("_avg").alias("_total"))

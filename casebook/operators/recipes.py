@@ -82,17 +82,18 @@ def revenue(lines: DataFrame, price: Column, extras: str = "extras",
 
 
 def net_of_distance_cost(lines: DataFrame, deliveries: DataFrame, price: Column, order: str = "order_id",
-                         distance: str = "distance", cost_per_km: float = 0.30,
+                         distance: str = "distance", cost_per_km: str = "0.30",
                          name: str = "net_revenue") -> DataFrame:
     """Delivered revenue minus a per-km cost. Distance is counted once per order
     (the cost is aggregated on the delivery table, before it meets the lines, so a
-    multi-line order does not repeat it)."""
+    multi-line order does not repeat it). Money stays decimal: the rate is given as text."""
+    rate = F.lit(cost_per_km).cast("decimal(6,2)")
     delivered = deliveries.filter(F.col("cancellation").isNull()).select(order, distance)
     rev = lines.join(delivered.select(order), order, "left_semi").agg(F.sum(price).alias("revenue"))
     km = delivered.agg(F.sum(distance)).scalar()  # uncorrelated scalar subquery
     return rev.select("revenue",
-                      (km * F.lit(cost_per_km)).cast("decimal(18,2)").alias("delivery_cost"),
-                      (F.col("revenue") - km * F.lit(cost_per_km)).cast("decimal(18,2)").alias(name))
+                      (km.cast("decimal(18,2)") * rate).cast("decimal(18,2)").alias("delivery_cost"),
+                      (F.col("revenue") - km.cast("decimal(18,2)") * rate).cast("decimal(18,2)").alias(name))
 
 
 # ---------------------------------------------------------------- O23

@@ -40,8 +40,9 @@ def first_last_by(df: DataFrame, key, order, value, which: str = "first",
     if ties == "all":
         o = [F.col(c).asc() if which == "first" else F.col(c).desc() for c in order]
         w = Window.partitionBy(*keys).orderBy(*o)
-        return (df.select(*keys, *order, *values).withColumn("_rk", F.rank().over(w))
-                  .filter(F.col("_rk") == 1).drop("_rk").distinct())
+        # distinct first: a key's many rows alike become one before the window gathers them
+        return (df.select(*keys, *order, *values).distinct().withColumn("_rk", F.rank().over(w))
+                  .filter(F.col("_rk") == 1).drop("_rk"))
     picked = df.groupBy(*keys).agg(_pick(order, values, which).alias("_p"))
     return picked.select(*keys, *[F.col(f"_p.{c}").alias(c) for c in order + values])
 

@@ -180,7 +180,8 @@ ORACLE: dict[str, str] = {
     # ------------------------------------------------------------------ restaurant
     "spend_per_customer": _with(SALES, MENU) + """
 SELECT s.customer_id, COUNT(*) AS n_items, CAST(SUM(m.price) AS DECIMAL(18,2)) AS total_spend
-FROM sales s LEFT JOIN menu m ON s.product_id = m.product_id GROUP BY s.customer_id""",
+FROM sales s LEFT JOIN menu m ON s.product_id = m.product_id
+WHERE s.customer_id IS NOT NULL GROUP BY s.customer_id""",
 
     "visit_days_per_customer": _with(SALES) + """
 SELECT customer_id, COUNT(DISTINCT order_date) AS n_visit_days, COUNT(*) AS n_purchases FROM sales GROUP BY customer_id""",
@@ -482,7 +483,7 @@ t AS (SELECT a.customer_id, a.d3 - j.d0 AS days
       JOIN (SELECT customer_id, MIN(start_date) AS d0 FROM subscriptions WHERE plan_id = 0 GROUP BY customer_id) j
       ON a.customer_id = j.customer_id WHERE a.d3 >= j.d0),
 b AS (SELECT CAST(greatest(ceil(days / 30.0), 1) AS INTEGER) AS bucket FROM t)
-SELECT bucket, CAST((bucket - 1) * 30 AS VARCHAR) || '-' || CAST(bucket * 30 AS VARCHAR) || ' days' AS days_range,
+SELECT bucket, CAST(CASE WHEN bucket = 1 THEN 0 ELSE (bucket - 1) * 30 + 1 END AS VARCHAR) || '-' || CAST(bucket * 30 AS VARCHAR) || ' days' AS days_range,
        COUNT(*) AS n_customers
 FROM b GROUP BY bucket""",
 
@@ -494,7 +495,7 @@ t AS (SELECT a.customer_id, a.d3 - j.d0 AS days
 b AS (SELECT CAST(least(greatest(ceil(days / 30.0), 1), 7) AS INTEGER) AS bucket FROM t)
 SELECT bucket,
        CASE WHEN bucket = 7 THEN '180+ days'
-            ELSE CAST((bucket - 1) * 30 AS VARCHAR) || '-' || CAST(bucket * 30 AS VARCHAR) || ' days' END AS days_range,
+            ELSE CAST(CASE WHEN bucket = 1 THEN 0 ELSE (bucket - 1) * 30 + 1 END AS VARCHAR) || '-' || CAST(bucket * 30 AS VARCHAR) || ' days' END AS days_range,
        COUNT(*) AS n_customers
 FROM b GROUP BY bucket""",
 
@@ -608,11 +609,9 @@ bal AS (SELECT customer_id, month,
         FROM net),
 g AS (SELECT month, balance, LAG(balance) OVER (PARTITION BY customer_id ORDER BY month) AS prev FROM bal)
 SELECT month,
-       COUNT(*) FILTER (WHERE CASE WHEN prev > 0 THEN (balance - prev) > 0.05 * prev
-                     WHEN prev < 0 THEN (balance - prev) < 0.05 * prev ELSE false END) AS n_grew,
+       COUNT(*) FILTER (WHERE prev <> 0 AND balance - prev > 0.05 * abs(prev)) AS n_grew,
        COUNT(*) AS n_customers,
-       ROUND(COUNT(*) FILTER (WHERE CASE WHEN prev > 0 THEN (balance - prev) > 0.05 * prev
-                           WHEN prev < 0 THEN (balance - prev) < 0.05 * prev ELSE false END) * 100.0 / COUNT(*), 1) AS pct_grew
+       ROUND(COUNT(*) FILTER (WHERE prev <> 0 AND balance - prev > 0.05 * abs(prev)) * 100.0 / COUNT(*), 1) AS pct_grew
 FROM g GROUP BY month""",
 }
 
@@ -649,7 +648,7 @@ FROM (SELECT strftime(bal_date, '%Y-%m') AS month, balance,
     "allocation_trailing_30": DAILY + """,
 tr AS (SELECT bal_date,
               CAST(SUM(balance) OVER w / COUNT(*) OVER w AS DECIMAL(24,6)) AS avg_bal
-       FROM daily WINDOW w AS (PARTITION BY customer_id ORDER BY bal_date ROWS BETWEEN 30 PRECEDING AND CURRENT ROW)),
+       FROM daily WINDOW w AS (PARTITION BY customer_id ORDER BY bal_date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)),
 per_day AS (SELECT bal_date, SUM(avg_bal) AS total FROM tr WHERE avg_bal > 0 GROUP BY bal_date)
 SELECT CAST(MIN(total) AS DECIMAL(18,2)) AS daily_min, ROUND(AVG(CAST(total AS DOUBLE)), 2) AS daily_avg,
        CAST(MAX(total) AS DECIMAL(18,2)) AS daily_max FROM per_day""",

@@ -7,6 +7,7 @@ is written with ``overwrite`` after being cast to the declared target schema.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -88,11 +89,11 @@ def stage_table(df: DataFrame, name: str, partition_by: Sequence[str] | None = N
     several later queries). Reading it back cuts the lineage, so later jobs do not
     recompute it and a lost executor costs a re-read, not a recomputation. The folder
     comes from the session (``spark.checkpoint.dir``); see
-    :func:`casebook.session.checkpoint_dir`.
+    :func:`casebook.session.checkpoint_dir`. Each call writes to a path of its own.
     """
     from casebook.session import checkpoint_dir
 
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/casebook-stage/{name}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/casebook-stage/{name}-{uuid.uuid4().hex}"
     save_table(df, path, partition_by=partition_by)
     return spark.read.parquet(path)

@@ -61,8 +61,8 @@ def test_pivot_and_top_global_ties(spark):
 def test_bucketize_labels(spark):
     df = spark.createDataFrame([(0,), (30,), (31,), (60,), (200,)], "days int")
     got = rows(AG.bucketize(df, "days", 30), "days", "bucket", "label")
-    assert got == [(0, 1, "0-30 days"), (30, 1, "0-30 days"), (31, 2, "30-60 days"), (60, 2, "30-60 days"),
-                   (200, 7, "180-210 days")]
+    assert got == [(0, 1, "0-30 days"), (30, 1, "0-30 days"), (31, 2, "31-60 days"), (60, 2, "31-60 days"),
+                   (200, 7, "181-210 days")]
     capped = dict(rows(AG.bucketize(df, "days", 30, cap=180), "days", "label"))
     assert capped[200] == "180+ days"
 

@@ -1,6 +1,8 @@
 """Dirty values, delimited lists, minute boundaries, line ids, labels."""
 
 import datetime as dt
+
+import pytest
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -45,6 +47,17 @@ def test_minute_boundaries(spark):
     assert [r[0] for r in df.select(minutes_between("a", "b")).collect()] == [1, 10, 2]
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles"])
+def test_minutes_across_a_clock_change(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(dt.datetime(2001, 4, 1, 2, 58), dt.datetime(2001, 4, 1, 3, 3))], "a timestamp_ntz, b timestamp_ntz")
+        assert df.select(minutes_between("a", "b")).first()[0] == 5
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_iso_weekday(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, 1),), (dt.date(2024, 1, 7),)], "d date")
     assert [r[0] for r in df.select(iso_weekday("d")).collect()] == [1, 7]

@@ -69,11 +69,12 @@ def test_growth_sign_and_zero_base(spark):
     bal = spark.createDataFrame([
         (1, "2020-01", Decimal("100")), (1, "2020-02", Decimal("106")),   # +6 %
         (2, "2020-01", Decimal("100")), (2, "2020-02", Decimal("105")),   # exactly 5 %: not more
-        (3, "2020-01", Decimal("-100")), (3, "2020-02", Decimal("-90")),  # -90 vs -100: growth -10 % by the ratio
+        (3, "2020-01", Decimal("-100")), (3, "2020-02", Decimal("-90")),  # a debt 10 % smaller: grew
+        (5, "2020-01", Decimal("-100")), (5, "2020-02", Decimal("-200")),  # a debt twice as deep: did not
         (4, "2020-01", Decimal("0")), (4, "2020-02", Decimal("50")),      # zero base never counts
     ], "customer_id int, month string, balance decimal(18,2)")
     out = {r.month: r for r in LE.growth_over_threshold(bal, "customer_id", "month").collect()}
-    assert (out["2020-02"].n_grew, out["2020-02"].n_customers) == (1, 4)
+    assert (out["2020-02"].n_grew, out["2020-02"].n_customers) == (2, 5)
     assert out["2020-01"].n_grew == 0
 
 
@@ -86,6 +87,8 @@ def test_allocations(spark, txns):
     assert rt.daily_max == Decimal("70.00")
     tr = LE.allocation_trailing(daily, rows=30).collect()[0]
     assert tr.daily_max == Decimal("70.00")
+    ramp = spark.createDataFrame([(1, D(2020, 3, 1) + dt.timedelta(days=i), Decimal(i + 1)) for i in range(40)], "customer_id int, bal_date date, balance decimal(18,2)")
+    assert LE.allocation_trailing(ramp, rows=30).first().daily_max == Decimal("25.50")  # mean of 11..40
     acc = LE.accrue(daily, "balance", 0.06, 365, digits=None).filter("customer_id = 1 AND bal_date = '2020-01-02'").collect()[0]
     assert acc.data_allocation == pytest.approx(70 * (1 + 0.06 / 365))
 
