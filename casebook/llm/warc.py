@@ -64,7 +64,7 @@ def record_text(kind: Column, record_id: Column, page_id: Column, url: Column, d
 
 def write_archive(records: DataFrame, path: str) -> None:
     """``records``: one column of record texts."""
-    (records.write.option("lineSep", END).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+    (records.write.option("lineSep", END).option("compression", "gzip")
      .option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
 
 
