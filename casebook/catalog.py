@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from casebook.functions.dates import minutes_between, month_key
 from casebook.functions.lists import list_size
+from casebook.functions.text import percent_text
 from casebook.operators import aggregates as AG
 from casebook.operators import billing as BI
 from casebook.operators import cleaning as CL
@@ -23,6 +24,7 @@ from casebook.operators import loyalty as LO
 from casebook.operators import recipes as RE
 from casebook.operators import sequence as SQ
 from casebook.sources import adapters as A
+from casebook.sources.io import conform
 
 # Parameters of the questions (chosen for the driver data's date range).
 SPECIAL_ITEMS = ("red widget",)
@@ -236,6 +238,15 @@ def q_clean_orders(spark, d):
                                    "order_time", "line_id")
 
 
+@query("changed_toppings_per_order")
+def q_changed_toppings(spark, d):
+    """Toppings left out of or added to an order, each once (UNION)."""
+    lines = _lines(spark, d)
+    out, extra = (CL.explode_list(lines, c, keep=["order_id"], out="topping_id", parsed=True)
+                  .select("order_id", "topping_id") for c in ("exclusions", "extras"))
+    return out.union(extra).distinct()
+
+
 @query("recipe_bridge")
 def q_bridge(spark, d):
     return CL.bridge_table(A.pizza_recipes(spark, d))
@@ -385,6 +396,11 @@ def q_trials_month(spark, d):
     return AG.time_bucket_counts(t, "start_date", "month", name="month", count_name="n_trials")
 
 
+@query("trial_starts_in_order")
+def q_trials_ordered(spark, d):
+    return q_trials_month(spark, d).orderBy("month")
+
+
 @query("plan_starts_after_year")
 def q_plan_starts(spark, d):
     # a date range rather than year(...) > Y: the range reaches the Parquet scan
@@ -399,6 +415,13 @@ def q_churn(spark, d):
                              n_name="n_churned", total_name="n_customers", pct_name="pct_churned")
 
 
+@query("churn_share_text")
+def q_churn_text(spark, d):
+    """The churn share as a label."""
+    return q_churn(spark, d).select("n_churned", "n_customers",
+                                    percent_text("n_churned", "n_customers").alias("churned"))
+
+
 @query("churn_share_of_rows")
 def q_churn_rows(spark, d):
     """Literal variant of the churn share: churn rows over all subscription rows
@@ -471,6 +494,16 @@ def q_days_to_annual(spark, d):
     return t.agg(F.avg("days").alias("avg_days"), F.count(F.lit(1)).alias("n_customers"))
 
 
+@query("days_to_annual_self_join")
+def q_days_self_join(spark, d):
+    """The same average with the table joined to itself in two roles, each reduced to
+    one row per customer before it."""
+    role = lambda plan, name: (_subs(spark, d).filter(F.col("plan_id") == plan)
+                               .groupBy("customer_id").agg(F.min("start_date").alias(name)))
+    j = role(0, "trial").join(role(3, "annual"), "customer_id").filter(F.col("annual") >= F.col("trial"))
+    return j.agg(F.avg(F.datediff("annual", "trial")).alias("avg_days"), F.count(F.lit(1)).alias("n_customers"))
+
+
 @query("days_to_annual_buckets")
 def q_days_buckets(spark, d):
     t = SQ.time_between_states(_subs(spark, d), "customer_id", "start_date", "plan_id", 0, 3)
@@ -582,9 +615,62 @@ def q_monthly_balance_filled(spark, d):
 
 @query("balance_growth_over_5pct")
 def q_growth(spark, d):
+    """Over consecutive months, silent ones included, out of the customers that have a
+    month before."""
+    filled = LE.densify_months(_monthly_balances(spark, d), "customer_id", "month", "balance")
+    return LE.growth_over_threshold(filled, "customer_id", "month", "balance", 0.05, base="previous")
+
+
+@query("balance_growth_active_months")
+def q_growth_active(spark, d):
+    """Literal variant: over months with transactions only, out of all customers active
+    in the month."""
     return LE.growth_over_threshold(_monthly_balances(spark, d), "customer_id", "month", "balance", 0.05)
 
 
+def _txn_balances(spark, d):
+    return LE.transaction_balances(_txns(spark, d), "customer_id", "txn_date", "txn_type", "txn_amount",
+                                   bucket=_month_bucket("txn_date"))
+
+
+@query("running_balance_per_transaction")
+def q_txn_balance(spark, d):
+    return _txn_balances(spark, d).select("customer_id", "txn_date", "txn_type", "txn_amount", "impact", "balance")
+
+
+@query("balance_range_per_customer")
+def q_balance_range(spark, d):
+    return LE.balance_range(_txn_balances(spark, d), "customer_id")
+
+
+@query("months_with_more_depositors_than_buyers")
+def q_depositor_months(spark, d):
+    """A conditional distinct count in the group filter (HAVING), as one row per customer
+    and month first, then two plain counts."""
+    kind = F.col("txn_type")
+    per = _txns(spark, d).groupBy(month_key("txn_date").alias("month"), "customer_id").agg(
+        F.bool_or(kind == "deposit").alias("deposits"), F.bool_or(kind == "purchase").alias("buys"))
+    return per.groupBy("month").agg(F.count_if("deposits").alias("n_depositors"), F.count_if("buys").alias("n_buyers")) \
+              .filter(F.col("n_depositors") > F.col("n_buyers"))
+
+
+@query("whole_deposits_per_customer")
+def q_whole_deposits(spark, d):
+    """Integer average: the quotient is cut, not rounded."""
+    t = _txns(spark, d).agg(F.count_if(F.col("txn_type") == "deposit").alias("n_deposits"),
+                            F.countDistinct("customer_id").alias("n_customers"))
+    return t.withColumn("deposits_per_customer", F.expr("n_deposits div nullif(n_customers, 0)"))
+
+
+@query("customer_history")
+def q_history(spark, d):
+    """Plan changes and account movements in one list; what a branch lacks is NULL."""
+    schema = "customer_id bigint, event_date date, plan_id int, txn_type string, amount decimal(12,2)"
+    changes = _subs(spark, d).withColumnRenamed("start_date", "event_date")
+    moves = _txns(spark, d).withColumnsRenamed({"txn_date": "event_date", "txn_amount": "amount"})
+    return conform(changes, schema).unionAll(conform(moves, schema))
+
+
 def _daily(spark, d):
     # history runs to the end of the month of the latest transaction
     return LE.daily_balances(A.event_transactions(spark, d), "customer_id", "txn_date", "txn_type", "txn_amount")
@@ -616,6 +702,22 @@ def q_alloc_month(spark, d):
     return LE.allocation_period_end(_daily(spark, d))
 
 
+@query("allocation_previous_month_end")
+def q_alloc_previous(spark, d):
+    """The month's provision: closing balances of the month before."""
+    return LE.allocation_period_end(_daily(spark, d), months_later=1)
+
+
+@query("allocation_trailing_30_monthly")
+def q_alloc_trailing_monthly(spark, d):
+    return LE.allocation_trailing(_daily(spark, d), rows=30, monthly=True)
+
+
+@query("allocation_realtime_monthly")
+def q_alloc_daily_monthly(spark, d):
+    return LE.allocation_daily(_daily(spark, d), monthly=True)
+
+
 @query("allocation_trailing_30")
 def q_alloc_trailing(spark, d):
     return LE.allocation_trailing(_daily(spark, d), rows=30)

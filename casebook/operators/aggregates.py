@@ -64,6 +64,14 @@ def share_of_total(df: DataFrame, cond: Column, by=None, distinct: str | None =
     aggregate used as an uncorrelated scalar subquery (``DataFrame.scalar()``).
     """
     by = _cols(by)
+    if distinct is not None and (within == "group" or not by):
+        # one row per entity first: two distinct counts in one aggregate would write
+        # every row twice before the shuffle
+        per = df.groupBy(*by, distinct).agg(F.bool_or(cond).alias("_hit"))
+        g = per.groupBy(*by) if by else per
+        out = g.agg(F.count_if(F.col("_hit") & F.col(distinct).isNotNull()).alias(n_name),
+                    F.count(distinct).alias(total_name))
+        return out.withColumn(pct_name, pct(n_name, total_name, digits))
     if distinct is None:
         num, den = F.count_if(cond), F.count(F.lit(1))
     else:

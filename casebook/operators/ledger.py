@@ -117,13 +117,35 @@ def running_balance(net: DataFrame, key: str, order, value: str = "net",
              .drop("_bkt", "_open"))
 
 
+def transaction_balances(txns: DataFrame, key: str, date: str, type_col: str, amount: str,
+                         bucket: Column | None = None, **signs) -> DataFrame:
+    """Every transaction with its ``impact`` (signed amount) and the ``balance`` after it.
+
+    Within a day transactions go by type, then amount; those alike in all of it are
+    interchangeable. ``bucket`` splits an entity with very many rows, see
+    :func:`running_balance`."""
+    t = txns.withColumn("impact", signed_amount(type_col, amount, **signs).cast("decimal(12,2)"))
+    return running_balance(t, key, [date, type_col, amount], "impact", "balance", bucket)
+
+
+def balance_range(balances: DataFrame, key: str, value: str = "balance") -> DataFrame:
+    """Smallest, mean and largest ``value`` of each entity."""
+    return balances.groupBy(key).agg(
+        F.min(value).alias("min_balance"),
+        (F.sum(value).cast("double") / F.count(value).cast("double")).alias("avg_balance"),
+        F.max(value).alias("max_balance"))
+
+
 # ---------------------------------------------------------------- O32
 
 def growth_over_threshold(bal: DataFrame, key: str, order: str, value: str = "balance",
                           threshold: float = 0.05, n_name: str = "n_grew",
-                          total_name: str = "n_customers", pct_name: str = "pct_grew") -> DataFrame:
+                          total_name: str = "n_customers", pct_name: str = "pct_grew",
+                          base: str = "present") -> DataFrame:
     """Per period: entities whose ``value`` grew by more than ``threshold`` over
-    their previous period, out of all entities present in the period.
+    their previous period, out of all entities present in the period (``base="present"``)
+    or out of those that have a previous period (``base="previous"``; a period without
+    any has a NULL share). Give densified periods for "previous" to mean the one before.
 
     A balance grew when v - prev > t * |prev| (exact in decimals, no division): a debt
     that shrinks is growth, one that deepens is not. A zero or missing previous value
@@ -134,7 +156,8 @@ def growth_over_threshold(bal: DataFrame, key: str, order: str, value: str = "ba
     t = bal.withColumn("_prev", prev)
     v, p, thr = F.col(value), F.col("_prev"), F.lit(threshold).cast("decimal(10,4)")
     grew = F.coalesce((p != 0) & ((v - p) > thr * F.abs(p)), F.lit(False))
-    return (t.groupBy(order).agg(F.count_if(grew).alias(n_name), F.count(F.lit(1)).alias(total_name))
+    counted = F.count_if(p.isNotNull()) if base == "previous" else F.count(F.lit(1))
+    return (t.groupBy(order).agg(F.count_if(grew).alias(n_name), counted.alias(total_name))
              .withColumn(pct_name, pct(n_name, total_name, 1)))
 
 
@@ -198,10 +221,11 @@ def daily_balances(txns: DataFrame, key: str, date: str, type_col: str, amount:
 
 def allocation_period_end(daily: DataFrame, key: str = "customer_id", date: str = "bal_date",
                           value: str = "balance", floor: float = 0,
-                          name: str = "data_required") -> DataFrame:
+                          name: str = "data_required", months_later: int = 0) -> DataFrame:
     """Per month ('yyyy-MM'): sum over entities of their last balance of that month,
-    floored at ``floor`` (no negative allocation)."""
-    t = daily.withColumn("month", month_key(date))
+    floored at ``floor`` (no negative allocation). With ``months_later=1`` the sum stands
+    at the month that is provisioned by it, the one after."""
+    t = daily.withColumn("month", month_key(F.add_months(F.trunc(date, "month"), months_later)))
     last = first_last_by(t, [key, "month"], date, value, "last")
     return last.groupBy("month").agg(
         F.sum(F.greatest(F.col(value), F.lit(floor).cast("decimal(18,2)"))).cast("decimal(18,2)").alias(name))
@@ -213,22 +237,33 @@ def _min_avg_max(per_day: DataFrame, col: str, prefix: str) -> DataFrame:
                        F.max(col).cast("decimal(18,2)").alias(f"{prefix}max"))
 
 
+def _by_month(per_day: DataFrame, date: str, col: str, prefix: str) -> DataFrame:
+    t = per_day.select(month_key(date).alias("month"), F.col(col).cast("decimal(18,2)").alias("_total"))
+    return t.groupBy("month").agg(
+        F.min("_total").alias(f"{prefix}min"),
+        (F.sum("_total").cast("double") / F.count(F.lit(1)).cast("double")).alias(f"{prefix}avg"),
+        F.max("_total").alias(f"{prefix}max"))
+
+
 def allocation_trailing(daily: DataFrame, key: str = "customer_id", date: str = "bal_date",
-                        value: str = "balance", rows: int = 30, prefix: str = "daily_") -> DataFrame:
+                        value: str = "balance", rows: int = 30, prefix: str = "daily_",
+                        monthly: bool = False) -> DataFrame:
     """Trailing mean of the last ``rows`` daily balances per entity, the day itself
-    included (ordered by date), positive means summed per day, then min / avg / max over days."""
+    included (ordered by date), positive means summed per day, then min / avg / max over
+    all days, or over the days of each month with ``monthly``."""
     w = Window.partitionBy(key).orderBy(date).rowsBetween(-(rows - 1), Window.currentRow)
     avg = (F.sum(value).over(w) / F.count(F.lit(1)).over(w)).cast("decimal(24,6)")
     t = daily.select(date, avg.alias("_avg")).filter(F.col("_avg") > 0)
     per_day = t.groupBy(date).agg(F.sum("_avg").alias("_total"))
-    return _min_avg_max(per_day, "_total", prefix)
+    return _by_month(per_day, date, "_total", prefix) if monthly else _min_avg_max(per_day, "_total", prefix)
 
 
 def allocation_daily(daily: DataFrame, date: str = "bal_date", value: str = "balance",
-                     prefix: str = "daily_") -> DataFrame:
-    """Positive balances summed per day, then min / avg / max over days."""
+                     prefix: str = "daily_", monthly: bool = False) -> DataFrame:
+    """Positive balances summed per day, then min / avg / max over all days, or over the
+    days of each month with ``monthly``."""
     per_day = daily.filter(F.col(value) > 0).groupBy(date).agg(F.sum(value).alias("_total"))
-    return _min_avg_max(per_day, "_total", prefix)
+    return _by_month(per_day, date, "_total", prefix) if monthly else _min_avg_max(per_day, "_total", prefix)
 
 
 # ---------------------------------------------------------------- O39

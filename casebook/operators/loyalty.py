@@ -23,20 +23,27 @@ def loyalty_points(facts: DataFrame, menu: DataFrame, key: str, date: str, item:
     (multipliers do not stack; the larger applies). ``until`` keeps purchases up to
     and including that date. Items missing from the menu earn nothing.
 
-    Plan: fact scan (the ``until`` filter reaches the scan) -> join members first
-    (a subset of the customers, so every later join sees fewer rows) -> join menu ->
-    one partial+final aggregate on ``key``. Join strategies are left to Spark/AQE.
+    Plan: fact scan (the ``until`` filter reaches the scan) -> join menu -> one
+    partial+final aggregate on ``key``. With members, the priced facts are first
+    reduced to one row per key and day, so a hot customer's rows are spread over its
+    days before they meet the members. Join strategies are left to Spark/AQE.
     """
     f = facts.select(key, date, item)
     if until is not None:
         f = f.filter(F.col(date) <= F.lit(until).cast("date"))
-    if members is not None:
-        f = f.join(members.select(key, join_date), key)
     j = f.join(menu.select(item, item_name, price), item)
-    mult = F.when(F.col(item_name).isin(list(special_items)), F.lit(special_multiplier)).otherwise(F.lit(1))
-    if members is not None:
-        if window_days is not None:
-            in_window = ((F.col(date) >= F.col(join_date)) &
-                         (F.col(date) < F.date_add(F.col(join_date), window_days)))
-            mult = F.greatest(mult, F.when(in_window, F.lit(window_multiplier)).otherwise(F.lit(1)))
-    return j.groupBy(key).agg(F.sum(F.col(price) * F.lit(base) * mult).alias(name))
+    special = F.coalesce(F.col(item_name).isin(list(special_items)), F.lit(False))
+    if members is None:
+        mult = F.when(special, F.lit(special_multiplier)).otherwise(F.lit(1))
+        return j.groupBy(key).agg(F.sum(F.col(price) * F.lit(base) * mult).alias(name))
+    per_day = j.groupBy(key, date).agg(F.sum(F.when(special, F.col(price))).alias("_special"),
+                                       F.sum(F.when(~special, F.col(price))).alias("_other"))
+    m = per_day.join(members.select(key, join_date), key)
+    bonus = F.lit(1)
+    if window_days is not None:
+        in_window = ((F.col(date) >= F.col(join_date)) &
+                     (F.col(date) < F.date_add(F.col(join_date), window_days)))
+        bonus = F.greatest(bonus, F.when(in_window, F.lit(window_multiplier)).otherwise(F.lit(1)))
+    points = (F.coalesce("_special", F.lit(0)) * F.greatest(F.lit(special_multiplier), bonus)
+              + F.coalesce("_other", F.lit(0)) * bonus)
+    return m.groupBy(key).agg(F.sum(points * F.lit(base)).alias(name))

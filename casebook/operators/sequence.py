@@ -54,21 +54,24 @@ def asof_event(facts: DataFrame, anchors: DataFrame, key, fact_order, anchor_dat
     """First fact after (or last fact before) each entity's anchor date.
 
     ``anchors`` holds at most one row per key (e.g. a membership table with a join
-    date). Every fact then meets exactly one anchor, so the equi-join on ``key`` (with
-    the range as a join residual) is linear in the facts and pairs nothing. A hot key
-    is split by AQE's skew-join handling on the fact side, and the first/last
-    aggregate has a partial phase. Entities without such a fact are absent (inner
-    semantics: the question is about the events that exist).
+    date). The facts are first reduced to one row per key and day (a partial and final
+    aggregate on both, so a hot key's rows are spread over its days); what meets the
+    anchors has at most one row per key and calendar day. Entities without such a fact
+    are absent (inner semantics: the question is about the events that exist).
     """
-    keys, order = _cols(key), _cols(fact_order)
+    keys, order, values = _cols(key), _cols(fact_order), _cols(value)
+    which = "first" if side == "after" else "last"
     d = F.col(order[0])
     a = F.col(anchor_date)
     if side == "after":
         cond = d >= a if inclusive else d > a
     else:
         cond = d <= a if inclusive else d < a
-    j = facts.join(anchors.select(*keys, anchor_date), keys).filter(cond)
-    return first_last_by(j, keys, order, value, "first" if side == "after" else "last")
+    per_day = facts.groupBy(*keys, order[0]).agg(_pick(order[1:], values, which).alias("_day"))
+    j = per_day.join(anchors.select(*keys, anchor_date), keys).filter(cond)
+    picked = j.groupBy(*keys).agg(_pick([order[0]], ["_day"], which).alias("_p"))
+    return picked.select(*keys, F.col(f"_p.{order[0]}").alias(order[0]),
+                         *[F.col(f"_p._day.{c}").alias(c) for c in order[1:] + values])
 
 
 def totals_before_anchor(facts: DataFrame, anchors: DataFrame, key, date: str, anchor_date: str,
@@ -77,16 +80,18 @@ def totals_before_anchor(facts: DataFrame, anchors: DataFrame, key, date: str, a
                          item: str | None = None) -> DataFrame:
     """Count and sum of ``amount`` of the facts dated before the anchor.
 
-    With ``prices`` (``item`` -> ``amount``), the amount is looked up after the
-    anchor join and date filter, so the (larger) price join only sees the facts that
-    count. Items without a price count as items with no amount (left join).
+    With ``prices`` (``item`` -> ``amount``), the amount is looked up first. Items
+    without a price count as items with no amount (left join). The facts are then
+    reduced to one row per key and day before they meet the anchors, so a hot key's
+    rows are spread over its days.
     """
     keys = _cols(key)
     cond = F.col(date) <= F.col(anchor_date) if inclusive else F.col(date) < F.col(anchor_date)
-    j = facts.join(anchors.select(*keys, anchor_date), keys).filter(cond)
     if prices is not None:
-        j = j.join(prices.select(item, amount), item, "left")
-    return j.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name), F.sum(amount).alias(amount_name))
+        facts = facts.join(prices.select(item, amount), item, "left")
+    per_day = facts.groupBy(*keys, date).agg(F.count(F.lit(1)).alias("_n"), F.sum(amount).alias("_amount"))
+    j = per_day.join(anchors.select(*keys, anchor_date), keys).filter(cond)
+    return j.groupBy(*keys).agg(F.sum("_n").alias(count_name), F.sum("_amount").alias(amount_name))
 
 
 # ---------------------------------------------------------------- O13

@@ -602,7 +602,7 @@ SELECT g.customer_id, g.month,
                                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS balance
 FROM grid g LEFT JOIN bal b ON g.customer_id = b.customer_id AND g.month = b.month""",
 
-    "balance_growth_over_5pct": _with(TXNS) + """,
+    "balance_growth_active_months": _with(TXNS) + """,
 net AS (SELECT customer_id, strftime(txn_date, '%Y-%m') AS month,
                CAST(coalesce(SUM(txn_amount) FILTER (WHERE txn_type = 'deposit'), 0)
                - coalesce(SUM(txn_amount) FILTER (WHERE txn_type IN ('purchase', 'withdrawal')), 0) AS DECIMAL(18,2)) AS net
@@ -664,6 +664,70 @@ FROM daily""",
     "ingredient_usage_set_ops": None,  # filled below (same answer as ingredient_usage_delivered)
 })
 ORACLE["ingredient_usage_set_ops"] = ORACLE["ingredient_usage_delivered"]
+_BY_MONTH = """
+SELECT strftime(bal_date, '%Y-%m') AS month, MIN(total) AS daily_min,
+       CAST(SUM(total) AS DOUBLE) / COUNT(*) AS daily_avg, MAX(total) AS daily_max
+FROM (SELECT bal_date, CAST(SUM(held) AS DECIMAL(18,2)) AS total FROM held WHERE held > 0 GROUP BY bal_date) GROUP BY 1"""
+
+_MOVES = TXNS + """,
+moves AS (SELECT customer_id, txn_date, txn_type, txn_amount,
+                 CAST(txn_amount * (CASE WHEN txn_type = 'deposit' THEN 1 ELSE -1 END) AS DECIMAL(12,2)) AS impact
+          FROM customer_transactions),
+balances AS (SELECT *, CAST(SUM(impact) OVER (PARTITION BY customer_id ORDER BY txn_date, txn_type, txn_amount
+                                              ROWS UNBOUNDED PRECEDING) AS DECIMAL(18,2)) AS balance FROM moves)"""
+
+ORACLE.update({
+    "balance_growth_over_5pct": "WITH filled AS (" + ORACLE["monthly_closing_balance_filled"] + """),
+pairs AS (SELECT now.month, now.balance, old.balance AS before
+          FROM filled now LEFT JOIN filled old ON old.customer_id = now.customer_id
+               AND old.month = strftime(CAST(now.month || '-01' AS DATE) - INTERVAL 1 MONTH, '%Y-%m'))
+SELECT month, COUNT(*) FILTER (WHERE before <> 0 AND balance - before > 0.05 * abs(before)) AS n_grew,
+       COUNT(before) AS n_customers,
+       ROUND(COUNT(*) FILTER (WHERE before <> 0 AND balance - before > 0.05 * abs(before)) * 100.0 / NULLIF(COUNT(before), 0), 1) AS pct_grew
+FROM pairs GROUP BY month""",
+
+    "allocation_previous_month_end": DAILY + """
+SELECT strftime(bal_date + 1, '%Y-%m') AS month, CAST(SUM(greatest(balance, 0)) AS DECIMAL(18,2)) AS data_required
+FROM daily WHERE bal_date = last_day(bal_date) GROUP BY 1""",
+
+    "allocation_trailing_30_monthly": DAILY + """,
+held AS (SELECT bal_date, CAST(SUM(balance) OVER w / COUNT(*) OVER w AS DECIMAL(24,6)) AS held
+         FROM daily WINDOW w AS (PARTITION BY customer_id ORDER BY bal_date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW))""" + _BY_MONTH,
+
+    "allocation_realtime_monthly": DAILY + ", held AS (SELECT bal_date, balance AS held FROM daily)" + _BY_MONTH,
+
+    "running_balance_per_transaction": _with(_MOVES) + """
+SELECT customer_id, txn_date, txn_type, txn_amount, impact, balance FROM balances""",
+
+    "balance_range_per_customer": _with(_MOVES) + """
+SELECT customer_id, MIN(balance) AS min_balance, CAST(SUM(balance) AS DOUBLE) / COUNT(*) AS avg_balance,
+       MAX(balance) AS max_balance FROM balances GROUP BY customer_id""",
+
+    "months_with_more_depositors_than_buyers": _with(TXNS) + """
+SELECT strftime(txn_date, '%Y-%m') AS month, COUNT(DISTINCT CASE WHEN txn_type = 'deposit' THEN customer_id END) AS n_depositors,
+       COUNT(DISTINCT CASE WHEN txn_type = 'purchase' THEN customer_id END) AS n_buyers
+FROM customer_transactions GROUP BY 1 HAVING n_depositors > n_buyers""",
+
+    "whole_deposits_per_customer": _with(TXNS) + """
+SELECT COUNT(*) FILTER (WHERE txn_type = 'deposit') AS n_deposits, COUNT(DISTINCT customer_id) AS n_customers,
+       n_deposits // NULLIF(n_customers, 0) AS deposits_per_customer
+FROM customer_transactions""",
+
+    "customer_history": _with(SUBS, TXNS) + """
+SELECT customer_id, start_date AS event_date, plan_id, CAST(NULL AS VARCHAR) AS txn_type, CAST(NULL AS DECIMAL(12,2)) AS amount
+FROM subscriptions
+UNION ALL SELECT customer_id, txn_date, NULL, txn_type, txn_amount FROM customer_transactions""",
+
+    "churn_share_text": "SELECT n_churned, n_customers, format('{:.1f}%', pct_churned) AS churned FROM (" + ORACLE["churn_share"] + ")",
+
+    "days_to_annual_self_join": ORACLE["avg_days_to_annual"],
+
+    "trial_starts_in_order": ORACLE["trial_starts_per_month"] + " ORDER BY month",
+
+    "changed_toppings_per_order": _with(ORDERS_RAW) + f"""
+SELECT order_id, unnest({_int_list('exclusions')}) AS topping_id FROM customer_orders_raw
+UNION SELECT order_id, unnest({_int_list('extras')}) FROM customer_orders_raw""",
+})
 ORACLE["monthly_closing_balance_sql"] = ORACLE["monthly_closing_balance"]
 
 

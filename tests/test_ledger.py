@@ -78,6 +78,37 @@ def test_growth_sign_and_zero_base(spark):
     assert out["2020-01"].n_grew == 0
 
 
+def test_growth_out_of_those_with_a_month_before(spark):
+    bal = spark.createDataFrame([
+        (1, "2020-01", Decimal("100")), (1, "2020-03", Decimal("200")),  # silent in February
+        (2, "2020-02", Decimal("10")), (2, "2020-03", Decimal("10")),
+    ], "customer_id int, month string, balance decimal(18,2)")
+    filled = LE.densify_months(bal, "customer_id", "month", "balance")
+    got = rows(LE.growth_over_threshold(filled, "customer_id", "month", base="previous"), "month", "n_grew", "n_customers", "pct_grew")
+    assert got == [("2020-01", 0, 0, None), ("2020-02", 0, 1, 0.0), ("2020-03", 1, 2, 50.0)]
+
+
+def test_transaction_balances_split_and_unsplit_agree(spark, txns):
+    args = ("customer_id", "txn_date", "txn_type", "txn_amount")
+    whole = LE.transaction_balances(txns, *args)
+    split = LE.transaction_balances(txns, *args, bucket=F.trunc("txn_date", "month"))
+    cols = ("customer_id", "txn_date", "txn_type", "txn_amount", "impact", "balance")
+    assert rows(whole, *cols) == rows(split, *cols)
+    first = LE.balance_range(whole, "customer_id").filter("customer_id = 1").first()
+    assert (first.min_balance, first.max_balance) == (Decimal("-30.00"), Decimal("100.00"))
+
+
+def test_allocations_by_month(spark):
+    daily = spark.createDataFrame([
+        (1, D(2020, 1, 30), Decimal("10")), (1, D(2020, 1, 31), Decimal("20")), (1, D(2020, 2, 1), Decimal("-5")),
+        (2, D(2020, 1, 31), Decimal("7")), (2, D(2020, 2, 1), Decimal("8")),
+    ], "customer_id int, bal_date date, balance decimal(18,2)")
+    assert rows(LE.allocation_period_end(daily, months_later=1), "month", "data_required") == [
+        ("2020-02", Decimal("27.00")), ("2020-03", Decimal("8.00"))]
+    assert rows(LE.allocation_daily(daily, monthly=True), "month", "daily_min", "daily_avg", "daily_max") == [
+        ("2020-01", Decimal("10.00"), 18.5, Decimal("27.00")), ("2020-02", Decimal("8.00"), 8.0, Decimal("8.00"))]
+
+
 def test_allocations(spark, txns):
     daily = LE.daily_balances(txns, "customer_id", "txn_date", "txn_type", "txn_amount", "2020-01-08")
     me = rows(LE.allocation_period_end(daily), "month", "data_required")

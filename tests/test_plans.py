@@ -54,6 +54,20 @@ def test_per_key_top_k_is_limited_before_the_shuffle(spark, name):
     assert "WindowGroupLimit" in text and "Partial" in text
 
 
+@pytest.mark.parametrize("name", ["first_item_after_joining", "last_item_before_joining", "spend_before_joining",
+                                  "loyalty_points_first_week", "loyalty_points_eight_day_window"])
+def test_hot_customer_is_reduced_to_days_before_the_member_join(spark, name):
+    """The facts are hashed by customer and day, so one customer's rows go to many tasks."""
+    from casebook.plans.inspect import physical_plan
+    text = physical_plan(QUERIES[name](spark, SF_SMALL), "simple")
+    assert re.search(r"hashpartitioning\(customer_id#\d+L?, order_date#\d+", text)
+
+
+def test_churn_share_does_not_multiply_rows(spark):
+    from casebook.plans.inspect import physical_plan
+    assert "Expand" not in physical_plan(QUERIES["churn_share"](spark, SF_SMALL), "simple")
+
+
 def test_no_cross_join_anywhere(spark):
     from casebook.plans.inspect import physical_plan
     for name, fn in QUERIES.items():
