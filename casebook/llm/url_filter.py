@@ -4,9 +4,11 @@ URLs that a rule accepts or rejects train two smoothed variable-order Markov mod
 over characters. A URL that no rule fits is judged by the difference of the two
 log-likelihoods per character, against a threshold calibrated on the ruled URLs.
 
-All work is DataFrame functions. The models are kept in hashed tables of
-``BUCKETS`` cells per order, so what reaches every task has a fixed size; the counts
-themselves come from all ruled URLs through a partially aggregated ``groupBy``.
+All work is DataFrame functions. Counts are kept by the n-gram itself, in tables that
+grow with the distinct n-grams: every position has one n-gram of each length and the
+shorter ones are its ends, so one pass counts the longest and the others are sums of
+those. A URL's score joins its n-grams with the log-ratios; each distinct URL is scored
+once.
 
 Defined results: a null URL or one without ``://`` has empty host and path, fits no
 rule and has no characters to judge, so its score is 0 and it is allowed; when either
@@ -16,7 +18,6 @@ judged one by one, so repeated rows and null ids keep their own result.
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -25,7 +26,6 @@ from pyspark.sql import functions as F
 from casebook.llm.common import stage
 
 ORDERS = (1, 2, 3, 4, 5)  # n-gram lengths; the longest seen one predicts
-BUCKETS = 1 << 13  # cells per order, for any input size
 SMOOTHING = 4.0  # weight of the shorter context's prediction
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -70,81 +70,55 @@ def longest_rule(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) ->
     return found
 
 
-def _cell(gram: Column) -> Column:
-    return F.pmod(F.xxhash64(gram), F.lit(BUCKETS)).cast("int")
+def _grams(text: Column) -> Column:
+    """The longest n-gram that ends at each character; start marks give every character
+    a context of every length."""
+    longest = max(ORDERS)
+    padded = F.concat(F.lit("\u0002" * (longest - 1)), text)
+    return F.when(F.length(text) > 0, F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.substring(padded, i, F.lit(longest)))).otherwise(F.array().cast("array<string>"))
 
 
-def _positions(text: Column) -> Column:
-    return F.when(F.length(text) > 0, F.sequence(F.lit(1), F.length(text))).otherwise(F.array().cast("array<int>"))
-
-
-def _padded(text: Column) -> Column:
-    """Start marks, so that every character has a context of every length."""
-    return F.concat(F.lit("\u0002" * (max(ORDERS) - 1)), text)
-
-
-def _gram(padded: Column, i: Column, k: int) -> Column:
-    """The k characters that end at position ``i`` of the unpadded text."""
-    return F.substring(padded, i + F.lit(max(ORDERS) - k), F.lit(k))
-
-
-def count_ngrams(ruled: DataFrame) -> DataFrame:
-    """Per order and n-gram cell: uses in accepted and rejected URLs, with the cells of
-    its context (all but the last character) and of the next shorter n-gram."""
-    padded = F.col("lm_padded")
-
-    def grams(k):
-        return F.transform(_positions(F.col("lm_text")), lambda i: F.struct(
-            F.lit(k).alias("k"), _cell(_gram(padded, i, k)).alias("gram"),
-            (_cell(F.substring(padded, i + F.lit(max(ORDERS) - k), F.lit(k - 1))) if k > 1 else F.lit(0)).alias("context"),
-            (_cell(_gram(padded, i, k - 1)) if k > 1 else F.lit(0)).alias("shorter")))
-
-    return (ruled.withColumn("lm_padded", _padded(F.col("lm_text")))
-            .select("accepted", F.explode(F.concat(*[grams(k) for k in ORDERS])).alias("x"))
-            .groupBy("x.k", "x.gram", "x.context", "x.shorter")
-            .agg(F.count_if("accepted").alias("acc"), F.count_if(~F.col("accepted")).alias("rej")))
+def url_grams(judged: DataFrame) -> DataFrame:
+    """``u1, u2, gram, n, acc, rej``: the longest n-grams of each distinct URL and how
+    often it was accepted and rejected; u1 and u2 are two hashes of the URL."""
+    distinct = judged.groupBy("u1", "u2", "lm_text").agg(F.count_if(F.col("ruled_as") == "allow").alias("acc"), F.count_if(F.col("ruled_as") == "block").alias("rej"))
+    return (distinct.select("u1", "u2", "acc", "rej", F.explode(_grams(F.col("lm_text"))).alias("gram"))
+            .groupBy("u1", "u2", "gram", "acc", "rej").agg(F.count(F.lit(1)).alias("n")))
 
 
 def log_ratios(counts: DataFrame) -> DataFrame:
-    """One row per order and n-gram cell: ln p(char | context), accepted less rejected.
+    """``gram, ratio`` for every longest n-gram: ln p(char | context), accepted less
+    rejected, in thousandths (whole numbers make a score independent of the order of
+    addition), by the longest of its ends that a ruled URL has; 0 without any.
 
     An order's probability is its relative frequency smoothed by the next shorter
-    order's: (n(context, char) + s * p_shorter) / (n(context) + s). There are at most
-    ``BUCKETS`` cells an order, so these joins stay small at any input size. Where
-    cells collide, the commonest context and shorter n-gram stand for the cell.
+    order's: (n(context, char) + s * p_shorter) / (n(context) + s). ``counts`` has the
+    uses ``acc`` and ``rej`` of each longest n-gram, also of those that only unruled
+    URLs have.
     """
-    classes, out, shorter = ("acc", "rej"), None, None
+    classes, by_order = ("acc", "rej"), {max(ORDERS): counts}
+    for k in reversed(ORDERS[:-1]):
+        by_order[k] = by_order[k + 1].groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(*[F.sum(c).alias(c) for c in classes])
+    total = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in classes]).first()
+    shorter = None
     for k in ORDERS:
-        own = counts.where(F.col("k") == k)
-        contexts = own.groupBy("context").agg(*[F.sum(c).alias(f"n_{c}") for c in classes])
-        grams = own.groupBy("gram").agg(
-            *[F.sum(c).alias(c) for c in classes],
-            F.max(F.struct(F.col("acc") + F.col("rej"), "context", "shorter")).alias("of"))
-        t = grams.select("gram", *classes, "of.context", "of.shorter").join(contexts, "context")
-        t = t.withColumns({f"q_{c}": F.lit(1.0 / 256) for c in classes}) if shorter is None else t.join(shorter, "shorter")
-        t = t.select("gram", *[((F.col(c) + SMOOTHING * F.col(f"q_{c}")) / (F.col(f"n_{c}") + SMOOTHING)).alias(f"p_{c}") for c in classes])
-        rows = t.select(F.lit(k).alias("k"), "gram", F.log(F.col("p_acc") / F.col("p_rej")).alias("ratio"))
-        out = rows if out is None else out.unionByName(rows)
-        shorter = t.select(F.col("gram").alias("shorter"), *[F.col(f"p_{c}").alias(f"q_{c}") for c in classes])
-    return out
-
-
-def weight_table(ratios: DataFrame) -> Column:
-    """All log-ratios as one constant array, at ``(k - 1) * BUCKETS + cell`` (null:
-    unseen), in thousandths. Its size is fixed, whatever the input's; whole numbers
-    make a score independent of the order of addition."""
-    cells: list[int | None] = [None] * (len(ORDERS) * BUCKETS)
-    for k, gram, w in ratios.select("k", "gram", F.round(F.col("ratio") * 1000).cast("int")).collect():  # at most len(cells) rows
-        cells[(k - 1) * BUCKETS + gram] = w
-    return F.from_json(F.lit(json.dumps(cells)), "array<int>")
-
-
-def lm_score(text: Column, table: Column) -> Column:
-    """Mean over the characters of the log-ratio of the longest n-gram that training saw."""
-    padded = _padded(text)
-    ratio = lambda i: F.coalesce(*[F.get(table, F.lit((k - 1) * BUCKETS) + _cell(_gram(padded, i, k))) for k in reversed(ORDERS)], F.lit(0))
-    total = F.aggregate(_positions(text), F.lit(0).cast("long"), lambda a, i: a + ratio(i))
-    return F.when(F.length(text) > 0, total / (1000 * F.length(text))).otherwise(0.0)
+        t = by_order[k]
+        if shorter is None:
+            t = t.withColumns({f"n_{c}": F.lit(total[c]) for c in classes} | {f"q_{c}": F.lit(1.0 / 256) for c in classes} | {"back": F.lit(0.0)})
+        else:
+            t = t.withColumns({"context": F.substring("gram", 1, k - 1), "end": F.expr("substring(gram, 2)")})
+            contexts = t.groupBy("context").agg(*[F.sum(c).alias(f"n_{c}") for c in classes])
+            t = t.join(contexts, "context").join(shorter, "end")
+        t = t.withColumns({f"p_{c}": (F.col(c) + SMOOTHING * F.col(f"q_{c}")) / (F.col(f"n_{c}") + SMOOTHING) for c in classes})
+        t = t.withColumn("ratio", F.when(F.col("acc") + F.col("rej") > 0, F.log(F.col("p_acc") / F.col("p_rej"))).otherwise(F.col("back")))
+        shorter = t.select(F.col("gram").alias("end"), *[F.col(f"p_{c}").alias(f"q_{c}") for c in classes], F.col("ratio").alias("back"))
+    return shorter.select(F.col("end").alias("gram"), F.round(F.col("back") * 1000).cast("long").alias("ratio"))
+
+
+def lm_scores(grams: DataFrame, ratios: DataFrame) -> DataFrame:
+    """``u1, u2, lm_score``: mean over a URL's characters of the log-ratio."""
+    total = grams.join(ratios, "gram").groupBy("u1", "u2").agg(F.sum(F.col("n") * F.col("ratio")).alias("sum"), F.sum("n").alias("n"))
+    return total.select("u1", "u2", (F.col("sum") / (1000 * F.col("n"))).alias("lm_score"))
 
 
 def calibrated_threshold(scored: DataFrame) -> Column:
@@ -169,10 +143,14 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         ruled_as = F.when(F.col("rule") == text, F.lit(verdict)).otherwise(ruled_as)
     judged = judged.withColumn("ruled_as", ruled_as)
 
-    ruled = judged.where(F.col("rule").isNotNull()).select("lm_text", (F.col("ruled_as") == "allow").alias("accepted"))
-    table = weight_table(log_ratios(stage(count_ngrams(ruled), "url-ngrams")))
-    threshold = calibrated_threshold(ruled.withColumn("lm_score", lm_score(F.col("lm_text"), table)))
-    judged = judged.withColumn("lm_score", F.when(F.col("host") == "", 0.0).otherwise(lm_score(F.col("lm_text"), table)))
+    judged = judged.withColumns({"u1": F.xxhash64("lm_text"), "u2": F.xxhash64(F.lit(1), "lm_text")})
+
+    grams = stage(url_grams(judged), "url-ngrams")
+    counts = stage(grams.groupBy("gram").agg(F.sum(F.col("n") * F.col("acc")).alias("acc"), F.sum(F.col("n") * F.col("rej")).alias("rej")), "url-counts")
+    scored = judged.drop("lm_text").join(lm_scores(grams, log_ratios(counts)), ["u1", "u2"], "left").drop("u1", "u2")
+    scored = stage(scored.withColumn("lm_score", F.coalesce("lm_score", F.lit(0.0))), "url-scored")
+    threshold = calibrated_threshold(scored.where(F.col("rule").isNotNull()).select("lm_score", (F.col("ruled_as") == "allow").alias("accepted")))
+    lm_score = F.when(F.col("host") == "", 0.0).otherwise(F.col("lm_score"))
     # Without both classes the threshold is null: allow.
     by_model = F.when((F.col("host") != "") & (F.col("lm_score") < threshold), "block").otherwise("allow")
-    return judged.select("page_id", "host", "path", "rule", F.coalesce("ruled_as", by_model).alias("verdict"), "lm_score")
+    return scored.select("page_id", "host", "path", "rule", F.coalesce("ruled_as", by_model).alias("verdict"), lm_score.alias("lm_score"))

@@ -1,5 +1,6 @@
 """Quality rules, toxicity, personal data, URL filter."""
 
+import math
 import random
 import re
 from collections import Counter
@@ -142,3 +143,35 @@ def test_url_model_separates_the_ruled(spark):
     got = QUERIES["op10_url_filter"](spark, "/root/testdata/sf0.01").where("rule is not null").collect()
     right = sum((r.lm_score > 0) == (r.verdict == "allow") for r in got)
     assert right >= 0.9 * len(got)
+
+
+def brute_url_scores(urls):
+    """Exact n-gram counts, the longest n-gram seen decides; no cells."""
+    top, seen = max(url_filter.ORDERS), Counter()
+    pad = lambda u: "\u0002" * (top - 1) + u
+    for u in urls:
+        verdict = brute_rule(u)[3]
+        for i in range(top, len(pad(u)) + 1) if verdict else ():
+            for k in url_filter.ORDERS:
+                seen[verdict, pad(u)[i - k:i]] += 1
+                seen[verdict, "context", k, pad(u)[i - k:i - 1]] += 1
+
+    def p(verdict, gram):
+        shorter = p(verdict, gram[1:]) if len(gram) > 1 else 1 / 256
+        return (seen[verdict, gram] + url_filter.SMOOTHING * shorter) / (seen[verdict, "context", len(gram), gram[:-1]] + url_filter.SMOOTHING)
+
+    def ratio(gram):
+        while gram and not seen["allow", gram] + seen["block", gram]:
+            gram = gram[1:]
+        return math.log(p("allow", gram) / p("block", gram)) if gram else 0.0
+
+    return {u: sum(ratio(pad(u)[i - top:i]) for i in range(top, len(pad(u)) + 1)) / max(1, len(u)) for u in urls}
+
+
+def test_url_model_is_exact(spark):
+    sf = "/root/testdata/sf0.01"
+    urls = {r.page_id: r.url for r in spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url").collect()}
+    want = brute_url_scores(list(urls.values()))
+    got = QUERIES["op10_url_filter"](spark, sf).collect()
+    assert len(got) == len(urls)
+    assert max(abs(r.lm_score - want[urls[r.page_id]]) for r in got if r.host) < 0.001
