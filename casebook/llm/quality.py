@@ -1,18 +1,19 @@
 """Quality rules: hashed n-gram log-likelihood ratio of two multinomials (native).
 
-Every text is cut into word and punctuation tokens. Their uni- and bigrams, hashed
-into ``BUCKETS`` cells, are counted over the whole corpus and over a trusted target
-(documents labelled as good). A document's score is the mean over its n-grams of
-ln p_target - ln p_raw; below a fixed threshold it is rejected. Simple base rules
-(too short, too repetitive) come first.
+Every text is cut into word and punctuation tokens. Their uni- and bigrams, by 64-bit
+hash, are counted over the whole corpus and over a trusted target (documents labelled
+as good). A document's score is the mean over its n-grams of ln p_target - ln p_raw; it
+is rejected below a threshold set where the labelled good and bad documents' scores lie
+equally many standard deviations away. Simple base rules (too short, too repetitive)
+come first.
 
-Only DataFrame functions are used, and each document is judged within its own row, so
-no text is ever shuffled; the counts are aggregated before their shuffle into at most
-``BUCKETS`` rows, and the weights that every task gets have a fixed size.
+Only DataFrame functions are used. The counts and ratios are tables that grow with the
+distinct n-grams; a document's n-grams are joined with them by a shuffle, texts are not
+shuffled for it.
 
 Defined results: null and empty texts have no words and fail the base rules; repeated
 rows are judged alike; without a trusted document no ratio can be formed and the base
-rules alone decide.
+rules alone decide; without labelled documents of both kinds ``THRESHOLD`` holds.
 """
 
 from __future__ import annotations
@@ -23,11 +24,11 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import id_text
+from casebook.llm.common import id_text, stage
+from casebook.llm.url_filter import calibrated_threshold
 
-BUCKETS = 1 << 14  # cells of the hashed multinomials, for any input size
 TRUSTED_MAX = 20_000  # at most so many trusted documents (by hash of their id) form the target
-THRESHOLD = -0.5  # nats per n-gram
+THRESHOLD = -0.5  # nats per n-gram, where labels can't set one
 MIN_WORDS = 20
 WINDOW = 8
 MAX_REPEAT_PERCENT = 30
@@ -105,12 +106,17 @@ def token_hashes(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), lambda t: F.xxhash64(t))
 
 
-def ngram_cells(tokens: str) -> Column:
-    """Cells of the uni- and bigrams of a column of token hashes."""
+def ngram_hashes(tokens: str) -> Column:
+    """Hashes of the uni- and bigrams of a column of token hashes."""
     own = F.col(tokens)
-    cell = lambda h: F.pmod(h, F.lit(BUCKETS)).cast("int")
-    bigrams = F.transform(F.slice(own, 1, F.greatest(F.size(own) - 1, F.lit(0))), lambda h, i: cell(F.xxhash64(h, F.get(own, i + 1))))
-    return F.concat(F.transform(own, cell), bigrams)
+    bigrams = F.transform(F.slice(own, 1, F.greatest(F.size(own) - 1, F.lit(0))), lambda h, i: F.xxhash64(h, F.get(own, i + 1)))
+    return F.concat(own, bigrams)
+
+
+def document_ngrams(docs: DataFrame) -> DataFrame:
+    """``key, gram``, a row for each use. Texts alike share a key: their mean is that of each."""
+    hashed = docs.withColumn("tokens_", token_hashes(F.col("text")))
+    return hashed.select(*[c for c in docs.columns if c != "text"], F.explode(ngram_hashes("tokens_")).alias("gram"))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -119,36 +125,39 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED_MAX)
 
 
-def ratio_table(docs: DataFrame, trusted: DataFrame) -> Column:
-    """ln p_target - ln p_raw per cell in thousandths, as one constant array.
+def ngram_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """``gram, ratio``: ln p_target - ln p_raw of each n-gram in thousandths.
 
-    Counts cover every document, as target or not; add-one smoothing.
+    Counts cover every document, as target or not; add-one smoothing over the distinct
+    n-grams. No rows without a trusted document.
     """
     flagged = docs.join(F.broadcast(trusted.withColumn("trusted", F.lit(True))), "doc_id", "left")  # TRUSTED_MAX ids
-    counts = (flagged.select("trusted", token_hashes(F.col("text")).alias("tokens_"))
-              .select("trusted", F.explode(ngram_cells("tokens_")).alias("cell"))
-              .groupBy("cell").agg(F.count(F.lit(1)).alias("raw"), F.count("trusted").alias("target")).collect())  # at most BUCKETS rows
-    raw_total, target_total = sum(r["raw"] for r in counts), sum(r["target"] for r in counts)
-    by_cell = {r["cell"]: r for r in counts}
-    def ratio(cell):
-        r = by_cell.get(cell)
-        target, raw = (r["target"], r["raw"]) if r and target_total else (0, 0)
-        return round(1000 * (log((target + 1) / (target_total + BUCKETS)) - log((raw + 1) / (raw_total + BUCKETS)))) if target_total else 0
+    counts = stage(document_ngrams(flagged.select("trusted", "text")).groupBy("gram").agg(F.count(F.lit(1)).alias("raw"), F.count("trusted").alias("target")), "quality-ngrams")
+    raw, target, distinct = counts.agg(F.sum("raw"), F.sum("target"), F.count(F.lit(1))).first()
+    p = lambda c, total: F.log((F.col(c) + 1) / F.lit(float((total or 0) + distinct)))
+    return counts.where(F.lit(bool(target))).select("gram", F.round(1000 * (p("target", target) - p("raw", raw))).cast("long").alias("ratio"))
+
 
-    return F.from_json(F.lit(json.dumps([ratio(c) for c in range(BUCKETS)])), "array<int>")
+def ratio_scores(docs: DataFrame, ratios: DataFrame) -> DataFrame:
+    """``key, llr``: mean ratio over a text's n-grams. Whole numbers are added, so their
+    order doesn't matter."""
+    total = document_ngrams(docs.select("key", "text")).join(ratios.hint("merge"), "gram").groupBy("key").agg(F.sum("ratio").alias("sum"), F.count(F.lit(1)).alias("n"))
+    return total.select("key", (F.col("sum") / (1000 * F.col("n"))).alias("llr"))
 
 
-def ratio_score(cells: str, table: Column) -> Column:
-    """Mean ratio over the n-grams' cells; 0 without any. Whole numbers are added, so
-    their order doesn't matter."""
-    total = F.aggregate(F.col(cells), F.lit(0).cast("long"), lambda a, c: a + F.get(table, c))
-    return F.when(F.size(cells) > 0, total / (1000 * F.size(cells))).otherwise(0.0)
+def labelled_threshold(judged: DataFrame, labels: DataFrame) -> Column:
+    """From the scores of the labelled documents that pass the base rules; null without both kinds."""
+    known = labels.where("quality in (0, 1)").select("doc_id", (F.col("quality") == 1).alias("accepted"))
+    return calibrated_threshold(judged.where(~F.col("base_failed")).select("doc_id", F.col("llr").alias("lm_score")).join(known, "doc_id"))
 
 
-def judge_quality(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """Base counts, ``base_failed``, ``llr`` and ``kept`` for every document."""
+def judge_quality(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float | None = None) -> DataFrame:
+    """Base counts, ``base_failed``, ``llr`` and ``kept`` for every document; without a
+    ``threshold`` the labels set it."""
     docs = id_text(documents, id_col, text_col)
-    table = ratio_table(docs, trusted_ids(labels))
-    scored = docs.withColumn("tokens_", token_hashes(F.col("text"))).withColumn("cells_", ngram_cells("tokens_"))
-    judged = base_rules(scored.select("doc_id", "text", ratio_score("cells_", table).alias("llr")))
-    return judged.drop("text").withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
+    docs = docs.withColumn("key", F.xxhash64("text"))
+    scores = ratio_scores(docs, ngram_ratios(docs, trusted_ids(labels)))
+    judged = base_rules(docs).drop("text").join(scores, "key", "left").drop("key")
+    judged = stage(judged.withColumn("llr", F.coalesce("llr", F.lit(0.0))), "quality-scored")
+    least = F.lit(threshold) if threshold is not None else F.coalesce(labelled_threshold(judged, labels), F.lit(THRESHOLD))
+    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= least))

@@ -51,6 +51,18 @@ def test_op3_query(spark):
     assert sum(not kept for kept, good in judged if not good) >= sum(not good for _, good in judged) - 2
 
 
+def test_quality_in_a_larger_table(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    trained = labels.where("doc_id % 2 = 0")  # the others are held out
+    got = quality.judge_quality(docs, trained).where("not base_failed and n_words >= 40").join(labels, "doc_id").collect()
+    for mine in ([r for r in got if r.doc_id % 2 == 0], [r for r in got if r.doc_id % 2]):
+        good, bad = [r.kept for r in mine if r.quality == 1], [r.kept for r in mine if r.quality == 0]
+        print("kept good", sum(good), len(good), "rejected bad", len(bad) - sum(bad), len(bad))
+        assert sum(good) >= 0.99 * len(good)
+        assert sum(bad) <= 0.02 * len(bad)
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     scored = QUERIES["op6_toxicity"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").collect()
