@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from casebook.llm.common import id_text, stage
 from casebook.llm.url_filter import calibrated_threshold
 
-TRUSTED_MAX = 20_000  # at most so many trusted documents (by hash of their id) form the target
 THRESHOLD = -0.5  # nats per n-gram, where labels can't set one
 MIN_WORDS = 20
 WINDOW = 8
@@ -120,9 +119,8 @@ def document_ngrams(docs: DataFrame) -> DataFrame:
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
-    """At most ``TRUSTED_MAX`` ids labelled good, chosen by hash."""
-    good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED_MAX)
+    """All ids labelled good."""
+    return labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
 
 
 def ngram_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
@@ -131,7 +129,7 @@ def ngram_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     Counts cover every document, as target or not; add-one smoothing over the distinct
     n-grams. No rows without a trusted document.
     """
-    flagged = docs.join(F.broadcast(trusted.withColumn("trusted", F.lit(True))), "doc_id", "left")  # TRUSTED_MAX ids
+    flagged = docs.join(trusted.withColumn("trusted", F.lit(True)), "doc_id", "left")  # no hint: the ids grow with the labels
     counts = stage(document_ngrams(flagged.select("trusted", "text")).groupBy("gram").agg(F.count(F.lit(1)).alias("raw"), F.count("trusted").alias("target")), "quality-ngrams")
     raw, target, distinct = counts.agg(F.sum("raw"), F.sum("target"), F.count(F.lit(1))).first()
     p = lambda c, total: F.log((F.col(c) + 1) / F.lit(float((total or 0) + distinct)))

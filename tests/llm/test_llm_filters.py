@@ -63,6 +63,12 @@ def test_quality_in_a_larger_table(spark):
         assert sum(bad) <= 0.02 * len(bad)
 
 
+def test_all_trusted_documents_count(spark):
+    ids = spark.range(20_005).select(F.col("id").alias("doc_id"))
+    labels = ids.withColumns({"quality": F.lit(1), "toxic": F.lit(0)})
+    assert quality.trusted_ids(labels.unionAll(labels)).count() == 20_005
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     scored = QUERIES["op6_toxicity"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").collect()
