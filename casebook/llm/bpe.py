@@ -171,7 +171,7 @@ def block_words(docs: DataFrame, pattern: str, buckets: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array([*cuts, len(raw)], pa.int32()), pa.array(raw, pa.binary()))
             yield pa.RecordBatch.from_arrays([pa.array([block_name(k)] * len(cuts), pa.int64()), pa.array(bucket[cuts], pa.int32()), lists], ["block", "bucket", "words"])
 
-    return docs.select("text").mapInArrow(run, WORDS)
+    return docs.select("doc_id", "text").mapInArrow(run, WORDS)  # the columns of block_codes, for the same batches
 
 
 def block_codes(docs: DataFrame, pattern: str, buckets: int) -> DataFrame:

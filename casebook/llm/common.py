@@ -43,10 +43,12 @@ def give_back() -> None:
 
 
 def blocks(batches, column: str, target_bytes: int):
-    """Regroup Arrow batches into tables holding about ``target_bytes`` of ``column``.
+    """Regroup Arrow batches into tables holding at most ``target_bytes`` of ``column``.
 
-    A larger batch is cut by rows; one long row stays whole. What a block has used is
-    given back to the system before the next, as workers live on between tasks.
+    A block ends before the row that would overflow it, wherever batches end, so the
+    blocks depend on the rows alone; one longer row is a block of its own. What a block
+    has used is given back to the system before the next, as workers live on between
+    tasks.
     """
     held, size = [], 0
     for batch in batches:
@@ -54,14 +56,16 @@ def blocks(batches, column: str, target_bytes: int):
         start, ends = 0, np.cumsum(lens)
         while start < batch.num_rows:
             before = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, before + target_bytes - size, side="right")))
-            held.append(batch.slice(start, stop - start))
-            size += int(ends[stop - 1] - before)
-            start = stop
-            if size >= target_bytes or start < batch.num_rows:
+            stop = int(np.searchsorted(ends, before + target_bytes - size, side="right"))
+            if stop <= start and held:
                 yield pa.Table.from_batches(held)
                 held, size = [], 0
                 give_back()
+                continue
+            stop = max(start + 1, stop)
+            held.append(batch.slice(start, stop - start))
+            size += int(ends[stop - 1] - before)
+            start = stop
     if held:
         yield pa.Table.from_batches(held)
         give_back()

@@ -4,13 +4,14 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 import tiktoken
 from conftest import SF_SMALL
 
 from casebook.llm import bpe, packing
-from casebook.llm.common import stage
+from casebook.llm.common import blocks, stage
 from casebook.llm.queries import PACKING_TOKENIZER, QUERIES
 
 RANKS = bpe.load_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
@@ -41,6 +42,17 @@ def test_encode_and_decode(spark):
     assert bpe.encode(df.limit(0), RANKS, P.PATTERN).collect() == []
 
 
+def test_blocks_do_not_depend_on_batches():
+    rng = random.Random(5)
+    for target in (1, 20, 100):
+        texts = ["x" * rng.choice([0, 0, 1, 7, 20, 30, 150]) for _ in range(400)]
+        whole = pa.table({"text": texts})
+        cuts = {n: [t.column("text").to_pylist() for t in blocks(whole.to_batches(n), "text", target)] for n in (1, 3, 64, 67, 400)}
+        assert sum(cuts[400], []) == texts
+        assert all(len("".join(b)) <= target or len(b) == 1 for b in cuts[400])
+        assert all(c == cuts[400] for c in cuts.values())
+
+
 def test_op1_query(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()
     want = {}
