@@ -352,12 +352,15 @@ def jaccard_components(documents: DataFrame, n: int, percent: int, id_col: str =
 
 def one_of_each(documents: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows, with all their columns, of one document per component: that with the
-    smallest id. Documents with an empty set all stay; rows that repeat an id and its
-    text count as one."""
+    smallest id. Documents with an empty set all stay, and so does each row with neither
+    an id nor a shingle; rows that repeat an id and its text count as one."""
     found = jaccard_components(documents, n, percent, id_col, text_col)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t")
-    first = found.where("n_shingles > 0").groupBy("component_id").agg(F.min(order).alias("first_")).select("first_.doc_id", "first_.t")
-    keep = first.unionByName(found.where("n_shingles = 0").select("doc_id", "t"))
-    keep = stage(keep.select(ident(F.col("doc_id")).alias("d__"), F.col("t").alias("t__")).distinct(), "join-kept")
+    first = found.where("n_shingles > 0").groupBy("component_id").agg(F.min(order).alias("first_")).select("first_.doc_id", "first_.t", F.lit(False).alias("empty__"))
+    keep = first.unionByName(found.where("n_shingles = 0").select("doc_id", "t", F.lit(True).alias("empty__")))
+    keep = stage(keep.select(ident(F.col("doc_id")).alias("d__"), F.col("t").alias("t__"), "empty__").distinct(), "join-kept")
     marked = documents.withColumns({"d__": ident(F.col(f"`{id_col}`")), "t__": F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))})
-    return marked.join(keep, ["d__", "t__"], "left_semi").dropDuplicates(["d__", "t__"]).drop("d__", "t__")
+    kept = marked.join(keep, ["d__", "t__"])
+    # Rows without an id repeat none; what tells them apart is used within this stage only.
+    kept = kept.withColumn("row__", F.when(F.col("empty__") & F.col(f"`{id_col}`").isNull(), F.monotonically_increasing_id()))
+    return kept.dropDuplicates(["d__", "t__", "row__"]).drop("d__", "t__", "empty__", "row__")

@@ -7,7 +7,7 @@ import numpy as np
 from conftest import SF_SMALL
 
 import corpus_pipeline
-from casebook.llm import topk, warc
+from casebook.llm import jaccard, topk, warc
 from casebook.llm.common import stage
 from casebook.llm.queries import QUERIES
 
@@ -67,3 +67,10 @@ def test_pipeline(spark):
     for name, function in corpus_pipeline.STAGES:
         odd = stage(function(spark, odd, SF_SMALL), "test")
     assert odd.count() == 3
+
+
+def test_pipeline_keeps_rows_without_id_and_shingles(spark):
+    rows = [(None, None, "a"), (None, "", "b"), (None, "", "b"), (None, " ", "c"), (None, " ", "d"), (1, "", "e"), (1, "", "e"), (2, "p q r s t u", "f"), (3, "p q r s t u", "g")]
+    got = jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 5, 80)
+    assert got.columns == ["doc_id", "text", "lang"]
+    assert sorted(r.lang for r in got.collect()) == ["a", "b", "b", "c", "d", "e", "f"]
