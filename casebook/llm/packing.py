@@ -30,7 +30,8 @@ CAPACITY = 4096
 END_ID = 1
 BLOCK_BYTES = 8 << 20
 SPLITS = 64  # parts of the numbering of one length
-NODE_LIMIT = 2000  # search nodes before the best packing found is taken
+NODE_LIMIT = 2000  # search nodes before the best packing found is taken, at least
+LEAVES = 4  # and so many for each distinct length: a step mostly uses up one
 FILLINGS = 24  # fillings tried for one bin
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -191,7 +192,7 @@ def bin_completion(histogram: dict[int, int], capacity: int = CAPACITY, node_lim
     best = best_fit_decreasing(histogram, capacity)
     n_best = sum(f.count for f in best)
     bound, total = lower_bound(histogram, capacity), sum(s * n for s, n in histogram.items())
-    nodes = 0
+    nodes, node_limit = 0, max(node_limit, LEAVES * len(histogram))
 
     def branch(left: dict[int, int], used: list[Filling], n_used: int, waste: int):
         """Yields the next choices; kept on an explicit stack, as bins may be many."""

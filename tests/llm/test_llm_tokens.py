@@ -100,6 +100,13 @@ def test_bin_completion_is_optimal_on_small_sets(seed):
     assert packing.lower_bound(histogram, capacity) <= sum(f.count for f in fillings)
 
 
+def test_search_reaches_leaves_with_many_lengths():
+    histogram = {18: 1, 25: 1, 14: 1, 20: 2, 11: 1, 21: 3, 10: 1, 12: 1}
+    assert sum(f.count for f in packing.best_fit_decreasing(histogram, 50)) == 5
+    # the limit grows with the distinct lengths, so a low one is raised
+    assert sum(f.count for f in packing.bin_completion(histogram, 50, node_limit=1)) == 4
+
+
 def test_pack(spark):
     rows = [(0, None), (1, ""), (None, "no id"), (3, "same"), (3, "same"), (4, "long " * 9000)] + [(10 + i, "a b " * i) for i in range(50)]
     df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, sequence_id string")
