@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from casebook.functions.columns import as_column
 from casebook.functions.safe import pct
 
 # Spellings that stand for "missing" in the source systems.
@@ -16,20 +17,16 @@ DEFAULT_NULL_TOKENS = ("null", "")
 _LEADING_NUMBER = r"^\s*(-?[0-9]+(\.[0-9]+)?)"
 
 
-def _c(col) -> Column:
-    return F.col(col) if isinstance(col, str) else col
-
-
 def null_tokens(col, tokens: Iterable[str] = DEFAULT_NULL_TOKENS) -> Column:
     """NULL when the trimmed, lower-cased text is one of ``tokens`` (or already NULL)."""
-    c = _c(col)
+    c = as_column(col)
     toks = [t.lower() for t in tokens]
     return F.when(c.isNull() | F.lower(F.trim(c)).isin(toks), F.lit(None).cast("string")).otherwise(c)
 
 
 def leading_number(col) -> Column:
     """Text of the leading number of ``col`` ('' when there is none)."""
-    return F.regexp_extract(_c(col), _LEADING_NUMBER, 1)
+    return F.regexp_extract(as_column(col), _LEADING_NUMBER, 1)
 
 
 def parse_measure(col, to_type: str = "decimal(10,2)",
@@ -60,7 +57,7 @@ def parse_timestamp(col, fmt: str = "yyyy-MM-dd HH:mm:ss",
 
 def concat_nullsafe(*cols) -> Column:
     """String concatenation that treats NULL as '' (the T-SQL ``CONCAT`` rule)."""
-    return F.concat(*[F.coalesce(_c(c).cast("string"), F.lit("")) for c in cols])
+    return F.concat(*[F.coalesce(as_column(c).cast("string"), F.lit("")) for c in cols])
 
 
 def percent_text(num, den, digits: int = 1) -> Column:

@@ -12,21 +12,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from casebook.functions.columns import as_column, as_list
 from casebook.functions.dates import iso_weekday, minutes_between, days_between, month_key, week_of_year_block
 from casebook.functions.safe import pct, safe_div
 from casebook.functions.lists import list_size
 
 
-def _cols(x) -> list[str]:
-    if x is None:
-        return []
-    return [x] if isinstance(x, str) else list(x)
-
-
-def _c(col) -> Column:
-    return F.col(col) if isinstance(col, str) else col
-
-
 # ---------------------------------------------------------------- O2
 
 def spend_by_key(facts: DataFrame, dim: DataFrame, key: str, item: str, price: str,
@@ -63,7 +54,7 @@ def share_of_total(df: DataFrame, cond: Column, by=None, distinct: str | None =
     aggregate). ``within="all"``: the base is the whole population, a global
     aggregate used as an uncorrelated scalar subquery (``DataFrame.scalar()``).
     """
-    by = _cols(by)
+    by = as_list(by)
     if distinct is not None and (within == "group" or not by):
         # one row per entity first: two distinct counts in one aggregate would write
         # every row twice before the shuffle
@@ -115,7 +106,7 @@ def top_k_items(df: DataFrame, item, k: int = 1, by=None, count_name: str = "n",
     partial ``WindowGroupLimit`` below the shuffle, so a hot key ships only k rows per
     map task.
     """
-    items, by = _cols(item), _cols(by)
+    items, by = as_list(item), as_list(by)
     counts = df.groupBy(*by, *items).agg(F.count(F.lit(1)).alias(count_name))
     order = [F.col(count_name).desc()] + [F.col(i).asc() for i in items]
     if not by:
@@ -136,7 +127,7 @@ def top_k_items(df: DataFrame, item, k: int = 1, by=None, count_name: str = "n",
 
 def time_bucket(col, unit: str) -> Column:
     """Bucket expression for ``time_bucket_counts``."""
-    c = _c(col)
+    c = as_column(col)
     if unit == "hour":
         return F.hour(c)
     if unit == "weekday":
@@ -159,7 +150,7 @@ def time_bucket_counts(df: DataFrame, ts: str, unit: str, by=None, name: str | N
     bname = name or unit
     agg = F.countDistinct(distinct) if distinct else F.count(F.lit(1))
     return (df.withColumn(bname, time_bucket(ts, unit))
-              .groupBy(*_cols(by), bname).agg(agg.alias(count_name)))
+              .groupBy(*as_list(by), bname).agg(agg.alias(count_name)))
 
 
 # ---------------------------------------------------------------- O20 / O21
@@ -173,7 +164,7 @@ def duration_stats(df: DataFrame, start: str, end: str, unit: str = "minute", by
     """
     dur = minutes_between(start, end) if unit == "minute" else days_between(start, end)
     t = df.withColumn("_dur", dur)
-    g = t.groupBy(*_cols(by)) if by else t
+    g = t.groupBy(*as_list(by)) if by else t
     return g.agg(F.avg("_dur").alias(f"{prefix}avg"), F.min("_dur").alias(f"{prefix}min"),
                  F.max("_dur").alias(f"{prefix}max"),
                  (F.max("_dur") - F.min("_dur")).alias(f"{prefix}range"))
@@ -183,7 +174,7 @@ def rate_stats(df: DataFrame, num: str, den: str, by=None, scale: float = 1.0,
                name: str = "avg_rate") -> DataFrame:
     """Average of ``scale * num / den`` (zero or NULL ``den`` rows ignored)."""
     t = df.withColumn("_rate", safe_div(num, den) * F.lit(scale))
-    g = t.groupBy(*_cols(by)) if by else t
+    g = t.groupBy(*as_list(by)) if by else t
     return g.agg(F.avg("_rate").alias(name))
 
 
@@ -214,7 +205,7 @@ def revenue_by(df: DataFrame, by, price: Column, extras: str | None = None,
     aggs = [F.sum(price).alias(name)]
     if extras is not None:
         aggs.append(F.sum(price + F.lit(surcharge_per_extra) * list_size(extras)).alias(surcharge_name))
-    return df.groupBy(*_cols(by)).agg(*aggs)
+    return df.groupBy(*as_list(by)).agg(*aggs)
 
 
 def change_flags(df: DataFrame, key, list_cols: Sequence[str]) -> DataFrame:
@@ -224,7 +215,7 @@ def change_flags(df: DataFrame, key, list_cols: Sequence[str]) -> DataFrame:
     any_c, all_c = sizes[0], sizes[0]
     for s in sizes[1:]:
         any_c, all_c = any_c | s, all_c & s
-    return df.groupBy(*_cols(key)).agg(F.count_if(any_c).alias("n_changed"),
+    return df.groupBy(*as_list(key)).agg(F.count_if(any_c).alias("n_changed"),
                                        F.count_if(~any_c).alias("n_unchanged"),
                                        F.count_if(all_c).alias("n_both_changed"))
 
@@ -241,7 +232,7 @@ def distinct_per_group(dim: DataFrame, facts: DataFrame, key: str, group_cols, c
     list. Writing ``dim LEFT JOIN facts`` instead would hash every fact row onto the
     few group keys, a skew that AQE cannot split on the outer join's right side.
     """
-    groups = _cols(group_cols)
+    groups = as_list(group_cols)
     enriched = facts.select(key, *counted.values()).join(dim.select(key, *groups), key)
     per = enriched.groupBy(*groups).agg(*[F.countDistinct(c).alias(n) for n, c in counted.items()])
     out = dim.select(*groups).distinct().join(per, groups, "left")
@@ -289,5 +280,5 @@ def activity_rule(df: DataFrame, key: str, period: Column, category: str,
 def pivot_counts(df: DataFrame, key, column: str, values: Sequence, prefix: str = "n_") -> DataFrame:
     """One count column per listed value of ``column`` (a pivot with the values
     given up front: one aggregate, no extra job to discover them)."""
-    return df.groupBy(*_cols(key)).agg(
+    return df.groupBy(*as_list(key)).agg(
         *[F.count_if(F.col(column) == F.lit(v)).alias(f"{prefix}{v}") for v in values])

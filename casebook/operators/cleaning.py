@@ -11,16 +11,11 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from casebook.functions.columns import as_list
 from casebook.functions.lists import split_list
 from casebook.functions.text import DEFAULT_NULL_TOKENS, null_tokens, parse_measure, parse_timestamp
 
 
-def _cols(x) -> list[str]:
-    if x is None:
-        return []
-    return [x] if isinstance(x, str) else list(x)
-
-
 # ---------------------------------------------------------------- O9
 
 def clean_nulls(df: DataFrame, cols: Iterable[str], tokens: Iterable[str] = DEFAULT_NULL_TOKENS) -> DataFrame:
@@ -93,7 +88,7 @@ def decode_list(df: DataFrame, keys, list_col: str, dictionary, dict_id: str = "
     then ``listagg ... WITHIN GROUP (ORDER BY name)`` per ``keys`` (one shuffle on the
     keys; the join strategy is left to Spark/AQE).
     """
-    keys = _cols(keys)
+    keys = as_list(keys)
     arr = F.col(list_col) if parsed else split_list(list_col)
     if not isinstance(dictionary, DataFrame):
         return df.select(*keys, decode_array(arr, dictionary_map(dictionary)).alias(out))

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from casebook.functions.columns import as_list
 from casebook.functions.dates import month_key
 from casebook.functions.safe import pct
 from casebook.operators.sequence import first_last_by
@@ -21,12 +22,6 @@ from casebook.operators.sequence import first_last_by
 OPEN_END = "9999-12-31"
 
 
-def _cols(x) -> list[str]:
-    if x is None:
-        return []
-    return [x] if isinstance(x, str) else list(x)
-
-
 # ---------------------------------------------------------------- O29
 
 def interval_stats(df: DataFrame, start: str, end: str, by=None,
@@ -55,13 +50,13 @@ def interval_stats(df: DataFrame, start: str, end: str, by=None,
         aggs = [F.percentile_approx("_days", list(pcts), accuracy).cast("array<double>").alias("_p")]
     if avg_name:
         aggs.append(F.avg("_days").alias(avg_name))
-    g = t.groupBy(*_cols(by)) if by else t
+    g = t.groupBy(*as_list(by)) if by else t
     out = g.agg(*aggs)
     if groups is not None:
         # keep groups without any interval: attach the (small) aggregate to the group
         # list instead of outer-joining the group list to the raw intervals
-        out = groups.select(*_cols(by)).distinct().join(out, _cols(by), "left")
-    return out.select(*_cols(by), *([avg_name] if avg_name else []),
+        out = groups.select(*as_list(by)).distinct().join(out, as_list(by), "left")
+    return out.select(*as_list(by), *([avg_name] if avg_name else []),
                       *[F.col("_p")[i].alias(n) for i, n in enumerate(names)])
 
 
@@ -103,7 +98,7 @@ def running_balance(net: DataFrame, key: str, order, value: str = "net",
     (entity, bucket) window partition is added to it. The hot entity's rows are then
     summed by many tasks.
     """
-    order = _cols(order)
+    order = as_list(order)
     if bucket is None:
         w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return net.withColumn(name, F.sum(value).over(w).cast("decimal(18,2)"))

@@ -13,11 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _cols(x) -> list[str]:
-    if x is None:
-        return []
-    return [x] if isinstance(x, str) else list(x)
+from casebook.functions.columns import as_list
 
 
 def _pick(order: Sequence[str], values: Sequence[str], which: str) -> Column:
@@ -36,7 +32,7 @@ def first_last_by(df: DataFrame, key, order, value, which: str = "first",
     ``order`` (deduplicated), via a ``rank`` filter that Spark limits per task before
     the shuffle.
     """
-    keys, order, values = _cols(key), _cols(order), _cols(value)
+    keys, order, values = as_list(key), as_list(order), as_list(value)
     if ties == "all":
         o = [F.col(c).asc() if which == "first" else F.col(c).desc() for c in order]
         w = Window.partitionBy(*keys).orderBy(*o)
@@ -59,7 +55,7 @@ def asof_event(facts: DataFrame, anchors: DataFrame, key, fact_order, anchor_dat
     anchors has at most one row per key and calendar day. Entities without such a fact
     are absent (inner semantics: the question is about the events that exist).
     """
-    keys, order, values = _cols(key), _cols(fact_order), _cols(value)
+    keys, order, values = as_list(key), as_list(fact_order), as_list(value)
     which = "first" if side == "after" else "last"
     d = F.col(order[0])
     a = F.col(anchor_date)
@@ -85,7 +81,7 @@ def totals_before_anchor(facts: DataFrame, anchors: DataFrame, key, date: str, a
     reduced to one row per key and day before they meet the anchors, so a hot key's
     rows are spread over its days.
     """
-    keys = _cols(key)
+    keys = as_list(key)
     cond = F.col(date) <= F.col(anchor_date) if inclusive else F.col(date) < F.col(anchor_date)
     if prices is not None:
         facts = facts.join(prices.select(item, amount), item, "left")
@@ -112,7 +108,7 @@ def shift_rows(df: DataFrame, key, order, cols, prev: bool = True, nxt: bool = T
     shifted by one bucket with a window over the summary, whose rows per key are
     bounded by the number of buckets.
     """
-    keys, order, cols, carry = _cols(key), _cols(order), _cols(cols), _cols(carry)
+    keys, order, cols, carry = as_list(key), as_list(order), as_list(cols), as_list(carry)
     ordered = [F.col(c) for c in order]
     if bucket is None:
         w = Window.partitionBy(*keys).orderBy(*ordered)
@@ -163,7 +159,7 @@ def plan_transitions(subs: DataFrame, key, date: str, state: str, tiebreak=None,
     hash exchange on ``key``; lag and lead share the same window. ``bucket`` (e.g.
     ``F.trunc(date, "month")``) splits hot keys, see :func:`shift_rows`.
     """
-    return shift_rows(subs, key, [date, *_cols(tiebreak)], [state, date], prev, nxt, bucket)
+    return shift_rows(subs, key, [date, *as_list(tiebreak)], [state, date], prev, nxt, bucket)
 
 
 def count_transitions(subs: DataFrame, key, date: str, state: str, frm, to, tiebreak=None,
@@ -185,7 +181,7 @@ def time_between_states(subs: DataFrame, key, date: str, state: str, from_state,
     """Days from an entity's first ``from_state`` to its first ``to_state`` (entities
     having both, the second not before the first). One grouped pass with
     conditional minima instead of a self join of two filtered copies."""
-    keys = _cols(key)
+    keys = as_list(key)
     per = subs.groupBy(*keys).agg(
         F.min(F.when(F.col(state) == F.lit(from_state), F.col(date))).alias("_from"),
         F.min(F.when(F.col(state) == F.lit(to_state), F.col(date))).alias("_to"))
@@ -199,11 +195,11 @@ def state_as_of(subs: DataFrame, key, date: str, state: str, as_of, inclusive: b
                 tiebreak=None) -> DataFrame:
     """Each entity's state at ``as_of``: its last change dated on/before (or
     strictly before) that day. Entities with no change yet are absent."""
-    keys = _cols(key)
+    keys = as_list(key)
     d = F.col(date)
     cutoff = F.lit(as_of).cast("date")
     f = subs.filter(d <= cutoff if inclusive else d < cutoff)
-    return first_last_by(f, keys, [date, *_cols(tiebreak)], state, "last").select(*keys, state)
+    return first_last_by(f, keys, [date, *as_list(tiebreak)], state, "last").select(*keys, state)
 
 
 # ---------------------------------------------------------------- O27
@@ -211,7 +207,7 @@ def state_as_of(subs: DataFrame, key, date: str, state: str, as_of, inclusive: b
 def reached_only(subs: DataFrame, key, state: str, must, never: Sequence) -> DataFrame:
     """Entities that reached ``must`` and never any of ``never`` (one pass with
     boolean aggregates, i.e. the semi join / anti join pair without the joins)."""
-    keys = _cols(key)
+    keys = as_list(key)
     per = subs.groupBy(*keys).agg(
         F.bool_or(F.col(state) == F.lit(must)).alias("_must"),
         F.bool_or(F.col(state).isin(list(never))).alias("_never"))
@@ -222,7 +218,7 @@ def reached_only_joins(subs: DataFrame, key, state: str, must, never: Sequence)
     """Same answer as :func:`reached_only`, written as IN / NOT IN: a left-semi join
     against the ``must`` set and a left-anti join against the ``never`` set (explicit
     anti join, not the null-aware NOT IN plan, which always broadcasts)."""
-    keys = _cols(key)
+    keys = as_list(key)
     ents = subs.select(*keys).distinct()
     # the build sides are deduplicated (partial aggregation first), so a hot key is
     # one row there too: AQE can split only the probe side of a semi/anti join
@@ -236,7 +232,7 @@ def reached_only_share(subs: DataFrame, key, state: str, must, never: Sequence,
                        pct_name: str = "pct_of_reached", digits: int = 1) -> DataFrame:
     """One row: entities that reached ``must`` without ever being in ``never``, all
     entities that reached ``must``, and the share. Two aggregates, no join."""
-    keys = _cols(key)
+    keys = as_list(key)
     per = subs.groupBy(*keys).agg(
         F.bool_or(F.col(state) == F.lit(must)).alias("_must"),
         F.bool_or(F.col(state).isin(list(never))).alias("_never"))

@@ -96,4 +96,4 @@ def stage_table(df: DataFrame, name: str, partition_by: Sequence[str] | None = N
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/casebook-stage/{name}-{uuid.uuid4().hex}"
     save_table(df, path, partition_by=partition_by)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # no footer is read while the plan is built
