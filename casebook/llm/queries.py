@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.llm import bpe, jaccard, packing, pii, quality, suffix_dedup, topk, toxicity, url_filter, warc
+from casebook.llm import bpe, conversations, jaccard, mixing, packing, pii, quality, suffix_dedup, topk, toxicity, url_filter, warc, whitening
 from casebook.sources.tables import read_table
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -66,6 +66,20 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "lm_score")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(read_table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return conversations.repair_report(rows, conversations.damage(rows))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -77,6 +91,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_top_k": op8_exact_top_k,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_url_filter": op10_url_filter,
+    "op11_whitening": op11_whitening,
+    "op12_mixing": op12_mixing,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_warc": warc.SQL, "op8_exact_top_k": topk.SQL}
