@@ -474,3 +474,78 @@ def repair_report(conversations: DataFrame, damaged: DataFrame) -> DataFrame:
     counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
     nothing = hashlib.sha256(b"").hexdigest()
     return report.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.lit(nothing)).alias("repaired_sha256"))
+
+
+# The same report in DuckDB SQL: damage (its crc32 from a table of 256 entries), faults,
+# costs to go row by row from the end, then the walk from the start.
+SQL = """
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, z: xor(c >> 1, (c & 1) * 3988292384))) AS entries),
+keyed AS (
+  SELECT conv_id, turn, COALESCE(role, ' ') AS role, COALESCE(text, ' ') AS text,
+         COALESCE(CAST(conv_id AS VARCHAR), ' ') || ':' || COALESCE(CAST(turn AS VARCHAR), ' ') AS k
+  FROM conversations),
+dealt AS (
+  SELECT conv_id, turn, role, text,
+         xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(k) + 1), lambda i: CAST(ord(k[i]) AS BIGINT))),
+                         lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS what
+  FROM keyed, crc),
+damaged AS (
+  SELECT conv_id, turn, CASE what WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE what WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM dealt, generate_series(1, 2) AS g(copy) WHERE what <> 0 AND (copy = 1 OR what = 3)),
+placed AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, substr(text, 1, 64), sha256(text)) AS pos,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+  FROM damaged),
+judged AS (
+  SELECT conv_id, turn, role, text, pos, left(role, 1) AS i,
+         CASE WHEN bare = '' THEN 'b' WHEN ROW_NUMBER() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'd'
+              WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+         LAG(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) || left(role, 1) AS pair
+  FROM placed),
+counts AS (
+  SELECT conv_id, COALESCE(MAX(turn) - MIN(turn) + 1 - COUNT(DISTINCT turn), 0) AS gaps, COUNT(*) FILTER (WHERE fault = 'b') AS blank,
+         COUNT(*) FILTER (WHERE fault = 'd') AS duplicate, COUNT(*) FILTER (WHERE fault = 't') AS truncated,
+         COUNT(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal, MAX(pos) AS n
+  FROM judged GROUP BY conv_id),
+togo AS (  -- costs to go from each place: at the start, after system, user, assistant
+  SELECT conv_id, n + 1 AS pos, CAST(0 AS BIGINT) AS v0, CAST(4 AS BIGINT) AS v1, CAST(2 AS BIGINT) AS v2, CAST(0 AS BIGINT) AS v3 FROM counts
+  UNION ALL
+  SELECT conv_id, pos, LEAST(e0, 2 + e2, 4 + e3), LEAST(e1, 2 + e2, 4 + e3), LEAST(e2, 2 + e3), LEAST(e3, 2 + e2) FROM (
+    SELECT j.conv_id, j.pos,
+           LEAST(v0 + 3, stay + v2 + 2, stay + CASE i WHEN 's' THEN v1 WHEN 'u' THEN v2 ELSE 1000000 END) AS e0,
+           LEAST(v1 + 3, stay + v2 + 2, stay + CASE i WHEN 'u' THEN v2 ELSE 1000000 END) AS e1,
+           LEAST(v2 + 3, stay + v3 + 2, stay + CASE i WHEN 'a' THEN v3 ELSE 1000000 END) AS e2,
+           LEAST(v3 + 3, stay + v2 + 2, stay + CASE i WHEN 'u' THEN v2 ELSE 1000000 END) AS e3
+    FROM togo t JOIN (SELECT *, CASE fault WHEN '' THEN 0 WHEN 't' THEN 1 ELSE 1000000 END AS stay FROM judged) j
+      ON t.conv_id IS NOT DISTINCT FROM j.conv_id AND j.pos = t.pos - 1)),
+costs AS (SELECT conv_id, pos, [v0, v1, v2, v3] AS v FROM togo),
+steps AS (
+  SELECT here.conv_id, here.pos, here.v AS here, after.v AS after, j.role, j.text, j.i, CASE j.fault WHEN '' THEN 0 WHEN 't' THEN 1 ELSE 1000000 END AS stay
+  FROM costs here LEFT JOIN costs after ON here.conv_id IS NOT DISTINCT FROM after.conv_id AND after.pos = here.pos + 1
+  LEFT JOIN judged j ON here.conv_id IS NOT DISTINCT FROM j.conv_id AND j.pos = here.pos),
+walk AS (  -- states 1 to 4 as above; next: where a user's or assistant's row leads
+  SELECT conv_id, CAST(1 AS BIGINT) AS pos, 1 AS state, '' AS audit, CAST(NULL AS VARCHAR) AS repaired FROM counts
+  UNION ALL
+  SELECT conv_id, pos + CASE edit WHEN 'I' THEN 0 ELSE 1 END,
+         CASE edit WHEN 'D' THEN state WHEN 'K' THEN kept ELSE next END, audit || edit,
+         CASE edit WHEN 'D' THEN repaired ELSE COALESCE(repaired || chr(10), '') ||
+           CASE WHEN edit = 'K' THEN role ELSE CASE next WHEN 3 THEN 'user' ELSE 'assistant' END END || ':' || CASE edit WHEN 'I' THEN '' ELSE text END END
+  FROM (
+    SELECT *, CASE WHEN after IS NOT NULL AND after[state] + 3 = here[state] THEN 'D' WHEN here[next] + 2 = here[state] THEN 'I'
+                   WHEN kept IS NOT NULL AND after[kept] + stay = here[state] THEN 'K' WHEN after[next] + 2 + stay = here[state] THEN 'R' END AS edit
+    FROM (
+      SELECT w.*, s.here, s.after, s.role, s.text, s.stay, CASE w.state WHEN 3 THEN 4 ELSE 3 END AS next,
+             CASE WHEN s.i = 's' AND w.state = 1 THEN 2 WHEN s.i = 'u' AND w.state <> 3 THEN 3 WHEN s.i = 'a' AND w.state = 3 THEN 4 END AS kept
+      FROM walk w JOIN steps s ON w.conv_id IS NOT DISTINCT FROM s.conv_id AND w.pos = s.pos))
+  WHERE edit IS NOT NULL),
+ended AS (
+  SELECT w.conv_id, w.audit, w.repaired FROM walk w JOIN counts c ON w.conv_id IS NOT DISTINCT FROM c.conv_id
+  JOIN costs s ON w.conv_id IS NOT DISTINCT FROM s.conv_id AND s.pos = w.pos WHERE w.pos = c.n + 1 AND s.v[w.state] = 0)
+SELECT o.conv_id, COALESCE(c.gaps, 0) AS gaps, COALESCE(c.blank, 0) AS blank, COALESCE(c.duplicate, 0) AS duplicate, COALESCE(c.truncated, 0) AS truncated,
+       COALESCE(c.illegal, 0) AS illegal, COALESCE(t.v[1], 0) AS cost, COALESCE(e.audit, '') AS audit, sha256(COALESCE(e.repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN costs t ON o.conv_id IS NOT DISTINCT FROM t.conv_id AND t.pos = 1
+LEFT JOIN ended e ON o.conv_id IS NOT DISTINCT FROM e.conv_id"""

@@ -96,4 +96,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_conversation_repair": op13_conversation_repair,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_warc": warc.SQL, "op8_exact_top_k": topk.SQL}
+ORACLE_SQL: dict[str, str] = {"op5_warc": warc.SQL, "op8_exact_top_k": topk.SQL, "op13_conversation_repair": conversations.SQL}

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
 
+import duckdb
 import numpy as np
 from conftest import SF_SMALL
 
@@ -218,6 +219,15 @@ def test_repair_of_the_given_conversations(spark):
     assert got == sorted(brute_repair(rows, brute_damage(rows)))
 
 
+def test_repair_sql_twin():
+    rng = random.Random(4)
+    rows = [(rng.choice([None, 1, 2, 2]), rng.choice([None, *range(30)]), rng.choice(["user", "assistant", "system", "", "u2", None]), rng.choice(["", "Hi.", "no", ". ", "é!\n", None, *(f"t{i}?" for i in range(90))])) for _ in range(250)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    assert sorted(con.execute(conversations.SQL).fetchall(), key=str) == sorted(brute_repair(rows, brute_damage(rows)), key=str)
+
+
 def test_repair_of_odd_rows(spark, monkeypatch):
     """A conversation over all ranges, one of rows alike, null ids, turns, roles, texts."""
     monkeypatch.setattr(conversations, "PIECE_CHARS", 50)
