@@ -58,11 +58,13 @@ def heavy_keys(df: DataFrame, key, share: float = 0.5, parts: int | None = None)
     """The keys with more than ``share`` of an average task's rows, or None. There can
     be at most ``parts / share`` of them, whatever the data."""
     keys, parts = as_list(key), parts or _tasks(df)
-    counts = df.groupBy(*keys).count()
-    # the total and the candidates in one job each; a heavy key is among the largest parts / share
-    total = df.count()
-    found = counts.where(F.col("count") > total * share / parts).select(*keys).collect()
-    return df.sparkSession.createDataFrame(found, counts.select(*keys).schema) if found else None
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    row = counts.agg(F.sum("_rows").alias("total"), F.max("_rows").alias("most")).first()
+    least = (row["total"] or 0) * share / parts
+    if (row["most"] or 0) <= least:
+        return None
+    found = counts.where(F.col("_rows") > least).select(*keys)
+    return df.sparkSession.createDataFrame(found.collect(), found.schema)
 
 
 def hot_and_rest(df: DataFrame, key, rest: Callable[[DataFrame], DataFrame], hot: Callable[[DataFrame], DataFrame],
