@@ -35,10 +35,6 @@ BILLING_HORIZON = "2001-12-31"
 N_PIZZAS = A.N_PIZZAS
 
 
-def _month_bucket(col: str = "start_date"):
-    """Time bucket that splits a hot customer's change history across tasks."""
-    return F.trunc(F.col(col), "month")
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -445,7 +441,7 @@ def q_churn_only_joins(spark, d):
 @query("churn_right_after_trial")
 def q_churn_after_trial(spark, d):
     t = SQ.plan_transitions(_subs(spark, d), "customer_id", "start_date", "plan_id", "sub_seq", nxt=False,
-                            bucket=_month_bucket())
+                            by_range=True)
     hit = (F.col("prev_plan_id") == 0) & (F.col("plan_id") == 4)
     return t.agg(F.count_if(hit).alias("n_churned_after_trial"),
                  F.countDistinct("customer_id").alias("n_customers")) \
@@ -455,7 +451,7 @@ def q_churn_after_trial(spark, d):
 @query("plan_after_trial")
 def q_plan_after_trial(spark, d):
     t = SQ.plan_transitions(_subs(spark, d), "customer_id", "start_date", "plan_id", "sub_seq", prev=False,
-                            bucket=_month_bucket())
+                            by_range=True)
     trial = t.filter((F.col("plan_id") == 0) & F.col("next_plan_id").isNotNull())
     return AG.share_of_total(trial, F.lit(True), by="next_plan_id", within="all",
                              n_name="n", total_name="n_trials_with_next", pct_name="pct")
@@ -523,7 +519,7 @@ def q_days_buckets_capped(spark, d):
 @query("downgrades_in_year")
 def q_downgrades(spark, d):
     return SQ.count_transitions(_subs(spark, d), "customer_id", "start_date", "plan_id", 2, 1, "sub_seq",
-                                year=REPORT_YEAR, name="n_downgrades", bucket=_month_bucket())
+                                year=REPORT_YEAR, name="n_downgrades", by_range=True)
 
 
 @query("monthly_renewal_dates")
@@ -531,7 +527,7 @@ def q_renewals(spark, d):
     """O12 on its own: every monthly renewal date of every paid change (sticky month
     ends), from its start until the next change or the horizon."""
     t = SQ.plan_transitions(_subs(spark, d), "customer_id", "start_date", "plan_id", "sub_seq", prev=False,
-                            bucket=_month_bucket())
+                            by_range=True)
     paid = t.filter(F.col("plan_id").isin(1, 2, 3)).withColumn(
         "end_date", F.coalesce("next_start_date", F.lit(BILLING_HORIZON).cast("date")))
     out = BI.recurring_dates(paid, "start_date", "end_date", 1, out="renewal_date")
@@ -540,19 +536,19 @@ def q_renewals(spark, d):
 
 @query("payment_ledger")
 def q_ledger(spark, d):
-    return BI.billing_ledger(_subs(spark, d), A.plans(spark), BILLING_HORIZON, bucket=_month_bucket())
+    return BI.billing_ledger(_subs(spark, d), A.plans(spark), BILLING_HORIZON, by_range=True)
 
 
 # ====================================================================== bank
 
 @query("unique_nodes")
 def q_unique_nodes(spark, d):
-    return A.customer_nodes(spark, d).agg(F.countDistinct("node_id").alias("n_nodes"))
+    return A.customer_nodes(spark, d, ends=False).agg(F.countDistinct("node_id").alias("n_nodes"))
 
 
 @query("nodes_and_customers_per_region")
 def q_nodes_region(spark, d):
-    return AG.distinct_per_group(A.regions(spark, d), A.customer_nodes(spark, d), "region_id", "region_name",
+    return AG.distinct_per_group(A.regions(spark, d), A.customer_nodes(spark, d, ends=False), "region_id", "region_name",
                                  {"n_nodes": "node_id", "n_customers": "customer_id"})
 
 
@@ -630,7 +626,7 @@ def q_growth_active(spark, d):
 
 def _txn_balances(spark, d):
     return LE.transaction_balances(_txns(spark, d), "customer_id", "txn_date", "txn_type", "txn_amount",
-                                   bucket=_month_bucket("txn_date"))
+                                   by_range=True)
 
 
 @query("running_balance_per_transaction")
@@ -710,7 +706,7 @@ def q_alloc_previous(spark, d):
 
 @query("allocation_trailing_30_monthly")
 def q_alloc_trailing_monthly(spark, d):
-    return LE.allocation_trailing(_daily(spark, d), rows=30, monthly=True)
+    return LE.allocation_trailing(_daily(spark, d), rows=30, monthly=True, by_range=True)
 
 
 @query("allocation_realtime_monthly")
@@ -720,7 +716,7 @@ def q_alloc_daily_monthly(spark, d):
 
 @query("allocation_trailing_30")
 def q_alloc_trailing(spark, d):
-    return LE.allocation_trailing(_daily(spark, d), rows=30)
+    return LE.allocation_trailing(_daily(spark, d), rows=30, by_range=True)
 
 
 @query("allocation_realtime")

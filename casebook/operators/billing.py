@@ -53,7 +53,7 @@ def billing_ledger(subs: DataFrame, plans: DataFrame, horizon: str, key: str = "
                    date: str = "start_date", state: str = "plan_id", tiebreak: str | None = "sub_seq",
                    monthly: Sequence[int] = (1, 2), yearly: Sequence[int] = (3,),
                    upgrade_from: int = 1, upgrade_to: Sequence[int] = (2, 3),
-                   credit: Decimal | float = Decimal("9.90"), bucket: Column | None = None) -> DataFrame:
+                   credit: Decimal | float = Decimal("9.90"), bucket: Column | None = None, by_range: bool = False) -> DataFrame:
     """Every payment: customer_id, plan_id, payment_date, amount_paid DECIMAL(5,2).
 
     Rule: a paid plan bills on its start day and then every month (``monthly``) or
@@ -65,7 +65,7 @@ def billing_ledger(subs: DataFrame, plans: DataFrame, horizon: str, key: str = "
     change all fall before the next change, so the first payment of a change
     follows the last payment of the previous *paid* change, and every later payment
     follows one of its own plan. Both neighbours therefore come from windows over the
-    change rows (bounded per key by the number of changes, and split by ``bucket``
+    change rows (bounded per key by the number of changes, and split by ``bucket`` or ``by_range``
     for hot keys); the payments themselves are generated narrowly and never sorted.
     """
     tb = [tiebreak] if tiebreak else []
@@ -74,7 +74,7 @@ def billing_ledger(subs: DataFrame, plans: DataFrame, horizon: str, key: str = "
         "_paid", F.when(F.col(state).isin(paid_states), F.col(state)))
     # one pass over the change rows: the next change (any plan) and the plan of the
     # last earlier paid change (a carried last-non-NULL value)
-    t = shift_rows(base, key, [date, *tb], [date], prev=False, nxt=True, bucket=bucket, carry=["_paid"])
+    t = shift_rows(base, key, [date, *tb], [date], prev=False, nxt=True, bucket=bucket, carry=["_paid"], by_range=by_range)
     paid = t.filter(F.col(state).isin(paid_states)).withColumnRenamed("last__paid", f"prev_{state}")
     step = F.when(F.col(state).isin(list(yearly)), F.lit(12)).otherwise(F.lit(1))
     end = F.coalesce(F.col(f"next_{date}"), F.lit(horizon).cast("date"))

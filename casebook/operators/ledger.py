@@ -18,6 +18,7 @@ from casebook.functions.columns import as_list
 from casebook.functions.dates import month_key
 from casebook.functions.safe import pct
 from casebook.operators.sequence import first_last_by
+from casebook.operators.ordered import running_sum, trailing
 
 OPEN_END = "9999-12-31"
 
@@ -86,7 +87,7 @@ def signed_ledger(txns: DataFrame, key: str, date: str, type_col: str, amount: s
 # ---------------------------------------------------------------- O31
 
 def running_balance(net: DataFrame, key: str, order, value: str = "net",
-                    name: str = "balance", bucket: Column | None = None) -> DataFrame:
+                    name: str = "balance", bucket: Column | None = None, by_range: bool = False) -> DataFrame:
     """Cumulative sum of ``value`` per entity in ``order`` (explicit ORDER BY and
     ROWS frame: the result does not depend on row arrival order).
 
@@ -96,9 +97,12 @@ def running_balance(net: DataFrame, key: str, order, value: str = "net",
     total over the buckets (a window whose rows per entity are bounded by the number
     of buckets) gives each bucket its opening balance; the running sum inside each
     (entity, bucket) window partition is added to it. The hot entity's rows are then
-    summed by many tasks.
+    summed by many tasks. ``by_range`` does the same over equal ranges of the rows of
+    heavy entities (:func:`casebook.operators.ordered.running_sum`).
     """
     order = as_list(order)
+    if by_range:
+        return running_sum(net, key, order, value, name)
     if bucket is None:
         w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return net.withColumn(name, F.sum(value).over(w).cast("decimal(18,2)"))
@@ -113,14 +117,14 @@ def running_balance(net: DataFrame, key: str, order, value: str = "net",
 
 
 def transaction_balances(txns: DataFrame, key: str, date: str, type_col: str, amount: str,
-                         bucket: Column | None = None, **signs) -> DataFrame:
+                         bucket: Column | None = None, by_range: bool = False, **signs) -> DataFrame:
     """Every transaction with its ``impact`` (signed amount) and the ``balance`` after it.
 
     Within a day transactions go by type, then amount; those alike in all of it are
-    interchangeable. ``bucket`` splits an entity with very many rows, see
+    interchangeable. ``bucket`` or ``by_range`` splits an entity with very many rows, see
     :func:`running_balance`."""
     t = txns.withColumn("impact", signed_amount(type_col, amount, **signs).cast("decimal(12,2)"))
-    return running_balance(t, key, [date, type_col, amount], "impact", "balance", bucket)
+    return running_balance(t, key, [date, type_col, amount], "impact", "balance", bucket, by_range)
 
 
 def balance_range(balances: DataFrame, key: str, value: str = "balance") -> DataFrame:
@@ -242,13 +246,20 @@ def _by_month(per_day: DataFrame, date: str, col: str, prefix: str) -> DataFrame
 
 def allocation_trailing(daily: DataFrame, key: str = "customer_id", date: str = "bal_date",
                         value: str = "balance", rows: int = 30, prefix: str = "daily_",
-                        monthly: bool = False) -> DataFrame:
+                        monthly: bool = False, by_range: bool = False) -> DataFrame:
     """Trailing mean of the last ``rows`` daily balances per entity, the day itself
     included (ordered by date), positive means summed per day, then min / avg / max over
-    all days, or over the days of each month with ``monthly``."""
-    w = Window.partitionBy(key).orderBy(date).rowsBetween(-(rows - 1), Window.currentRow)
-    avg = (F.sum(value).over(w) / F.count(F.lit(1)).over(w)).cast("decimal(24,6)")
-    t = daily.select(date, avg.alias("_avg")).filter(F.col("_avg") > 0)
+    all days, or over the days of each month with ``monthly``. ``by_range`` splits heavy
+    entities (:func:`casebook.operators.ordered.trailing`); give it a table that is
+    cheap to read twice."""
+    def mean(w) -> Column:
+        return (F.sum(value).over(w) / F.count(F.lit(1)).over(w)).cast("decimal(24,6)")
+
+    if by_range:
+        t = trailing(daily.select(key, date, value), key, date, rows, {"_avg": mean})
+    else:
+        t = daily.withColumn("_avg", mean(Window.partitionBy(key).orderBy(date).rowsBetween(-(rows - 1), Window.currentRow)))
+    t = t.select(date, "_avg").filter(F.col("_avg") > 0)
     per_day = t.groupBy(date).agg(F.sum("_avg").alias("_total"))
     return _by_month(per_day, date, "_total", prefix) if monthly else _min_avg_max(per_day, "_total", prefix)
 

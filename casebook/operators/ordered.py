@@ -103,6 +103,23 @@ def running_sum(df: DataFrame, key, order, value: str, name: str, as_type: str =
     return hot_and_rest(df, keys, lambda t: t.withColumn(name, upto(_window(keys, order)).cast(as_type)), hot, parts=parts)
 
 
+# ---------------------------------------------------------------- numbers within an entity
+
+def numbered(df: DataFrame, key, order, name: str, as_type: str = "int", parts: int | None = None) -> DataFrame:
+    """Adds the row's number within its entity (from 1). Ordinary entities stay hashed by
+    the key, so a join on it that follows needs no other exchange."""
+    keys, order = as_list(key), as_list(order)
+
+    def hot(t: DataFrame) -> DataFrame:
+        t = cut(t, [*keys, *order], "numbered", parts=parts)
+        sizes = t.groupBy(*keys, "_part").agg(F.min("_at").alias("_from"), F.count(F.lit(1)).alias("_n"))
+        before = F.coalesce(F.sum("_n").over(_before(_window(keys, ["_part"]))), F.lit(0))
+        t = _add(t, keys, sizes.select(*keys, "_part", (before + 1 - F.col("_from")).alias("_shift")))
+        return t.withColumn(name, (F.col("_at") + F.col("_shift")).cast(as_type)).drop("_at", "_part", "_shift")
+
+    return hot_and_rest(df, keys, lambda t: t.withColumn(name, F.row_number().over(_window(keys, order)).cast(as_type)), hot, parts=parts)
+
+
 # ---------------------------------------------------------------- moving frames
 
 def trailing(df: DataFrame, key, order, rows: int, new: dict, parts: int | None = None) -> DataFrame:

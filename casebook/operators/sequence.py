@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casebook.functions.columns import as_list
+from casebook.operators.ordered import neighbours
+from casebook.operators.ranges import hot_and_rest
 
 
 def _pick(order: Sequence[str], values: Sequence[str], which: str) -> Column:
@@ -93,7 +95,7 @@ def totals_before_anchor(facts: DataFrame, anchors: DataFrame, key, date: str, a
 # ---------------------------------------------------------------- O13
 
 def shift_rows(df: DataFrame, key, order, cols, prev: bool = True, nxt: bool = True,
-               bucket: Column | None = None, carry=()) -> DataFrame:
+               bucket: Column | None = None, carry=(), by_range: bool = False) -> DataFrame:
     """Adds ``prev_<c>`` (lag) and/or ``next_<c>`` (lead) for each column of ``cols``,
     one row back/forward per ``key`` in ``order``, and ``last_<c>`` for each column
     of ``carry``: the last non-NULL value of ``c`` strictly before the row.
@@ -107,7 +109,12 @@ def shift_rows(df: DataFrame, key, order, cols, prev: bool = True, nxt: bool = T
     non-NULL carried values, each a partial-aggregated ``min``/``max`` of a struct,
     shifted by one bucket with a window over the summary, whose rows per key are
     bounded by the number of buckets.
+
+    With ``by_range`` heavy keys are split into equal ranges of their rows, however these
+    are spread over time: see :func:`casebook.operators.ordered.neighbours`.
     """
+    if by_range:
+        return neighbours(df, key, order, cols, prev, nxt, carry)
     keys, order, cols, carry = as_list(key), as_list(order), as_list(cols), as_list(carry)
     ordered = [F.col(c) for c in order]
     if bucket is None:
@@ -152,22 +159,22 @@ def shift_rows(df: DataFrame, key, order, cols, prev: bool = True, nxt: bool = T
 
 
 def plan_transitions(subs: DataFrame, key, date: str, state: str, tiebreak=None,
-                     prev: bool = True, nxt: bool = True, bucket: Column | None = None) -> DataFrame:
+                     prev: bool = True, nxt: bool = True, bucket: Column | None = None, by_range: bool = False) -> DataFrame:
     """Adds ``prev_<state>``/``prev_<date>`` and ``next_<state>``/``next_<date>``.
 
     Ordered by ``date`` then ``tiebreak`` (two changes on one day need one). One
     hash exchange on ``key``; lag and lead share the same window. ``bucket`` (e.g.
-    ``F.trunc(date, "month")``) splits hot keys, see :func:`shift_rows`.
+    ``F.trunc(date, "month")``) or ``by_range`` splits hot keys, see :func:`shift_rows`.
     """
-    return shift_rows(subs, key, [date, *as_list(tiebreak)], [state, date], prev, nxt, bucket)
+    return shift_rows(subs, key, [date, *as_list(tiebreak)], [state, date], prev, nxt, bucket, by_range=by_range)
 
 
 def count_transitions(subs: DataFrame, key, date: str, state: str, frm, to, tiebreak=None,
                       year: int | None = None, name: str = "n_transitions",
-                      bucket: Column | None = None) -> DataFrame:
+                      bucket: Column | None = None, by_range: bool = False) -> DataFrame:
     """Number of changes ``frm`` -> ``to`` (consecutive states), optionally only the
     changes dated in ``year``. One row."""
-    t = plan_transitions(subs, key, date, state, tiebreak, nxt=False, bucket=bucket)
+    t = plan_transitions(subs, key, date, state, tiebreak, nxt=False, bucket=bucket, by_range=by_range)
     cond = (F.col(f"prev_{state}") == F.lit(frm)) & (F.col(state) == F.lit(to))
     if year is not None:
         cond = cond & (F.year(date) == F.lit(year))

@@ -170,13 +170,14 @@ def _n_pizza_cols() -> str:
 
 SPECIAL = ", ".join(f"'{s}'" for s in C.SPECIAL_ITEMS)
 
-# ingredients used per line: (base EXCEPT exclusions) UNION ALL extras
-LINE_INGREDIENTS = """line_ingredients AS (
-  (SELECT c.order_id, c.line_id, b.topping_id FROM {lines} c JOIN recipe_bridge b ON c.pizza_id = b.pizza_id
-   EXCEPT
-   SELECT order_id, line_id, unnest(exclusions) AS topping_id FROM {lines})
-  UNION ALL
-  SELECT order_id, line_id, unnest(extras) AS topping_id FROM {lines})"""
+# how often a line uses each topping of the dictionary: once if its recipe has it and the
+# customer did not leave it out, and once more for each time it is listed as an extra
+TOPPING_USES = f"""topping_uses AS (
+  SELECT c.order_id, c.line_id, c.pizza_id, t.topping_id, t.topping_name,
+         CAST(list_contains(r.base, t.topping_id) AND NOT COALESCE(list_contains(c.exclusions, t.topping_id), FALSE) AS INTEGER)
+         + len(list_filter(COALESCE(c.extras, []), lambda e: e = t.topping_id)) AS uses
+  FROM {{lines}} c JOIN (SELECT pizza_id, {_int_list('toppings')} AS base FROM pizza_recipes) r ON r.pizza_id = c.pizza_id
+  CROSS JOIN pizza_toppings t)"""
 
 
 ORACLE: dict[str, str] = {
@@ -370,22 +371,18 @@ FROM customer_orders c JOIN pizza_names n ON c.pizza_id = n.pizza_id
 LEFT JOIN ex ON c.order_id = ex.order_id AND c.line_id = ex.line_id
 LEFT JOIN xt ON c.order_id = xt.order_id AND c.line_id = xt.line_id""".replace("\n,\nex AS", ",\nex AS"),
 
-    "ingredient_bill": _with(ORDERS_RAW, CUSTOMER_ORDERS, PIZZA_NAMES, PIZZA_RECIPES, BRIDGE, TOPPINGS_CTE,
-                             LINE_INGREDIENTS.format(lines="customer_orders")) + """,
-counted AS (SELECT order_id, line_id, topping_id, COUNT(*) AS n FROM line_ingredients GROUP BY order_id, line_id, topping_id),
-labelled AS (
-  SELECT c.order_id, c.line_id,
-         string_agg(CASE WHEN c.n > 1 THEN CAST(c.n AS VARCHAR) || 'x' || t.topping_name ELSE t.topping_name END, ', '
-                    ORDER BY t.topping_name) AS txt
-  FROM counted c JOIN pizza_toppings t ON c.topping_id = t.topping_id GROUP BY c.order_id, c.line_id)
-SELECT o.order_id, o.line_id, n.pizza_name || ': ' || l.txt AS ingredient_list
-FROM customer_orders o JOIN pizza_names n ON o.pizza_id = n.pizza_id
-JOIN labelled l ON o.order_id = l.order_id AND o.line_id = l.line_id""",
-
-    "ingredient_usage_delivered": _with(*PIZZA, PIZZA_NAMES, PIZZA_RECIPES, BRIDGE, TOPPINGS_CTE,
-                                        LINE_INGREDIENTS.format(lines="delivered_lines")) + """
-SELECT i.topping_id, COUNT(*) AS n_used, t.topping_name
-FROM line_ingredients i LEFT JOIN pizza_toppings t ON i.topping_id = t.topping_id GROUP BY i.topping_id, t.topping_name""",
+    "ingredient_bill": _with(ORDERS_RAW, CUSTOMER_ORDERS, PIZZA_NAMES, PIZZA_RECIPES, TOPPINGS_CTE,
+                             TOPPING_USES.format(lines="customer_orders")) + """,
+bills AS (SELECT order_id, line_id, pizza_id, list({'name': topping_name, 'uses': uses} ORDER BY topping_name) FILTER (WHERE uses > 0) AS parts
+          FROM topping_uses GROUP BY order_id, line_id, pizza_id)
+SELECT order_id, line_id,
+       pizza_name || ': ' || array_to_string(list_transform(parts, lambda p: concat(CASE WHEN p.uses > 1 THEN concat(p.uses, 'x') END, p.name)), ', ') AS ingredient_list
+FROM bills JOIN pizza_names USING (pizza_id)""",
+
+    "ingredient_usage_delivered": _with(*PIZZA, PIZZA_NAMES, PIZZA_RECIPES, TOPPINGS_CTE,
+                                        TOPPING_USES.format(lines="delivered_lines")) + """
+SELECT topping_id, CAST(SUM(uses) AS BIGINT) AS n_used, topping_name FROM topping_uses
+GROUP BY topping_id, topping_name HAVING SUM(uses) > 0""",
 
     "revenue_by_delivery_status": _with(ORDERS_RAW, RUNNER_RAW, CUSTOMER_ORDERS, RUNNER_ORDERS) + f"""
 SELECT r.cancellation IS NULL AS delivered,

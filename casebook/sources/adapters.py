@@ -96,27 +96,27 @@ def regions(spark: SparkSession, d: str) -> DataFrame:
         F.col("r_regionkey").alias("region_id"), F.col("r_name").alias("region_name")))
 
 
-def customer_nodes(spark: SparkSession, d: str) -> DataFrame:
+def customer_nodes(spark: SparkSession, d: str, ends: bool = True) -> DataFrame:
     """customer_id BIGINT, region_id INT, node_id INT, start_date DATE, end_date DATE.
 
     Each order starts a node allocation that lasts until the customer's next order;
-    the last one is open (``9999-12-31``).
+    the last one is open (``9999-12-31``). Without ``ends`` no end is looked for. A very
+    active customer is split into equal ranges (:mod:`casebook.operators.ordered`).
     """
+    from casebook.operators.ordered import neighbours
     o = read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     c = read_table(spark, d, "customer", "c_custkey", "c_nationkey")
     n = broadcast_if_small(read_table(spark, d, "nation", "n_nationkey", "n_regionkey"))
-    # the next order comes from a bucketed lead, so one very active customer is
-    # split by month across tasks (see casebook.operators.sequence.shift_rows)
-    from casebook.operators.sequence import shift_rows
     base = o.select("o_custkey", "o_orderkey", _date("o_orderdate").alias("start_date"))
-    nxt = shift_rows(base, "o_custkey", ["start_date", "o_orderkey"], ["start_date"], prev=False,
-                     bucket=F.trunc("start_date", "month"))
-    return (nxt.join(c, nxt.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
+    end = []
+    if ends:
+        base = neighbours(base, "o_custkey", ["start_date", "o_orderkey"], "start_date", prev=False)
+        end = [F.coalesce(F.col("next_start_date"), F.lit(OPEN_END).cast("date")).alias("end_date")]
+    return (base.join(c, base.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
                .select(F.col("o_custkey").alias("customer_id"),
                        F.col("n_regionkey").alias("region_id"),
                        (F.col("o_orderkey") % 5 + 1).cast("int").alias("node_id"),
-                       "start_date",
-                       F.coalesce(F.col("next_start_date"), F.lit(OPEN_END).cast("date")).alias("end_date")))
+                       "start_date", *end))
 
 
 def _txn_type_from_status():
