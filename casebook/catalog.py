@@ -21,10 +21,17 @@ from casebook.operators import billing as BI
 from casebook.operators import cleaning as CL
 from casebook.operators import ledger as LE
 from casebook.operators import loyalty as LO
+from casebook.operators import ordered as OR
 from casebook.operators import recipes as RE
 from casebook.operators import sequence as SQ
+from casebook.operators import sketches as SK
+from casebook.operators.ranges import number_rows
+from casebook.operators.selection import quantiles
 from casebook.sources import adapters as A
-from casebook.sources.io import conform
+from casebook.sources.io import conform, ensure_database, load_table
+from casebook.sources.quarantine import account, split_typed
+from casebook.sources.stores import replace_partitions, save_bucketed, shared, version
+from casebook.sources.tables import read_table, table_path
 
 # Parameters of the questions (chosen for the driver data's date range).
 SPECIAL_ITEMS = ("red widget",)
@@ -33,6 +40,10 @@ PLAN_MIX_DATE = "2000-12-31"
 REPORT_YEAR = 2000
 BILLING_HORIZON = "2001-12-31"
 N_PIZZAS = A.N_PIZZAS
+LEDGER_MONTH = "2024-01"
+YEARLY_RATE = 0.06
+PERCENTILES = {"p50_seconds": 0.5, "p80_seconds": 0.8, "p95_seconds": 0.95}
+BUCKETS = 16
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,11 +150,9 @@ def q_points_literal(spark, d):
 # ====================================================================== delivery
 
 def _lines(spark, d, line_ids: bool = False):
-    """Clean order lines. Line ids only when a query addresses single lines; they are
-    numbered per order in (order, customer, pizza, exclusions) groups so one huge
-    order is still spread over many tasks."""
-    return CL.clean_customer_orders(A.customer_orders_raw(spark, d), line_id="line_id" if line_ids else None,
-                                    split_prefix=3)
+    """Clean order lines. Line ids only when a query addresses single lines."""
+    raw = A.customer_orders_raw(spark, d, "line_id" if line_ids else None)
+    return CL.clean_customer_orders(raw, line_id=None)
 
 
 def _deliveries(spark, d):
@@ -348,14 +357,13 @@ def q_usage(spark, d):
 def q_usage_setops(spark, d):
     """Same totals as ``ingredient_usage_delivered`` with set operators over
     exploded rows: (base EXCEPT exclusions) UNION ALL extras, then one count."""
-    lines = _delivered_lines(spark, d, True)
-    k = ["order_id", "line_id"]
-    base = lines.join(CL.bridge_table(A.pizza_recipes(spark, d)), "pizza_id").select(*k, "topping_id")
-    excl = CL.explode_list(lines, "exclusions", keep=k, out="topping_id", parsed=True)
-    extra = CL.explode_list(lines, "extras", keep=k, out="topping_id", parsed=True)
-    used = base.subtract(excl).unionAll(extra)
-    counts = used.groupBy("topping_id").agg(F.count(F.lit(1)).alias("n_used"))
-    return counts.join(A.pizza_toppings(spark), "topping_id", "left")
+    return RE.usage_by_set_ops(_delivered_lines(spark, d), A.pizza_recipes(spark, d), A.pizza_toppings(spark))
+
+
+@query("ingredient_usage_bits")
+def q_usage_bits(spark, d):
+    """The same totals by bit sets and counted columns."""
+    return RE.usage_by_bits(_delivered_lines(spark, d), A.pizza_recipes(spark, d), A.TOPPINGS)
 
 
 @query("revenue_by_delivery_status")
@@ -668,8 +676,14 @@ def q_history(spark, d):
 
 
 def _daily(spark, d):
-    # history runs to the end of the month of the latest transaction
-    return LE.daily_balances(A.event_transactions(spark, d), "customer_id", "txn_date", "txn_type", "txn_amount")
+    """The daily ledger, built once for all queries over it: partitioned by month, sorted
+    within the files. History runs to the end of the month of the latest transaction."""
+    def build(place):
+        daily = LE.daily_balances(A.event_transactions(spark, d), "customer_id", "txn_date", "txn_type", "txn_amount")
+        replace_partitions(daily.withColumn("month", month_key("bal_date")), place, ["month"], ["customer_id", "bal_date"])
+        return load_table(spark, place, "customer_id bigint, bal_date date, balance decimal(18,2), month string")
+
+    return shared(spark, "daily-ledger", [table_path(d, "events")], build)
 
 
 @query("monthly_closing_balance_sql")
@@ -690,7 +704,14 @@ def q_monthly_balance_sql(spark, d):
 
 @query("daily_balances")
 def q_daily(spark, d):
-    return _daily(spark, d)
+    return _daily(spark, d).drop("month")
+
+
+@query("closing_balances_in_month")
+def q_closing_in_month(spark, d):
+    """What each customer held when one month closed: one partition of the ledger is read."""
+    return _daily(spark, d).where((F.col("month") == LEDGER_MONTH) & (F.col("bal_date") == F.last_day("bal_date"))) \
+                           .select("customer_id", "balance")
 
 
 @query("allocation_month_end")
@@ -726,4 +747,96 @@ def q_alloc_daily(spark, d):
 
 @query("interest_accrual")
 def q_interest(spark, d):
-    return LE.accrue(_daily(spark, d), "balance", 0.06, 365)
+    return LE.accrue(_daily(spark, d).drop("month"), "balance", 0.06, 365)
+
+
+@query("interest_compounded")
+def q_compounded(spark, d):
+    """The balance after each day with transactions when interest is paid in daily and
+    earns interest itself."""
+    net = LE.signed_ledger(_txns(spark, d), "customer_id", "txn_date", "txn_type", "txn_amount", "day", "txn_date")
+    out = OR.compound(net, "customer_id", "txn_date", "net", YEARLY_RATE, 365)
+    return out.select("customer_id", "txn_date", F.round("balance", 2).alias("balance"))
+
+
+# ====================================================================== any order, any size
+
+@query("lines_shipped_per_plan")
+def q_shipped_per_plan(spark, d):
+    """How much each customer was shipped under each plan: the plan in force on the day of
+    shipping, of all the changes the customer made."""
+    li = read_table(spark, d, "lineitem", "l_orderkey", "l_shipdate", "l_quantity")
+    o = read_table(spark, d, "orders", "o_orderkey", "o_custkey")
+    # a customer's lines of one day are one fact
+    shipped = (li.join(o, li.l_orderkey == o.o_orderkey).groupBy(F.col("o_custkey").alias("customer_id"), F.col("l_shipdate").cast("date").alias("ship_date"))
+               .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("l_quantity").cast("decimal(12,2)")).alias("quantity")))
+    out = OR.in_force(shipped, _subs(spark, d), "customer_id", "ship_date", "start_date", "plan_id", tiebreak="sub_seq")
+    return out.groupBy("customer_id", "plan_id").agg(F.sum("n").alias("n_lines"), _money(F.sum("quantity")).alias("quantity"))
+
+
+@query("event_gap_percentiles")
+def q_gap_percentiles(spark, d):
+    """Seconds between an event and the same user's one before, by type of event."""
+    e = read_table(spark, d, "events", "event_id", "ts", "user_id", "event_type")
+    t = OR.neighbours(e, "user_id", ["ts", "event_id"], "ts", nxt=False)
+    gaps = t.select("event_type", (F.timestamp_diff("MICROSECOND", F.col("prev_ts"), F.col("ts")) / F.lit(1e6)).alias("seconds"))
+    out = quantiles(gaps, "event_type", "seconds", PERCENTILES)
+    return out.select("event_type", *[F.round(c, 4).alias(c) for c in PERCENTILES])
+
+
+@query("numbered_lines")
+def q_numbered_lines(spark, d):
+    """One dense number over all lines of all orders."""
+    t = read_table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return number_rows(t, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+
+
+@query("customers_kept_by_sketch")
+def q_customers_kept(spark, d):
+    """Active customers of each month and those active in the month before as well, counted
+    exactly, and whether the estimates from daily sketches rolled up to months are in bounds."""
+    t = _txns(spark, d).select(month_key("txn_date").alias("month"), "txn_date", "customer_id")
+    hll, theta = (SK.roll_up(SK.distinct_sketches(t, ["month", "txn_date"], "customer_id", kind=k), "month", kind=k) for k in ("hll", "theta"))
+    before = theta.select(F.date_format(F.add_months(F.to_date(F.concat("month", F.lit("-01"))), 1), "yyyy-MM").alias("month"), F.col("sketch").alias("earlier"))
+    estimates = (hll.select("month", SK.estimate("sketch").alias("about")).join(theta.select("month", "sketch"), "month").join(before, "month", "left")
+                 .select("month", "about", F.coalesce(SK.in_both("sketch", "earlier"), F.lit(0)).alias("about_kept"), SK.estimate(F.theta_union("sketch", "earlier"), "theta").alias("about_either")))
+    months = t.select("month", "customer_id").distinct()
+    last = months.select(F.date_format(F.add_months(F.to_date(F.concat("month", F.lit("-01"))), 1), "yyyy-MM").alias("month"), "customer_id", F.lit(1).alias("kept"))
+    exact = months.join(last, ["month", "customer_id"], "left").groupBy("month").agg(F.count(F.lit(1)).alias("n_customers"), F.count("kept").alias("n_kept"))
+    off, off_kept = F.abs(F.col("about") - F.col("n_customers")), F.abs(F.col("about_kept") - F.col("n_kept"))
+    return exact.join(estimates, "month").select(
+        "month", "n_customers", "n_kept", (off <= SK.bound(F.col("n_customers"))).alias("estimate_in_bounds"),
+        (off_kept <= SK.bound(F.coalesce("about_either", "n_customers"), kind="theta")).alias("kept_in_bounds"))
+
+
+def _bucketed(spark, d, name, key, *columns):
+    """A fact table kept in buckets of its join key, in a database of its own."""
+    def build(place):
+        ensure_database(spark, "casebook")
+        path = table_path(d, name)
+        return save_bucketed(read_table(spark, d, name, *columns), f"casebook.{name}_{version(spark, [path])}", place, key, BUCKETS)
+
+    return shared(spark, f"bucketed-{name}", [table_path(d, name)], build)
+
+
+@query("quantity_per_customer_bucketed")
+def q_bucketed(spark, d):
+    """Lines join orders without an exchange: both are kept bucketed by the order."""
+    li = _bucketed(spark, d, "lineitem", "l_orderkey", "l_orderkey", "l_quantity")
+    o = _bucketed(spark, d, "orders", "o_orderkey", "o_orderkey", "o_custkey")
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    return j.groupBy(F.col("o_custkey").alias("customer_id")).agg(F.count(F.lit(1)).alias("n_lines"), _money(F.sum(F.col("l_quantity").cast("decimal(12,2)"))).alias("quantity"))
+
+
+STRICT = {"pickup_time": "timestamp_ntz", "distance": "decimal(10,2)", "duration": "int"}
+
+
+@query("quarantined_cells")
+def q_quarantined(spark, d):
+    """Delivery measurements that are no plain values: units left on, in the way of a typed load."""
+    return split_typed(A.runner_orders_raw(spark, d), STRICT, "order_id")[1]
+
+
+@query("conversion_account")
+def q_account(spark, d):
+    return account(A.runner_orders_raw(spark, d), STRICT)

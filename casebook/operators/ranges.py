@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from casebook.functions import as_list
 from casebook.sources.io import stage_table
 
+# rows looked at for each key that may be heavy
+SAMPLE_ROWS = 400
 # the place is (range << 33) + the row's number in its range
 RANGE_BITS = 33
 
@@ -55,16 +57,19 @@ def number_rows(df: DataFrame, order: Sequence[str | Column], name: str = "row_n
 
 
 def heavy_keys(df: DataFrame, key, share: float = 0.5, parts: int | None = None) -> DataFrame | None:
-    """The keys with more than ``share`` of an average task's rows, or None. There can
-    be at most ``parts / share`` of them, whatever the data."""
+    """The keys with more than about ``share`` of an average task's rows, or None. There
+    can be only some ``parts / share`` of them, whatever the data.
+
+    Large tables are counted on a sample of ``SAMPLE_ROWS`` rows for each such key there may
+    be: which keys are found changes how the work is spread, never a result."""
     keys, parts = as_list(key), parts or _tasks(df)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    row = counts.agg(F.sum("_rows").alias("total"), F.max("_rows").alias("most")).first()
-    least = (row["total"] or 0) * share / parts
-    if (row["most"] or 0) <= least:
-        return None
-    found = counts.where(F.col("_rows") > least).select(*keys)
-    return df.sparkSession.createDataFrame(found.collect(), found.schema)
+    total = df.count()
+    fraction = min(1.0, SAMPLE_ROWS * parts / share / max(total, 1))
+    some = df.select(*keys) if fraction == 1.0 else df.select(*keys).sample(fraction, seed=1)
+    least = total * share / parts * fraction * (1.0 if fraction == 1.0 else 0.8)  # not to miss one by chance
+    found = some.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > least).select(*keys)
+    rows = found.collect()
+    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
 
 
 def hot_and_rest(df: DataFrame, key, rest: Callable[[DataFrame], DataFrame], hot: Callable[[DataFrame], DataFrame],

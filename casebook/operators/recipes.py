@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from casebook.functions.bits import bit_set, count_vector, without
 from casebook.functions.dates import minutes_between
 from casebook.functions.lists import list_size, split_list
 from casebook.functions.safe import safe_div
@@ -71,6 +72,40 @@ def ingredient_usage(lines: DataFrame, recipes: DataFrame, dictionary_df: DataFr
     return counts.join(dictionary_df.select(item, name), item, "left")
 
 
+def alike(lines: DataFrame, pizza: str = "pizza_id", exclusions: str = "exclusions", extras: str = "extras",
+          name: str = "n_lines") -> DataFrame:
+    """Lines of one pizza with the same changes as one row with their number: what is used
+    is the same for all of them. There are few such rows however many lines there are."""
+    return lines.groupBy(pizza, exclusions, extras).agg(F.count(F.lit(1)).alias(name))
+
+
+def usage_by_set_ops(lines: DataFrame, recipes: DataFrame, dictionary_df: DataFrame, pizza: str = "pizza_id",
+                     item: str = "topping_id", name: str = "topping_name", count_name: str = "n_used") -> DataFrame:
+    """The totals of :func:`ingredient_usage` with set operators over exploded rows: (base
+    EXCEPT exclusions) UNION ALL extras, of lines alike at a time, then one weighted sum."""
+    kinds = alike(lines, pizza)
+    kind = F.struct(pizza, "exclusions", "extras").alias("kind")
+    base = kinds.join(recipes.select(pizza, split_list("toppings").alias("_base")), pizza)
+    base = base.select(kind, "n_lines", F.explode("_base").alias(item))
+    left_out, more = (kinds.select(kind, "n_lines", F.explode(c).alias(item)) for c in ("exclusions", "extras"))
+    used = base.subtract(left_out).unionAll(more)
+    counts = used.groupBy(item).agg(F.sum("n_lines").alias(count_name))
+    return counts.join(dictionary_df.select(item, name), item, "left")
+
+
+def usage_by_bits(lines: DataFrame, recipes: DataFrame, dictionary: Sequence[tuple[int, str]], pizza: str = "pizza_id",
+                  item: str = "topping_id", name: str = "topping_name", count_name: str = "n_used") -> DataFrame:
+    """The same totals without a row for each ingredient: recipes and exclusions are bit
+    sets, EXCEPT is a bit operation, and one aggregate sums a column for each member of
+    the (small, fixed) dictionary. Members nobody uses are left out."""
+    base = recipes.select(pizza, bit_set(split_list("toppings")).alias("_base"))
+    kept = without(F.coalesce("_base", F.lit(0).cast("long")), bit_set("exclusions"))
+    j = lines.join(base, pizza)
+    sums = j.agg(*[F.sum(c).alias(f"_{m}") for m, c in count_vector(kept, "extras", [m for m, _ in dictionary]).items()])
+    rows = F.array(*[F.struct(F.lit(m).alias(item), F.col(f"_{m}").alias(count_name), F.lit(n).alias(name)) for m, n in dictionary])
+    return sums.select(F.explode(rows).alias("r")).select("r.*").where(F.col(count_name) > 0)
+
+
 # ---------------------------------------------------------------- O22
 
 def revenue(lines: DataFrame, price: Column, extras: str = "extras",

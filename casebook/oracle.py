@@ -726,6 +726,73 @@ SELECT order_id, unnest({_int_list('exclusions')}) AS topping_id FROM customer_o
 UNION SELECT order_id, unnest({_int_list('extras')}) FROM customer_orders_raw""",
 })
 ORACLE["monthly_closing_balance_sql"] = ORACLE["monthly_closing_balance"]
+ORACLE["ingredient_usage_bits"] = ORACLE["ingredient_usage_delivered"]
+
+
+def _strict(column: str, kind: str) -> str:
+    return f"""SELECT order_id, '{column}' AS column_name, {column} AS text, {_null_tok(column)} IS NULL AS none, TRY_CAST({column} AS {kind}) IS NOT NULL AS fits
+  FROM runner_orders_raw"""
+
+
+CELLS = "cells AS (" + " UNION ALL ".join([_strict("pickup_time", "TIMESTAMP"), _strict("distance", "DECIMAL(10,2)"), _strict("duration", "INTEGER")]) + ")"
+
+ORACLE.update({
+    "closing_balances_in_month": DAILY + f"""
+SELECT customer_id, balance FROM daily
+WHERE strftime(bal_date, '%Y-%m') = '{C.LEDGER_MONTH}' AND bal_date = last_day(bal_date)""",
+
+    # the balance of one day from that of the day before it, one after the other
+    "interest_compounded": "WITH RECURSIVE " + TXNS + f""",
+moved AS (SELECT customer_id, txn_date, CAST(SUM(CASE txn_type WHEN 'deposit' THEN txn_amount WHEN 'purchase' THEN -txn_amount
+                                                                WHEN 'withdrawal' THEN -txn_amount ELSE 0 END) AS DOUBLE) AS net
+          FROM customer_transactions GROUP BY customer_id, txn_date),
+days AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY txn_date) AS nth FROM moved),
+held AS (
+  SELECT customer_id, txn_date, nth, net AS balance FROM days WHERE nth = 1
+  UNION ALL
+  SELECT d.customer_id, d.txn_date, d.nth, h.balance * pow(1.0::DOUBLE + {C.YEARLY_RATE}::DOUBLE / 365, d.txn_date - h.txn_date) + d.net
+  FROM held h JOIN days d ON d.customer_id = h.customer_id AND d.nth = h.nth + 1)
+SELECT customer_id, txn_date, ROUND(balance, 2) AS balance FROM held""",
+
+    "lines_shipped_per_plan": _with(SUBS) + """,
+plan_of_day AS (SELECT customer_id, start_date, arg_max(plan_id, sub_seq) AS plan_id FROM subscriptions GROUP BY ALL HAVING start_date IS NOT NULL),
+shipped AS (SELECT o_custkey AS customer_id, CAST(l_shipdate AS DATE) AS ship_date, CAST(l_quantity AS DECIMAL(12,2)) AS quantity
+            FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT s.customer_id, p.plan_id, COUNT(*) AS n_lines, CAST(SUM(s.quantity) AS DECIMAL(18,2)) AS quantity
+FROM shipped s ASOF LEFT JOIN plan_of_day p ON s.customer_id = p.customer_id AND s.ship_date >= p.start_date
+GROUP BY s.customer_id, p.plan_id""",
+
+    "event_gap_percentiles": """
+SELECT event_type, ROUND(quantile_cont(seconds, 0.5), 4) AS p50_seconds, ROUND(quantile_cont(seconds, 0.8), 4) AS p80_seconds,
+       ROUND(quantile_cont(seconds, 0.95), 4) AS p95_seconds
+FROM (SELECT event_type, (epoch_us(ts) - epoch_us(LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id))) / 1e6::DOUBLE AS seconds FROM events)
+WHERE seconds IS NOT NULL GROUP BY event_type""",
+
+    "numbered_lines": """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       ROW_NUMBER() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_number
+FROM lineitem""",
+
+    "customers_kept_by_sketch": _with(TXNS) + """,
+active AS (SELECT DISTINCT strftime(txn_date, '%Y-%m') AS month, customer_id FROM customer_transactions)
+SELECT a.month, COUNT(*) AS n_customers, COUNT(b.customer_id) AS n_kept, TRUE AS estimate_in_bounds, TRUE AS kept_in_bounds
+FROM active a LEFT JOIN active b ON a.customer_id = b.customer_id
+     AND b.month = strftime(CAST(a.month || '-01' AS DATE) - INTERVAL 1 MONTH, '%Y-%m')
+GROUP BY a.month""",
+
+    "quantity_per_customer_bucketed": """
+SELECT o_custkey AS customer_id, COUNT(*) AS n_lines, CAST(SUM(CAST(l_quantity AS DECIMAL(12,2))) AS DECIMAL(18,2)) AS quantity
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey""",
+
+    "quarantined_cells": _with(RUNNER_RAW, CELLS) + """
+SELECT order_id, column_name, CASE column_name WHEN 'pickup_time' THEN 'timestamp_ntz' WHEN 'distance' THEN 'decimal(10,2)' ELSE 'int' END AS wanted_type, text
+FROM cells WHERE NOT none AND NOT fits""",
+
+    "conversion_account": _with(RUNNER_RAW, CELLS) + """
+SELECT column_name, COUNT(*) FILTER (WHERE none) AS n_empty, COUNT(*) FILTER (WHERE NOT none AND fits) AS n_typed,
+       COUNT(*) FILTER (WHERE NOT none AND NOT fits) AS n_quarantined
+FROM cells GROUP BY column_name""",
+})
 
 
 def oracle_sql() -> dict[str, str]:

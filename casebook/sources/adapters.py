@@ -192,11 +192,15 @@ def _order_offset_seconds():
     return (k % 600) * 60 + k % 59
 
 
-def customer_orders_raw(spark: SparkSession, d: str) -> DataFrame:
+def customer_orders_raw(spark: SparkSession, d: str, line_id: str | None = None) -> DataFrame:
     """order_id BIGINT, customer_id BIGINT, pizza_id INT, exclusions STRING,
     extras STRING, order_time TIMESTAMP_NTZ -- one row per line item, with the
     list columns in the dirty forms seen in the source ('null', '', NULL, '1, 5',
-    '11,2', repeats)."""
+    '11,2', repeats).
+
+    ``line_id``: adds each line's number within its order, by pizza, exclusions and extras
+    as they are spelled. The lines are numbered before the orders join, which needs no
+    other exchange of them; a huge order is numbered by ranges."""
     li = read_table(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     o = read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     p, s, ln = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
@@ -211,11 +215,15 @@ def customer_orders_raw(spark: SparkSession, d: str) -> DataFrame:
                .when(ln % 4 == 1, F.concat(p_id, F.lit(","), ps_id))
                .when(ln % 4 == 2, "null")
                .otherwise(F.lit(None).cast("string")))
-    return (li.join(o, li.l_orderkey == o.o_orderkey)
+    lines = li.select("l_orderkey", (p % N_PIZZAS + 1).cast("int").alias("pizza_id"), exclusions.alias("exclusions"), extras.alias("extras"))
+    if line_id:
+        from casebook.operators.ordered import numbered
+        lines = numbered(lines, "l_orderkey", ["pizza_id", "exclusions", "extras"], line_id)
+    return (lines.join(o, lines.l_orderkey == o.o_orderkey)
               .select(F.col("l_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
-                      (p % N_PIZZAS + 1).cast("int").alias("pizza_id"),
-                      exclusions.alias("exclusions"), extras.alias("extras"),
-                      F.timestamp_add("SECOND", _order_offset_seconds(), F.col("o_orderdate")).alias("order_time")))
+                      "pizza_id", "exclusions", "extras",
+                      F.timestamp_add("SECOND", _order_offset_seconds(), F.col("o_orderdate")).alias("order_time"),
+                      *([line_id] if line_id else [])))
 
 
 def runner_orders_raw(spark: SparkSession, d: str) -> DataFrame:
