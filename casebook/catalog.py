@@ -28,7 +28,7 @@ from casebook.operators import sketches as SK
 from casebook.operators.ranges import number_rows
 from casebook.operators.selection import quantiles
 from casebook.sources import adapters as A
-from casebook.sources.io import conform, ensure_database, load_table
+from casebook.sources.io import conform, ensure_database, load_table, stage_table
 from casebook.sources.quarantine import account, split_typed
 from casebook.sources.stores import replace_partitions, save_bucketed, shared, version
 from casebook.sources.tables import read_table, table_path
@@ -147,6 +147,15 @@ def q_points_literal(spark, d):
     return out.select("customer_id", _money("points").alias("points"))
 
 
+@query("loyalty_points_flat_bonus")
+def q_points_flat(spark, d):
+    """Literal variant of the special item's bonus: flat points for each special item a
+    member has bought, instead of a multiplier, from the day of joining."""
+    out = LO.flat_bonus_points(A.sales(spark, d), A.menu(spark, d), A.members(spark, d), "customer_id", "order_date", "product_id",
+                               "product_name", "price", special_items=SPECIAL_ITEMS)
+    return out.select("customer_id", _money("points").alias("points"))
+
+
 # ====================================================================== delivery
 
 def _lines(spark, d, line_ids: bool = False):
@@ -167,10 +176,6 @@ def _delivered_lines(spark, d, line_ids: bool = False):
     return _lines(spark, d, line_ids).join(_delivered(spark, d).select("order_id"), "order_id", "left_semi")
 
 
-def _ratings(spark, d):
-    return _delivered(spark, d).select("order_id", (F.col("order_id") % 5 + 1).cast("int").alias("rating"))
-
-
 def _pizza_price():
     return F.when(F.col("pizza_id") % 2 == 1, F.lit(12)).otherwise(F.lit(10))
 
@@ -211,10 +216,12 @@ def q_change_flags(spark, d):
 def q_change_full_join(spark, d):
     """The same counts as two separate aggregates merged by a full outer join on
     the customer (each side may miss customers the other has)."""
-    lines = _delivered_lines(spark, d)
     changed = (list_size("exclusions") > 0) | (list_size("extras") > 0)
-    a = lines.filter(changed).groupBy("customer_id").agg(F.count(F.lit(1)).alias("n_changed"))
-    b = lines.filter(~changed).groupBy("customer_id").agg(F.count(F.lit(1)).alias("n_unchanged"))
+    # one pass over the lines; its two counts per customer are kept as a table and read twice
+    per = _delivered_lines(spark, d).groupBy("customer_id", changed.alias("changed")).agg(F.count(F.lit(1)).alias("n"))
+    per = stage_table(per, "changed-lines")
+    a = per.filter(F.col("changed")).select("customer_id", F.col("n").alias("n_changed"))
+    b = per.filter(~F.col("changed")).select("customer_id", F.col("n").alias("n_unchanged"))
     return a.join(b, "customer_id", "full").select(
         "customer_id", F.coalesce("n_changed", F.lit(0)).alias("n_changed"),
         F.coalesce("n_unchanged", F.lit(0)).alias("n_unchanged"))
@@ -264,9 +271,7 @@ def q_signups(spark, d):
 
 
 def _order_times(spark, d):
-    return _lines(spark, d).groupBy("order_id").agg(F.min("order_time").alias("order_time"),
-                                                    F.count(F.lit(1)).alias("n_items"),
-                                                    F.min("customer_id").alias("customer_id"))
+    return A.order_summaries(spark, d)
 
 
 @query("pickup_minutes_per_runner")
@@ -380,7 +385,8 @@ def q_net_revenue(spark, d):
 
 @query("delivery_report")
 def q_delivery_report(spark, d):
-    return RE.delivery_report(_lines(spark, d), _deliveries(spark, d), _ratings(spark, d))
+    rated = _deliveries(spark, d).withColumn("rating", (F.col("order_id") % 5 + 1).cast("int"))
+    return RE.delivery_report(None, rated, per_order=A.order_summaries(spark, d))
 
 
 # ====================================================================== subscriptions
@@ -465,6 +471,14 @@ def q_plan_after_trial(spark, d):
                              n_name="n", total_name="n_trials_with_next", pct_name="pct")
 
 
+@query("paid_changes_share")
+def q_paid_changes(spark, d):
+    """Literal variant of the plans after the trial: all paid changes, not each customer's
+    first one, as a share of all changes but churn."""
+    t = _subs(spark, d).agg(F.count_if(F.col("plan_id").isin(1, 2, 3)).alias("n_paid"), F.count_if(F.col("plan_id") != 4).alias("n_changes"))
+    return t.select("n_paid", "n_changes", percent_text("n_paid", "n_changes", 2).alias("share"))
+
+
 @query("plan_mix_at_date")
 def q_plan_mix(spark, d):
     cur = SQ.state_as_of(_subs(spark, d), "customer_id", "start_date", "plan_id", PLAN_MIX_DATE, tiebreak="sub_seq")
@@ -566,6 +580,14 @@ def q_realloc(spark, d):
     return out.select("avg_days", *[F.round(c, 4).alias(c) for c in ("p50_days", "p80_days", "p95_days")])
 
 
+@query("reallocation_days_with_open")
+def q_realloc_open(spark, d):
+    """Literal variant: allocations that last until 9999 count with their full length."""
+    t = A.customer_nodes(spark, d).select("region_id", F.datediff("end_date", "start_date").alias("days"))
+    mean = t.agg(F.avg("days").alias("avg_days"), F.count("days").alias("n_allocations"), F.count_if(F.col("days") > 2_000_000).alias("n_open"))
+    return mean
+
+
 @query("reallocation_days_by_region")
 def q_realloc_region(spark, d):
     regions = A.regions(spark, d)
@@ -600,6 +622,17 @@ def q_active(spark, d):
                              "withdrawal": (["withdrawal"], 1)})
 
 
+@query("active_customers_two_counts")
+def q_active_two(spark, d):
+    """Literal variant of the activity rule: per month the customers with a deposit and,
+    apart from them, those with a purchase or withdrawal, in months that have both."""
+    kind = F.col("txn_type")
+    per = _txns(spark, d).groupBy(month_key("txn_date").alias("month"), "customer_id").agg(
+        F.bool_or(kind == "deposit").alias("pays_in"), F.bool_or(kind.isin("purchase", "withdrawal")).alias("spends"))
+    both = per.groupBy("month").agg(F.count_if("pays_in").alias("n_depositors"), F.count_if("spends").alias("n_spenders"))
+    return both.filter((F.col("n_depositors") > 0) & (F.col("n_spenders") > 0))
+
+
 def _monthly_balances(spark, d):
     net = LE.signed_ledger(_txns(spark, d), "customer_id", "txn_date", "txn_type", "txn_amount", "month")
     return LE.running_balance(net, "customer_id", "month", "net", "balance")

@@ -227,15 +227,17 @@ def distinct_per_group(dim: DataFrame, facts: DataFrame, key: str, group_cols, c
     any fact (count 0). ``counted`` maps output name -> fact column.
 
     The facts meet the dimension in an inner join (the dimension side is the small
-    one), are aggregated per group (two-phase distinct, partial aggregates before
-    the shuffle), and only the per-group result is attached to the dimension's group
-    list. Writing ``dim LEFT JOIN facts`` instead would hash every fact row onto the
-    few group keys, a skew that AQE cannot split on the outer join's right side.
+    one); each counted column is made distinct per group first and then counted, so
+    that several of them multiply no rows, and only the per-group results are attached
+    to the dimension's group list. Writing ``dim LEFT JOIN facts`` instead would hash
+    every fact row onto the few group keys, a skew that AQE cannot split on the outer
+    join's right side.
     """
     groups = as_list(group_cols)
-    enriched = facts.select(key, *counted.values()).join(dim.select(key, *groups), key)
-    per = enriched.groupBy(*groups).agg(*[F.countDistinct(c).alias(n) for n, c in counted.items()])
-    out = dim.select(*groups).distinct().join(per, groups, "left")
+    out = dim.select(*groups).distinct()
+    for name, column in counted.items():
+        pairs = facts.select(key, column).join(dim.select(key, *groups), key).select(*groups, column).distinct()
+        out = out.join(pairs.groupBy(*groups).agg(F.count(column).alias(name)), groups, "left")
     return out.select(*groups, *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in counted])
 
 

@@ -47,3 +47,17 @@ def loyalty_points(facts: DataFrame, menu: DataFrame, key: str, date: str, item:
     points = (F.coalesce("_special", F.lit(0)) * F.greatest(F.lit(special_multiplier), bonus)
               + F.coalesce("_other", F.lit(0)) * bonus)
     return m.groupBy(key).agg(F.sum(points * F.lit(base)).alias(name))
+
+
+def flat_bonus_points(facts: DataFrame, menu: DataFrame, members: DataFrame, key: str, date: str, item: str, item_name: str, price: str,
+                      special_items: Sequence[str] = (), base: int = 10, bonus: int = 10, join_date: str = "join_date", name: str = "points") -> DataFrame:
+    """Points of members from the day they join: ``price * base`` per item bought, and once
+    ``bonus`` for each special item a member has bought at all (no multiplier).
+
+    One row per key, day and item name comes before the member join, as above."""
+    j = facts.select(key, date, item).join(menu.select(item, item_name, price), item)
+    per_day = j.groupBy(key, date, item_name).agg(F.sum(price).alias("_spent"))
+    own = per_day.join(members.select(key, join_date), key).filter(F.col(date) >= F.col(join_date))
+    per_item = own.groupBy(key, item_name).agg(F.sum("_spent").alias("_spent"))
+    extra = F.when(F.col(item_name).isin(list(special_items)), F.lit(bonus)).otherwise(F.lit(0))
+    return per_item.groupBy(key).agg((F.sum("_spent") * F.lit(base) + F.sum(extra)).alias(name))

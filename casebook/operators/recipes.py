@@ -34,7 +34,8 @@ def line_ingredients(lines: DataFrame, recipes: DataFrame, pizza: str = "pizza_i
 
     ``recipes`` carries the raw delimited ``toppings`` text per pizza; it has one row
     per pizza kind, and the join strategy is left to Spark (AQE broadcasts it when it
-    is measured small).
+    is measured small). A line of a pizza without a recipe has no ingredients to list and
+    is left out.
     """
     r = recipes.select(pizza, split_list(toppings).alias("_base"))
     j = lines.join(r, pizza)
@@ -48,7 +49,8 @@ def ingredient_bill(lines: DataFrame, recipes: DataFrame, names: DataFrame,
                     keys: Sequence[str] = ("order_id", "line_id"), pizza: str = "pizza_id",
                     pizza_name: str = "pizza_name", out: str = "ingredient_list") -> DataFrame:
     """'Name: 2xBacon, Beef, Cheese' per line: ingredients ordered by name, a count
-    prefix on those used more than once."""
+    prefix on those used more than once. Lines whose pizza has no recipe or no name are
+    left out."""
     li = line_ingredients(lines, recipes, pizza)
     m = dictionary_map(dictionary)
     ing = F.col("ingredients")
@@ -133,16 +135,20 @@ def net_of_distance_cost(lines: DataFrame, deliveries: DataFrame, price: Column,
 
 # ---------------------------------------------------------------- O23
 
-def delivery_report(lines: DataFrame, deliveries: DataFrame, ratings: DataFrame,
-                    order: str = "order_id") -> DataFrame:
+def delivery_report(lines: DataFrame | None, deliveries: DataFrame, ratings: DataFrame | None = None,
+                    order: str = "order_id", per_order: DataFrame | None = None) -> DataFrame:
     """One row per delivered order: customer, runner, rating, order and pickup
     times, minutes to pickup (minute boundaries), duration, average speed (km/h)
-    and item count. Lines are reduced to one row per order before the joins."""
-    per_order = lines.groupBy(order).agg(F.min("customer_id").alias("customer_id"),
-                                         F.min("order_time").alias("order_time"),
-                                         F.count(F.lit(1)).alias("n_items"))
-    d = deliveries.filter(F.col("cancellation").isNull())
-    j = per_order.join(d, order).join(ratings, order, "left")
+    and item count. Lines are reduced to one row per order before the joins; give
+    ``per_order`` (customer_id, order_time, n_items) where that has been done already.
+    Without ``ratings`` the deliveries carry their ``rating``."""
+    if per_order is None:
+        per_order = lines.groupBy(order).agg(F.min("customer_id").alias("customer_id"),
+                                             F.min("order_time").alias("order_time"),
+                                             F.count(F.lit(1)).alias("n_items"))
+    j = per_order.join(deliveries.filter(F.col("cancellation").isNull()), order)
+    if ratings is not None:
+        j = j.join(ratings, order, "left")
     return j.select(
         "customer_id", order, "runner_id", "rating", "order_time", "pickup_time",
         minutes_between("order_time", "pickup_time").alias("minutes_to_pickup"),

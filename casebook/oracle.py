@@ -784,6 +784,23 @@ GROUP BY a.month""",
 SELECT o_custkey AS customer_id, COUNT(*) AS n_lines, CAST(SUM(CAST(l_quantity AS DECIMAL(12,2))) AS DECIMAL(18,2)) AS quantity
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey""",
 
+    "loyalty_points_flat_bonus": _with(SALES, MENU, MEMBERS) + f"""
+SELECT customer_id, CAST(10 * SUM(m.price) + 10 * COUNT(DISTINCT CASE WHEN m.product_name IN ({SPECIAL}) THEN m.product_name END) AS DECIMAL(18,2)) AS points
+FROM sales JOIN menu m USING (product_id) JOIN members j USING (customer_id) WHERE order_date >= j.join_date GROUP BY customer_id""",
+
+    "paid_changes_share": _with(SUBS) + """
+SELECT SUM(CAST(plan_id BETWEEN 1 AND 3 AS INTEGER))::BIGINT AS n_paid, COUNT(*) AS n_changes, format('{:.2f}%', n_paid * 100.0 / n_changes) AS share
+FROM subscriptions WHERE plan_id <> 4""",
+
+    "reallocation_days_with_open": _with(NODES) + """
+SELECT AVG(end_date - start_date) AS avg_days, COUNT(*) AS n_allocations, COUNT(*) FILTER (WHERE end_date = DATE '9999-12-31') AS n_open
+FROM customer_nodes""",
+
+    "active_customers_two_counts": _with(TXNS) + """
+SELECT strftime(txn_date, '%Y-%m') AS month, COUNT(DISTINCT customer_id) FILTER (WHERE txn_type = 'deposit') AS n_depositors,
+       COUNT(DISTINCT customer_id) FILTER (WHERE txn_type IN ('purchase', 'withdrawal')) AS n_spenders
+FROM customer_transactions GROUP BY 1 HAVING n_depositors > 0 AND n_spenders > 0""",
+
     "quarantined_cells": _with(RUNNER_RAW, CELLS) + """
 SELECT order_id, column_name, CASE column_name WHEN 'pickup_time' THEN 'timestamp_ntz' WHEN 'distance' THEN 'decimal(10,2)' ELSE 'int' END AS wanted_type, text
 FROM cells WHERE NOT none AND NOT fits""",

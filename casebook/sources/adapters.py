@@ -226,6 +226,17 @@ def customer_orders_raw(spark: SparkSession, d: str, line_id: str | None = None)
                       *([line_id] if line_id else [])))
 
 
+def order_summaries(spark: SparkSession, d: str) -> DataFrame:
+    """order_id BIGINT, customer_id BIGINT, order_time TIMESTAMP_NTZ, n_items BIGINT: the
+    order lines' view of each order. Lines are counted before they meet the orders, so an
+    order of very many lines is one row a task."""
+    items = read_table(spark, d, "lineitem", "l_orderkey").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_items"))
+    o = read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    return (o.join(items, o.o_orderkey == items.l_orderkey)
+             .select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+                     F.timestamp_add("SECOND", _order_offset_seconds(), F.col("o_orderdate")).alias("order_time"), "n_items"))
+
+
 def runner_orders_raw(spark: SparkSession, d: str) -> DataFrame:
     """order_id BIGINT, runner_id INT, pickup_time/distance/duration/cancellation as
     dirty STRINGs ('20km', '23.4 km', '32 minutes', '25mins', 'null', '')."""
