@@ -803,6 +803,7 @@ def q_shipped_per_plan(spark, d):
     # a customer's lines of one day are one fact
     shipped = (li.join(o, li.l_orderkey == o.o_orderkey).groupBy(F.col("o_custkey").alias("customer_id"), F.col("l_shipdate").cast("date").alias("ship_date"))
                .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("l_quantity").cast("decimal(12,2)")).alias("quantity")))
+    shipped = stage_table(shipped, "shipped-days")  # read for heavy customers as well
     out = OR.in_force(shipped, _subs(spark, d), "customer_id", "ship_date", "start_date", "plan_id", tiebreak="sub_seq")
     return out.groupBy("customer_id", "plan_id").agg(F.sum("n").alias("n_lines"), _money(F.sum("quantity")).alias("quantity"))
 
