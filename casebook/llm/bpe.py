@@ -138,13 +138,14 @@ def block_name(k: int) -> int:
 
 
 def in_buckets(words: list[str], buckets: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """(words by bucket, then value; their buckets; the place of each given word)."""
+    """(words by bucket, in the order given; their buckets; the place of each given word).
+    A block's words come in the order of its rows, so both passes get the same places."""
     raw = [w.encode() for w in words]
     bucket = np.fromiter((bucket_of(w, buckets) for w in raw), np.int64, len(raw))
-    order = np.array(sorted(range(len(raw)), key=lambda i: (bucket[i], raw[i])), np.int64)
+    order = np.argsort(bucket, kind="stable")
     place = np.empty(len(raw), np.int64)
     place[order] = np.arange(len(raw))
-    return [raw[i] for i in order], bucket[order], place
+    return [raw[i] for i in order.tolist()], bucket[order], place
 
 
 def planes(x: np.ndarray) -> bytes:
