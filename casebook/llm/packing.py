@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,6 +34,9 @@ SPLITS = 64  # parts of the numbering of one length
 NODE_LIMIT = 2000  # search nodes before the best packing found is taken, at least
 LEAVES = 4  # and so many for each distinct length: a step mostly uses up one
 FILLINGS = 24  # fillings tried for one bin
+STEPS_A_FILLING = 50  # and steps to find each of them
+WORDS_HELD = 300_000  # words whose ids a task keeps
+ENCODED_AT_ONCE = 4_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -43,45 +47,64 @@ def load_tokenizer(data: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_str(data)
-    t.encode_special_tokens = True  # their strings in a text are ordinary text
-    return t
+    return Tokenizer.from_str(data)
 
 
-def word_ids(words: list[str], tokenizer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(number of ids per word, start per word, all ids)."""
-    lens, ids = [], []
-    for i in range(0, len(words), 20_000):
-        for e in tokenizer.encode_batch_fast(words[i:i + 20_000], add_special_tokens=False):
-            got = e.ids
-            lens.append(len(got))
-            ids += got
-    n = np.asarray(lens, np.int64)
-    return n, np.cumsum(n) - n, np.asarray(ids, np.int64)
+class WordIds:
+    """Ids of words, each word encoded once as long as it is held. What is held is
+    bounded: beyond ``WORDS_HELD`` words all are given up, and encoded anew when met."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.ends, self.ids = [np.zeros(1, np.int64)], []
+
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(number of ids per word, start per word, ids)."""
+        if len(self.place) > WORDS_HELD:
+            self.clear()
+        place = self.place
+        new = [w for w in words if w not in place]
+        for i in range(0, len(new), ENCODED_AT_ONCE):
+            some = new[i:i + ENCODED_AT_ONCE]
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            place.update(zip(some, range(len(place), len(place) + len(some)), strict=True))
+            self.ends.append(self.ends[-1][-1] + np.cumsum(np.fromiter(map(len, got), np.int64, len(got))))
+            self.ids.append(np.fromiter((t for ids in got for t in ids), np.int64))
+        self.ends, self.ids = [np.concatenate(self.ends)], [np.concatenate(self.ids)] if self.ids else []
+        at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+        ends = self.ends[0]
+        return ends[at + 1] - ends[at], ends[at], self.ids[0] if self.ids else np.zeros(0, np.int64)
 
 
 def cut_pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece. The tokenizer drops white space and works on the words
-    between it one by one, so each distinct word of a block is encoded once."""
+    between it one by one (its special strings, which hold none, are found within them),
+    so each distinct word of a task is encoded once."""
     with open(tokenizer_path, encoding="utf-8") as f:
         data = documents.sparkSession.sparkContext.broadcast(f.read())  # a vocabulary of fixed size
 
     def run(batches):
-        tokenizer = load_tokenizer(data.value)
+        held = WordIds(load_tokenizer(data.value))
         for table in blocks(batches, "text", BLOCK_BYTES):
             ends, codes, words = word_lists(column(table, "text"))
-            n, at, ids = word_ids(words.to_pylist(), tokenizer)
+            n, at, ids = held.of(words.to_pylist())
             per_word = n[codes]
             token_ends = np.concatenate([[0], np.cumsum(per_word)])[np.concatenate([[0], ends])]
-            flat = ids[spread(per_word, at[codes])].astype("<u4")
-            out: list[tuple] = []
-            for doc_id, a, b in zip(table.column("doc_id").to_pylist(), token_ends[:-1], token_ends[1:]):
-                own = np.append(flat[a:b], np.uint32(END_ID))
-                for k, start in enumerate(range(0, len(own), capacity)):
-                    part = own[start:start + capacity]
-                    out.append((doc_id, k, start, len(part), zlib.crc32(part.tobytes())))
-            cols = list(zip(*out))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
+            # each document's ids with the end mark after them
+            flat = np.insert(ids[spread(per_word, at[codes])].astype("<u4"), token_ends[1:], np.uint32(END_ID))
+            lens = np.diff(token_ends) + 1
+            pieces = -(-lens // capacity)
+            rows = np.repeat(np.arange(len(lens)), pieces)
+            piece = spread(pieces, np.zeros(len(lens), np.int64))
+            start = piece * capacity
+            length = np.minimum(lens[rows] - start, capacity)
+            first = (np.cumsum(lens) - lens)[rows] + start
+            crc = np.fromiter((zlib.crc32(flat[a:a + n]) for a, n in zip(first.tolist(), length.tolist(), strict=True)), np.int64, len(rows))
+            yield pa.RecordBatch.from_arrays([column(table, "doc_id").take(pa.array(rows)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc)],
                                              ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return id_text(documents).mapInArrow(run, PIECES)
@@ -131,43 +154,61 @@ def best_fit_decreasing(histogram: dict[int, int], capacity: int) -> list[Fillin
 
 
 def lower_bound(histogram: dict[int, int], capacity: int) -> int:
-    """The larger of the volume bound and, over all thresholds, the bound that counts
-    items too large to share a bin."""
-    total = sum(s * n for s, n in histogram.items())
-    best = -(-total // capacity)
-    sizes = np.array(sorted(histogram))
-    counts = np.array([histogram[s] for s in sizes])
-    for k in sizes[sizes <= capacity // 2]:
-        big, mid, small = sizes > capacity - k, (sizes <= capacity - k) & (sizes > capacity // 2), (sizes <= capacity // 2) & (sizes >= k)
-        n_big, n_mid = int(counts[big].sum()), int(counts[mid].sum())
-        rest = int((sizes * counts)[small].sum()) - (n_mid * capacity - int((sizes * counts)[mid].sum()))
-        best = max(best, n_big + n_mid + max(0, -(-rest // capacity)))
+    """Bins that any packing needs, see :func:`fewest`."""
+    sizes = np.array(sorted(histogram), np.int64)
+    return fewest(sizes, np.array([histogram[s] for s in sizes.tolist()], np.int64), capacity)
+
+
+def fewest(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> int:
+    """The larger of the volume bound and, over all thresholds k, the bound that counts
+    items too large to share a bin: those over capacity - k take a bin each, those over
+    half of it too, and what lies between k and half must fill up the latter or take more.
+    ``sizes`` ascend; prefix sums answer all thresholds at once."""
+    n, volume = (np.concatenate([[0], np.cumsum(x)]) for x in (counts, sizes * counts))
+    best = -(-int(volume[-1]) // capacity)
+    half = int(np.searchsorted(sizes, capacity // 2, side="right"))
+    if half:
+        big = np.searchsorted(sizes, capacity - sizes[:half], side="right")
+        n_mid, v_mid = n[big] - n[half], volume[big] - volume[half]
+        rest = volume[half] - volume[:half] - (n_mid * capacity - v_mid)
+        best = max(best, int((n[-1] - n[half] + np.maximum(0, -(-rest // capacity))).max()))
     return best
 
 
-def undominated_fillings(sizes: list[int], left: dict[int, int], room: int, most_waste: int, limit: int) -> list[list[int]]:
-    """Fillings of ``room`` with the largest lengths first, least waste first.
+def undominated_fillings(sizes: list[int], left: list[int], room: int, most_waste: int, limit: int) -> list[list[int]]:
+    """Fillings of ``room`` with the largest lengths first, least waste first. ``sizes``
+    fall, and there are ``left`` of each, at least one.
 
     Only maximal ones within the waste allowed; a filling is dominated when another of
     the same or less waste has the same number of lengths or fewer, each at least as
     large as its counterpart.
     """
     found: list[list[int]] = []
-    budget = 50 * limit
+    budget, used = STEPS_A_FILLING * limit, {}
+
+    def maximal(room: int) -> bool:
+        """Whether none of the lengths still there fits: look from the smallest on."""
+        for i in range(len(sizes) - 1, -1, -1):
+            if sizes[i] > room:
+                return True
+            if used.get(i, 0) < left[i]:
+                return False
+        return True
 
     def grow(chosen: list[int], room: int, start: int) -> None:
         nonlocal budget
         fits = False
-        for i in range(start, len(sizes)):
-            s = sizes[i]
-            if s > room or chosen.count(s) >= left[s]:
+        for i in range(max(start, bisect_left(sizes, -room, key=lambda s: -s)), len(sizes)):  # lengths that fit
+            if used.get(i, 0) >= left[i]:
                 continue
             fits = True
             budget -= 1
             if budget < 0 or len(found) >= limit:
                 return
-            grow([*chosen, s], room - s, i)
-        if not fits and room <= most_waste and not any(s <= room and chosen.count(s) < left[s] for s in sizes):
+            used[i] = used.get(i, 0) + 1
+            grow([*chosen, sizes[i]], room - sizes[i], i)
+            used[i] -= 1
+        if not fits and room <= most_waste and maximal(room):
             found.append(chosen)
 
     grow([], room, 0)
@@ -191,30 +232,37 @@ def bin_completion(histogram: dict[int, int], capacity: int = CAPACITY, node_lim
         return []
     best = best_fit_decreasing(histogram, capacity)
     n_best = sum(f.count for f in best)
-    bound, total = lower_bound(histogram, capacity), sum(s * n for s, n in histogram.items())
+    sizes = np.array(sorted(histogram), np.int64)
+    counts = np.array([histogram[s] for s in sizes.tolist()], np.int64)
+    place = {s: i for i, s in enumerate(sizes.tolist())}
+    bound, total = fewest(sizes, counts, capacity), int((sizes * counts).sum())
     nodes, node_limit = 0, max(node_limit, LEAVES * len(histogram))
 
-    def branch(left: dict[int, int], used: list[Filling], n_used: int, waste: int):
+    def branch(left: np.ndarray, used, n_used: int, waste: int):
         """Yields the next choices; kept on an explicit stack, as bins may be many."""
-        largest = max(left)
-        sizes = sorted(left, reverse=True)
-        now = dict(left)
-        now[largest] -= 1
+        there = np.flatnonzero(left)
+        largest = int(sizes[there[-1]])
+        now = left.copy()
+        now[there[-1]] -= 1
         allowed = (n_best - 1) * capacity - total - waste
         if allowed < 0:
             return
-        for filling in undominated_fillings([s for s in sizes if now[s]], now, capacity - largest, allowed, FILLINGS):
+        there = np.flatnonzero(now)[::-1]
+        for filling in undominated_fillings(sizes[there].tolist(), now[there].tolist(), capacity - largest, allowed, FILLINGS):
             need: dict[int, int] = {largest: 1}
             for s in filling:
                 need[s] = need.get(s, 0) + 1
             each = capacity - largest - sum(filling)
-            times = min(left[s] // n for s, n in need.items())
+            times = min(int(left[place[s]]) // n for s, n in need.items())
             if each:
                 times = min(times, max(1, allowed // each))
-            after = {s: n - need.get(s, 0) * times for s, n in left.items()}
-            yield {s: n for s, n in after.items() if n}, [*used, Filling(times, sorted(need.items(), reverse=True))], n_used + times, waste + times * each
+            after = left.copy()
+            for s, n in need.items():
+                after[place[s]] -= n * times
+            # what was chosen so far is a chain of pairs, as deep branches share it
+            yield after, (used, Filling(times, sorted(need.items(), reverse=True))), n_used + times, waste + times * each
 
-    stack = [branch(histogram, [], 0, 0)] if n_best > bound else []
+    stack = [branch(counts, None, 0, 0)] if n_best > bound else []
     while stack and nodes < node_limit and n_best > bound:
         step = next(stack[-1], None)
         nodes += 1
@@ -222,10 +270,14 @@ def bin_completion(histogram: dict[int, int], capacity: int = CAPACITY, node_lim
             stack.pop()
             continue
         left, used, n_used, waste = step
-        if not left:
+        some = left > 0
+        if not some.any():
             if n_used < n_best:
-                best, n_best = used, n_used
-        elif waste <= (n_best - 1) * capacity - total and n_used + lower_bound(left, capacity) < n_best:
+                best, n_best = [], n_used
+                while used:
+                    used, filling = used
+                    best.append(filling)
+        elif waste <= (n_best - 1) * capacity - total and n_used + fewest(sizes[some], left[some], capacity) < n_best:
             stack.append(branch(left, used, n_used, waste))
     return best
 
