@@ -42,6 +42,25 @@ def give_back() -> None:
         pass
 
 
+def tidy(run):
+    """``run`` for ``mapInArrow``, giving its memory back at the end of each task: workers
+    live on, and what one task has used would count against the next one's."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return wrapped
+
+
+def own_name(columns: list[str], name: str) -> str:
+    """``name``, lengthened until it clashes with none of a caller's columns."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def blocks(batches, column: str, target_bytes: int):
     """Regroup Arrow batches into tables holding at most ``target_bytes`` of ``column``.
 

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casebook.llm.common import blocks, column, id_text, mix, spread, stage, word_lists
+from casebook.llm.common import blocks, column, id_text, mix, spread, stage, tidy, word_lists
 
 BLOCK_BYTES = 4 << 20
 CELLS = 1 << 20  # of the rarity table, for any input size
@@ -137,19 +137,6 @@ def signatures(docs: DataFrame, n: int, percent: int, cells: np.ndarray) -> Data
     return docs.withColumn("t", F.xxhash64("text")).mapInArrow(run, "doc_id long, t long, key binary, size long, tokens binary")
 
 
-def keys_of(docs: DataFrame, n: int) -> DataFrame:
-    """``doc_id, t, key, size`` of every row."""
-
-    def run(batches):
-        for table in blocks(batches, "text", BLOCK_BYTES):
-            ends, grams = shingle_sets(column(table, "text"), n)
-            starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-            keys = [set_key(grams[a:b]) if b > a else None for a, b in zip(starts, ends)]
-            yield pa.RecordBatch.from_arrays([column(table, "doc_id"), column(table, "t"), pa.array(keys, pa.binary()), pa.array(ends - starts)], ["doc_id", "t", "key", "size"])
-
-    return docs.withColumn("t", F.xxhash64("text")).mapInArrow(run, "doc_id long, t long, key binary, size long")
-
-
 def choose_boundary(mean_list: float, percent: int) -> int:
     """The largest size up to which enumerating subsets costs no more than scanning the
     lists of the n-grams that a set must scan, at the mean length of a list met."""
@@ -176,7 +163,7 @@ def heavy_lists(classes: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens) if len(tokens) else np.zeros(0, np.int64)), pa.array(np.repeat(np.asarray(batch.column("cid")), n)),
                                               pa.array(np.repeat(size, n)), pa.array(spread(n, np.zeros(len(n), np.int64)))], ["token", "cid", "size", "place"])
 
-    return classes.select("cid", "size", "tokens").mapInArrow(run, LISTS)
+    return classes.select("cid", "size", "tokens").mapInArrow(tidy(run), LISTS)
 
 
 def light_lists(classes: DataFrame, boundary: int, percent: int) -> DataFrame:
@@ -197,16 +184,15 @@ def light_lists(classes: DataFrame, boundary: int, percent: int) -> DataFrame:
             cols = list(zip(*out)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["token", "cid", "size", "place"])
 
-    return classes.where(F.col("size") <= boundary).select("cid", "size", "tokens").mapInArrow(run, LISTS)
+    return classes.where(F.col("size") <= boundary).select("cid", "size", "tokens").mapInArrow(tidy(run), LISTS)
 
 
 def shared_lists(lists: DataFrame, percent: int) -> DataFrame:
-    """Only the lists with two members or more, and of those only members that another
-    is near enough in size: the next smaller or larger, as it is the nearest."""
-    shared = lists.groupBy("token").agg(F.count(F.lit(1)).alias("n_")).where("n_ > 1").select("token")
+    """Only the members of a list that another is near enough in size: the next smaller or
+    larger, as it is the nearest. A list of one member has none."""
     by_size = Window.partitionBy("token").orderBy("size", "cid")
     near = (F.lag("size").over(by_size) * 100 >= F.col("size") * percent) | (F.col("size") * 100 >= F.lead("size").over(by_size) * percent)
-    return lists.join(shared, "token").withColumn("near_", near).where("near_").drop("near_")
+    return lists.withColumn("near_", near).where("near_").drop("near_")
 
 
 def compatible(a: str, b: str, percent: int, boundary: int) -> Column:
@@ -268,7 +254,7 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     sets = sets.join(ids, "cid", "left_semi")
     with_a = pairs.join(sets.select(F.col("cid").alias("a"), F.col("grams").alias("grams_a")), "a")
     with_b = with_a.join(sets.select(F.col("cid").alias("b"), F.col("grams").alias("grams_b")), "b")
-    return with_b.select("a", "b", "grams_a", "grams_b").mapInArrow(run, "a long, b long")
+    return with_b.select("a", "b", "grams_a", "grams_b").mapInArrow(tidy(run), "a long, b long")
 
 
 def connected(comps: DataFrame, links: DataFrame) -> DataFrame:
@@ -319,7 +305,8 @@ def jaccard_components(documents: DataFrame, n: int, percent: int, id_col: str =
     """``doc_id, n_shingles, component_id, t`` of every row: the smallest id reachable by
     links, where 100 * |A and B| >= percent * |A or B|; t is a hash of the text."""
     docs = id_text(documents, id_col, text_col)
-    classes = (signatures(docs, n, percent, rarity(docs, n)).where("size > 0").groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "t")).alias("first"), F.min("size").alias("size"), F.min("tokens").alias("tokens")))
+    signed = stage(signatures(docs, n, percent, rarity(docs, n)), "join-signatures")  # read again at the end, without the n-grams
+    classes = (signed.where("size > 0").groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "t")).alias("first"), F.min("size").alias("size"), F.min("tokens").alias("tokens")))
     classes = classes.select("key", F.col("first.doc_id").alias("first_id"), F.col("first.t").alias("first_t"), "size", "tokens")
     classes = stage(classes.withColumn("cid", F.monotonically_increasing_id()), "join-classes")
 
@@ -346,21 +333,25 @@ def jaccard_components(documents: DataFrame, n: int, percent: int, id_col: str =
     of_class = classes.select("key", "first_id", "cid").join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     ids = of_class.groupBy("comp").agg(F.min("first_id").alias("component_id"))
     by_key = of_class.join(ids, "comp").select("key", "component_id")
-    out = keys_of(docs, n).select("doc_id", "t", "key", F.col("size").alias("n_shingles")).join(by_key, "key", "left")
+    out = signed.select("doc_id", "t", "key", F.col("size").alias("n_shingles")).join(by_key, "key", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "t")
 
 
+SPACES = " \t\n\x0b\x0c\r"
+
+
 def one_of_each(documents: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows, with all their columns, of one document per component: that with the
-    smallest id. Documents with an empty set all stay, and so does each row with neither
-    an id nor a shingle; rows that repeat an id and its text count as one."""
-    found = jaccard_components(documents, n, percent, id_col, text_col)
+    smallest id. Rows without a word are linked with nothing, so all of them stay; of rows
+    that repeat an id and its text one stays, the same in every run."""
+    found = jaccard_components(documents, n, percent, id_col, text_col).where("n_shingles > 0")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t")
-    first = found.where("n_shingles > 0").groupBy("component_id").agg(F.min(order).alias("first_")).select("first_.doc_id", "first_.t", F.lit(False).alias("empty__"))
-    keep = first.unionByName(found.where("n_shingles = 0").select("doc_id", "t", F.lit(True).alias("empty__")))
-    keep = stage(keep.select(ident(F.col("doc_id")).alias("d__"), F.col("t").alias("t__"), "empty__").distinct(), "join-kept")
-    marked = documents.withColumns({"d__": ident(F.col(f"`{id_col}`")), "t__": F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))})
-    kept = marked.join(keep, ["d__", "t__"])
-    # Rows without an id repeat none; what tells them apart is used within this stage only.
-    kept = kept.withColumn("row__", F.when(F.col("empty__") & F.col(f"`{id_col}`").isNull(), F.monotonically_increasing_id()))
-    return kept.dropDuplicates(["d__", "t__", "row__"]).drop("d__", "t__", "empty__", "row__")
+    first = found.groupBy("component_id").agg(F.min(order).alias("first"))
+    first = stage(first.select(ident(F.col("first.doc_id")).alias("d"), F.col("first.t").alias("t")).distinct(), "join-kept")
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    wordless = F.rtrim(text, F.lit(SPACES)) == ""
+    # the row is kept whole in a struct, so its columns clash with none here
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
+    rows = documents.where(~wordless).select(ident(F.col(f"`{id_col}`")).alias("d"), F.xxhash64(text).alias("t"), row).join(first, ["d", "t"])
+    one = rows.groupBy("d", "t").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
+    return one.unionByName(documents.where(wordless))

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import blocks, column, id_text, mix, spread, stage
+from casebook.llm.common import blocks, column, id_text, mix, own_name, spread, stage, tidy
 
 LENGTH = 200
 GRAM = 40
@@ -248,7 +248,7 @@ def runs_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                      pa.array([data[r["p"]:r["p"] + r["n"] - 1 + LENGTH] for r in runs], pa.binary())], ["h", "c", "n", "run"])
 
     # Repeated rows yield a run more than once.
-    return found.mapInArrow(run, PARTS).dropDuplicates(["h", "c"])
+    return found.mapInArrow(tidy(run), PARTS).dropDuplicates(["h", "c"])
 
 
 REPEATS = "h long, c long, low int, high int"
@@ -295,7 +295,7 @@ def sort_parts(runs: DataFrame) -> DataFrame:
         if held:
             yield ready(True)
 
-    return runs.repartition("h").sortWithinPartitions("h", "c").mapInArrow(run, REPEATS)
+    return runs.repartition("h").sortWithinPartitions("h", "c").mapInArrow(tidy(run), REPEATS)
 
 
 def count_windows(runs: DataFrame) -> DataFrame:
@@ -308,7 +308,7 @@ def count_windows(runs: DataFrame) -> DataFrame:
                     [pa.array([h] * n, pa.int64()), pa.array([c] * n, pa.int64()), pa.array(range(n), pa.int32()),
                      pa.array([xxhash.xxh3_128_digest(data[i:i + LENGTH]) for i in range(n)], pa.binary())], ["h", "c", "i", "window"])
 
-    windows = runs.mapInArrow(run, "h long, c long, i int, window binary")
+    windows = runs.mapInArrow(tidy(run), "h long, c long, i int, window binary")
     twice = windows.groupBy("window").agg(F.count(F.lit(1)).alias("k_")).where("k_ > 1").select("window")
     return windows.join(twice, "window").select("h", "c", F.col("i").alias("low"), F.col("i").alias("high"))
 
@@ -375,7 +375,7 @@ def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
                                              ["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
 
     found = with_spans(docs, repeated_spans(docs)).select("doc_id", "text", "spans")
-    return found.mapInArrow(run, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
+    return found.mapInArrow(tidy(run), "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
 
 
 def inside_characters(data: bytes, cuts: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -395,19 +395,21 @@ def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     """The rows, with all their columns, less the whole characters that repeated strings
     cover; ``length_col``, where there is one, is brought up to date."""
     docs = keyed_texts(documents, id_col, text_col)
-    spans = repeated_spans(docs).select(F.col("doc_id").alias("s_id__"), F.col("t").alias("s_t__"), F.col("spans").alias("spans__"))
-    on = documents[id_col].eqNullSafe(F.col("s_id__")) & (F.xxhash64(F.coalesce(documents[text_col], F.lit(""))) == F.col("s_t__"))
-    joined = documents.join(spans, on, "left").drop("s_id__", "s_t__")
+    mine = own_name(documents.columns, "spans__")
+    spans = repeated_spans(docs).select(F.col("doc_id").alias(own_name(documents.columns, "id__")), F.col("t").alias(own_name(documents.columns, "t__")), F.col("spans").alias(mine))
+    its_id, its_t = spans.columns[:2]
+    on = F.col(f"`{id_col}`").eqNullSafe(F.col(its_id)) & (F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))) == F.col(its_t))
+    joined = documents.join(spans, on, "left").drop(its_id, its_t)
 
     def run(batches):
-        for batch in batches:
+        for table in blocks(batches, text_col, BLOCK_BYTES):
             texts = []
-            for text, cuts in zip(batch.column(text_col).to_pylist(), batch.column("spans__").to_pylist()):
+            for text, cuts in zip(column(table, text_col).to_pylist(), column(table, mine).to_pylist()):
                 if cuts:
                     data = text.encode()
                     text = kept_bytes(data, inside_characters(data, merged(cuts))).decode()
                 texts.append(text)
-            table = pa.Table.from_batches([batch]).drop_columns(["spans__"])
+            table = table.drop_columns([mine])
             new = pa.array(texts, pa.string())
             table = table.set_column(table.schema.get_field_index(text_col), text_col, new)
             if length_col in table.schema.names:
@@ -415,7 +417,7 @@ def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str =
                 table = table.set_column(at, length_col, pc.utf8_length(new).cast(table.schema.field(at).type))
             yield from table.to_batches()
 
-    return joined.mapInArrow(run, documents.schema)
+    return joined.mapInArrow(tidy(run), documents.schema)
 
 
 def digests(documents: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import numpy as np
 from conftest import SF_SMALL
 
 import corpus_pipeline
-from casebook.llm import jaccard, topk, warc
+from casebook.llm import jaccard, suffix_dedup, topk, warc
 from casebook.llm.common import stage
 from casebook.llm.queries import QUERIES
 
@@ -66,11 +66,25 @@ def test_pipeline(spark):
     odd = spark.createDataFrame([(None, None, None, None, None), (1, "", "en", "s", 0), (1, "", "en", "s", 0), (2, "a b", "en", "s", 3)], "doc_id long, text string, lang string, source string, n_chars long")
     for name, function in corpus_pipeline.STAGES:
         odd = stage(function(spark, odd, SF_SMALL), "test")
-    assert odd.count() == 3
+    assert odd.count() == 4  # rows without a word are linked with nothing: both of id 1 stay
 
 
 def test_pipeline_keeps_rows_without_id_and_shingles(spark):
     rows = [(None, None, "a"), (None, "", "b"), (None, "", "b"), (None, " ", "c"), (None, " ", "d"), (1, "", "e"), (1, "", "e"), (2, "p q r s t u", "f"), (3, "p q r s t u", "g")]
     got = jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 5, 80)
     assert got.columns == ["doc_id", "text", "lang"]
-    assert sorted(r.lang for r in got.collect()) == ["a", "b", "b", "c", "d", "e", "f"]
+    assert sorted(r.lang for r in got.collect()) == ["a", "b", "b", "c", "d", "e", "e", "f"]
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Columns named like the stages' own come through with their values; so do no rows."""
+    names = ["d", "t", "row", "d__", "t__", "empty__", "row__", "spans__", "spans___", "id__", "cid", "key", "first"]
+    text = "a passage of some words that is long enough to stay as it is " * 6
+    rows = [(i, "%d %s" % (i, text), *[f"{n}{i}" for n in names]) for i in (1, 2, 3)] + [(4, None, *names)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    kept = jaccard.one_of_each(df, 5, 80)
+    assert kept.columns == df.columns and sorted(map(tuple, kept.collect())) == [rows[0], rows[3]]
+    cut = suffix_dedup.remove_repeats(df)
+    assert cut.columns == df.columns and sorted(tuple(r)[2:] for r in cut.collect()) == sorted(r[2:] for r in rows)
+    for stage_ in (lambda t: jaccard.one_of_each(t, 5, 80), suffix_dedup.remove_repeats):
+        assert stage_(df.limit(0)).collect() == []
