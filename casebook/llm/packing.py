@@ -16,16 +16,19 @@ repeated rows are packed one by one; an empty table packs into nothing.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from casebook.llm.common import blocks, column, id_text, spread, stage, word_lists
+from casebook.llm.common import blocks, column, id_text, spread, stage, tidy, word_lists
 
 CAPACITY = 4096
 END_ID = 1
@@ -35,7 +38,7 @@ NODE_LIMIT = 2000  # search nodes before the best packing found is taken, at lea
 LEAVES = 4  # and so many for each distinct length: a step mostly uses up one
 FILLINGS = 24  # fillings tried for one bin
 STEPS_A_FILLING = 50  # and steps to find each of them
-WORDS_HELD = 300_000  # words whose ids a task keeps
+WORDS_HELD = 800_000  # words whose ids a task keeps
 ENCODED_AT_ONCE = 4_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -50,14 +53,29 @@ def load_tokenizer(data: str):
     return Tokenizer.from_str(data)
 
 
+# Small Latin letters alone, or marks alone: nothing to normalise or to cut, so the
+# tokenizer's model can be asked directly.
+ALONE = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[.,;:!?]*").fullmatch
+
+
 class WordIds:
     """Ids of words, each word encoded once as long as it is held. What is held is
     bounded: beyond ``WORDS_HELD`` words all are given up, and encoded anew when met."""
 
     def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        of_bytes = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.letters = str.maketrans({c: of_bytes(c)[0][0] for c in map(chr, range(0xDF, 0x100))})
         self.clear()
 
+    def encode(self, words: list[str]) -> list[list[int]]:
+        alone = [ALONE(w) is not None for w in words]
+        got = iter(self.tokenizer.encode_batch_fast([w for w, a in zip(words, alone, strict=True) if not a], add_special_tokens=False))
+        tokens = self.model.tokenize
+        return [[t.id for t in tokens(w if w.isascii() else w.translate(self.letters))] if a else next(got).ids for w, a in zip(words, alone, strict=True)]
+
     def clear(self) -> None:
         self.place: dict[str, int] = {}
         self.ends, self.ids = [np.zeros(1, np.int64)], []
@@ -70,14 +88,33 @@ class WordIds:
         new = [w for w in words if w not in place]
         for i in range(0, len(new), ENCODED_AT_ONCE):
             some = new[i:i + ENCODED_AT_ONCE]
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            got = self.encode(some)
             place.update(zip(some, range(len(place), len(place) + len(some)), strict=True))
             self.ends.append(self.ends[-1][-1] + np.cumsum(np.fromiter(map(len, got), np.int64, len(got))))
-            self.ids.append(np.fromiter((t for ids in got for t in ids), np.int64))
+            self.ids.append(np.array(list(chain.from_iterable(got)), np.uint32))
         self.ends, self.ids = [np.concatenate(self.ends)], [np.concatenate(self.ids)] if self.ids else []
-        at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+        at = np.array(list(map(place.__getitem__, words)), np.int64)
         ends = self.ends[0]
-        return ends[at + 1] - ends[at], ends[at], self.ids[0] if self.ids else np.zeros(0, np.int64)
+        return ends[at + 1] - ends[at], ends[at], self.ids[0] if self.ids else np.zeros(0, np.uint32)
+
+
+# Latin letters, then marks at the end: the tokenizer lower-cases the letters one by one and
+# takes letters and marks apart, so both parts can be encoded alone.
+PLAIN = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[.,;:!?]*)$"
+
+
+def word_ids(words: pa.Array, held: WordIds) -> tuple[np.ndarray, np.ndarray]:
+    """(number of ids per word, the ids of all words in order). Words that differ only in
+    capitals and in marks at the end share what is encoded."""
+    found = pc.extract_regex(words, PLAIN)
+    plain = found.is_valid()
+    stems = pc.if_else(plain, pc.utf8_lower(pc.struct_field(found, "letters")), words)
+    marks = pc.if_else(plain, pc.struct_field(found, "marks"), "")
+    coded = pa.concat_arrays([stems, marks]).dictionary_encode()
+    n, at, ids = held.of(coded.dictionary.to_pylist())
+    both = np.asarray(coded.indices).astype(np.int64).reshape(2, -1).T.ravel()  # each word's two parts
+    lens = n[both]
+    return lens.reshape(-1, 2).sum(axis=1), ids[spread(lens, at[both])]
 
 
 def cut_pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
@@ -91,7 +128,8 @@ def cut_pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACI
         held = WordIds(load_tokenizer(data.value))
         for table in blocks(batches, "text", BLOCK_BYTES):
             ends, codes, words = word_lists(column(table, "text"))
-            n, at, ids = held.of(words.to_pylist())
+            n, ids = word_ids(words, held)
+            at = np.cumsum(n) - n
             per_word = n[codes]
             token_ends = np.concatenate([[0], np.cumsum(per_word)])[np.concatenate([[0], ends])]
             # each document's ids with the end mark after them
@@ -107,7 +145,7 @@ def cut_pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACI
             yield pa.RecordBatch.from_arrays([column(table, "doc_id").take(pa.array(rows)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc)],
                                              ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return id_text(documents).mapInArrow(run, PIECES)
+    return id_text(documents).mapInArrow(tidy(run), PIECES)
 
 
 # The search
