@@ -99,7 +99,8 @@ def ftrl(rows: list[tuple[np.ndarray, int]]) -> Model:
 
 
 def is_held_out(doc_id):
-    return F.pmod(F.crc32(doc_id.cast("string")), F.lit(5)) == 0
+    """Never null: a null id has no label to learn from and isn't held out."""
+    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(5)) == 0, F.lit(False))
 
 
 def train(documents: DataFrame, labels: DataFrame) -> Model:

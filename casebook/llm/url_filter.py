@@ -2,7 +2,9 @@
 
 URLs that a rule accepts or rejects train two smoothed variable-order Markov models
 over characters. A URL that no rule fits is judged by the difference of the two
-log-likelihoods per character, against a threshold calibrated on the ruled URLs.
+log-likelihoods per character. The threshold comes from ruled URLs that a second pair
+of models, trained without them, has scored: a quarter of the distinct URLs, by hash. The
+models that trained on a URL would score it too far from the other class.
 
 All work is DataFrame functions. Counts are kept by the n-gram itself, in tables that
 grow with the distinct n-grams: every position has one n-gram of each length and the
@@ -10,10 +12,14 @@ shorter ones are its ends, so one pass counts the longest and the others are sum
 those. A URL's score joins its n-grams with the log-ratios; each distinct URL is scored
 once.
 
-Defined results: a null URL or one without ``://`` has empty host and path, fits no
-rule and has no characters to judge, so its score is 0 and it is allowed; when either
-class has no URL, no model can be built and every unruled URL is allowed. Rows are
-judged one by one, so repeated rows and null ids keep their own result.
+Defined results: a null URL or one without ``://`` has empty host and path and is no
+address: its score is 0 and it is allowed. One with ``://`` but an empty host
+(``file:///a``) fits no rule and is judged by the models. When either class has no URL, no
+model can be built and every unruled URL is allowed; when either has none held out, the
+scores of the URLs trained on set the threshold. Rows are judged one by one, so repeated
+rows and null ids keep their own result; an empty table gives no rows. A very long URL is a
+row for each character while it is scored, and no more in memory than one n-gram array.
+Only the two named columns are read, so further columns of any name change nothing.
 """
 
 from __future__ import annotations
@@ -27,6 +33,7 @@ from casebook.llm.common import stage
 
 ORDERS = (1, 2, 3, 4, 5)  # n-gram lengths; the longest seen one predicts
 SMOOTHING = 4.0  # weight of the shorter context's prediction
+FOLDS = 4  # one of them is held out to set the threshold
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -86,6 +93,18 @@ def url_grams(judged: DataFrame) -> DataFrame:
             .groupBy("u1", "u2", "gram", "acc", "rej").agg(F.count(F.lit(1)).alias("n")))
 
 
+def held_out(u1: str = "u1") -> Column:
+    """Whether a distinct URL, by its hash, takes no part in training the second models."""
+    return F.pmod(F.col(u1), F.lit(FOLDS)) == 0
+
+
+def gram_counts(grams: DataFrame, training: Column) -> DataFrame:
+    """``gram, acc, rej``: uses of each n-gram by the URLs of ``training``; n-grams of other
+    URLs are there with 0."""
+    uses = lambda c: F.sum(F.when(training, F.col("n") * F.col(c)).otherwise(0))
+    return grams.groupBy("gram").agg(uses("acc").alias("acc"), uses("rej").alias("rej"))
+
+
 def log_ratios(counts: DataFrame) -> DataFrame:
     """``gram, ratio`` for every longest n-gram: ln p(char | context), accepted less
     rejected, in thousandths (whole numbers make a score independent of the order of
@@ -131,11 +150,38 @@ def calibrated_threshold(scored: DataFrame) -> Column:
     return F.lit(s.select(weighed.alias("t")).first()[0]).cast("double")
 
 
+def ruled(scored: DataFrame) -> DataFrame:
+    """``accepted`` and ``lm_score`` of the rows that a rule decides."""
+    return scored.where(F.col("ruled_as").isNotNull()).select("lm_score", (F.col("ruled_as") == "allow").alias("accepted"))
+
+
+def held_out_threshold(scored: DataFrame, grams: DataFrame) -> Column:
+    """From ruled URLs that the models which score them here haven't seen; null where either
+    class has none. Only n-grams of the URLs in question and of those trained on are kept."""
+    asked = held_out() & (F.col("acc") + F.col("rej") > 0)
+    training = ~held_out() & (F.col("acc") + F.col("rej") > 0)
+    counts = stage(gram_counts(grams.where(asked | training), training), "url-held-out-counts")
+    scores = lm_scores(grams.where(asked), log_ratios(counts))
+    return calibrated_threshold(ruled(scored.drop("lm_score").where(held_out()).join(scores, ["u1", "u2"])))
+
+
+def score_urls(judged: DataFrame) -> tuple[DataFrame, Column]:
+    """The rows with ``lm_score`` in place of ``lm_text``, and the threshold. ``ruled_as`` says
+    how a row trains the models: allow, block, or (null) not at all."""
+    judged = judged.withColumns({"u1": F.xxhash64("lm_text"), "u2": F.xxhash64(F.lit(1), "lm_text")})
+    grams = stage(url_grams(judged), "url-ngrams")
+    counts = stage(gram_counts(grams, F.lit(True)), "url-counts")
+    scored = judged.drop("lm_text").join(lm_scores(grams, log_ratios(counts)), ["u1", "u2"], "left")
+    scored = stage(scored.withColumn("lm_score", F.coalesce("lm_score", F.lit(0.0))), "url-scored")
+    return scored, F.coalesce(held_out_threshold(scored, grams), calibrated_threshold(ruled(scored)))
+
+
 def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``page_id, host, path, rule, verdict, lm_score``: the longest fitting rule's
     verdict, else the language models'."""
     url = F.col(f"`{url_col}`").cast("string")
-    judged = pages.select(F.col(f"`{id_col}`").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"), F.coalesce(url, F.lit("")).alias("lm_text"))
+    judged = pages.select(F.col(f"`{id_col}`").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"), F.coalesce(url, F.lit("")).alias("lm_text"),
+                          F.coalesce(F.instr(url, "://") > 0, F.lit(False)).alias("is_url"))
     judged = judged.withColumn("rule", longest_rule(F.col("host"), F.col("path"), rules))
     by_text = {r.text: r.verdict for r in rules}
     ruled_as = F.lit(None).cast("string")
@@ -143,14 +189,8 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         ruled_as = F.when(F.col("rule") == text, F.lit(verdict)).otherwise(ruled_as)
     judged = judged.withColumn("ruled_as", ruled_as)
 
-    judged = judged.withColumns({"u1": F.xxhash64("lm_text"), "u2": F.xxhash64(F.lit(1), "lm_text")})
-
-    grams = stage(url_grams(judged), "url-ngrams")
-    counts = stage(grams.groupBy("gram").agg(F.sum(F.col("n") * F.col("acc")).alias("acc"), F.sum(F.col("n") * F.col("rej")).alias("rej")), "url-counts")
-    scored = judged.drop("lm_text").join(lm_scores(grams, log_ratios(counts)), ["u1", "u2"], "left").drop("u1", "u2")
-    scored = stage(scored.withColumn("lm_score", F.coalesce("lm_score", F.lit(0.0))), "url-scored")
-    threshold = calibrated_threshold(scored.where(F.col("rule").isNotNull()).select("lm_score", (F.col("ruled_as") == "allow").alias("accepted")))
-    lm_score = F.when(F.col("host") == "", 0.0).otherwise(F.col("lm_score"))
+    scored, threshold = score_urls(judged)
+    lm_score = F.when(F.col("is_url"), F.col("lm_score")).otherwise(0.0)
     # Without both classes the threshold is null: allow.
-    by_model = F.when((F.col("host") != "") & (F.col("lm_score") < threshold), "block").otherwise("allow")
+    by_model = F.when(F.col("is_url") & (F.col("lm_score") < threshold), "block").otherwise("allow")
     return scored.select("page_id", "host", "path", "rule", F.coalesce("ruled_as", by_model).alias("verdict"), lm_score.alias("lm_score"))

@@ -197,9 +197,10 @@ def round_trip(pages: DataFrame) -> DataFrame:
 SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
      q AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha256(html) AS payload_digest,
-                  min(page_id) OVER (PARTITION BY html) AS first_id FROM p)
+                  row_number() OVER same AS place, first_value(page_id) OVER same AS first_id
+           FROM p WINDOW same AS (PARTITION BY html ORDER BY page_id NULLS LAST))
 SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN first_id END AS refers_to
+       CASE WHEN payload_bytes >= 100 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND place > 1 THEN first_id END AS refers_to
 FROM q
 """

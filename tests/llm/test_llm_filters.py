@@ -193,3 +193,34 @@ def test_url_model_is_exact(spark):
     got = QUERIES["op10_url_filter"](spark, sf).collect()
     assert len(got) == len(urls)
     assert max(abs(r.lm_score - want[urls[r.page_id]]) for r in got if r.host) < 0.001
+
+
+def test_unseen_urls_of_either_class_are_told_apart(spark):
+    """Rules hidden for odd page ids: their URLs are judged by models that never saw them."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").where("url is not null")
+    host, path = url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url"))
+    rule = url_filter.longest_rule(host, path)
+    truth = F.when(rule.isin([r.text for r in url_filter.RULES if r.verdict == "allow"]), "allow").when(rule.isNotNull(), "block")
+    judged = pages.select("page_id", F.col("url").alias("lm_text"), truth.alias("truth")).withColumn("ruled_as", F.when(F.col("page_id") % 2 == 0, F.col("truth")))
+    scored, threshold = url_filter.score_urls(judged)
+    got = scored.where("page_id % 2 = 1 and truth is not null").select("truth", F.when(F.col("lm_score") < threshold, "block").otherwise("allow").alias("said")).collect()
+    for kind in ("allow", "block"):
+        own = [r.said == kind for r in got if r.truth == kind]
+        assert sum(own) >= 0.97 * len(own), (kind, sum(own), len(own))
+
+
+def test_urls_without_host_and_long_ones(spark):
+    allow = [f"http://a{i}.org/good/page/{i}" for i in range(60)]
+    block = [f"http://b{i}.com/de/zzzz/qqqq/{i}" for i in range(60)]
+    odd = ["file:///de/zzzz/qqqq/7", "file:///good/page/7", "http://x.net/" + "de/zzzz/qqqq/" * 2000, "no scheme", None, ""]
+    rows = [(i, u, 1) for i, u in enumerate([*allow, *block, *odd, odd[0]])]
+    got = {r.page_id: r for r in url_filter.judge_urls(spark.createDataFrame(rows, "page_id long, url string, lm_score int")).collect()}
+    assert len(got) == len(rows)
+    said = [got[120 + i].verdict for i in range(7)]
+    assert said == ["block", "allow", "block", "allow", "allow", "allow", "block"]
+    assert got[120].host == "" and got[120].path == "/de/zzzz/qqqq/7" and got[120].rule is None
+
+
+def test_null_id_is_not_held_out(spark):
+    got = spark.createDataFrame([(None,), (1,)], "doc_id long").select(toxicity.is_held_out(F.col("doc_id")).alias("h")).collect()
+    assert got[0].h is False and got[1].h is not None
