@@ -12,9 +12,10 @@ The boundary is the largest size at which enumerating subsets costs no more than
 scanning lists does. Rarity is a count over the whole corpus in a table of fixed size.
 
 A list that thousands of near copies share would give all their pairs. Instead its
-members are first held against a few pivots; members that a verified link already
-connects need no further pair, and at the end every pair of a list between different
-components is verified, which leaves no link out that could join two components. No
+members are first held against a few pivots, of which the first have the fewest n-grams
+of their own; members that a verified link already connects need no further pair, and at
+the end every pair of a list between different components that its bounds allow is
+verified, which leaves no link out that could join two components. No
 list, set or component is ever gathered in one task or on the driver.
 
 Defined results: null and empty texts, and texts without words, have an empty set and
@@ -195,12 +196,25 @@ def shared_lists(lists: DataFrame, percent: int) -> DataFrame:
     return lists.withColumn("near_", near).where("near_").drop("near_")
 
 
+def with_live(lists: DataFrame, percent: int) -> DataFrame:
+    """``live``: how many of the n-grams that a set must scan are, from this one on, found
+    in another set's list. ``lone``: how many of its whole scan are found in none."""
+    from_here = F.row_number().over(Window.partitionBy("cid").orderBy(F.desc("place"), F.desc("token")))
+    counted = lists.withColumn("live", from_here.cast("long"))
+    scanned = F.col("size") - F.floor((F.col("size") * percent + 99) / 100) + 1
+    return counted.withColumn("lone", scanned - F.count(F.lit(1)).over(Window.partitionBy("cid")))
+
+
 def compatible(a: str, b: str, percent: int, boundary: int) -> Column:
     """Whether two members of a list can be linked: sizes, and for n-grams what can still
-    be shared from their first common one on; one of them above the boundary."""
-    sa, sb, pa_, pb = (F.col(f"{x}.{y}") for y in ("size", "place") for x in (a, b))
+    be shared from their first common one on; one of them above the boundary.
+
+    What both scan from here on is live in both; of the set whose scan ends at the more
+    common n-gram, what comes after its scan may be shared too, and nothing else."""
+    sa, sb, pa_, pb, la, lb = (F.col(f"{x}.{y}") for y in ("size", "place", "live") for x in (a, b))
     sizes = F.least(sa, sb) * 100 >= F.greatest(sa, sb) * percent
-    most = F.least(sa - pa_, sb - pb)
+    unscanned = F.floor((F.greatest(sa, sb) * percent + 99) / 100) - 1
+    most = F.least(sa - pa_, sb - pb, F.least(la, lb) + unscanned)
     heavy = (F.greatest(sa, sb) > boundary) & (most * (100 + percent) >= (sa + sb) * percent)
     return sizes & F.when(pa_ < 0, F.lit(True)).otherwise(heavy)
 
@@ -212,8 +226,10 @@ def _pairs(left: DataFrame, right: DataFrame, percent: int, boundary: int) -> Da
 
 
 def pivot_pairs(lists: DataFrame, percent: int, boundary: int, salt: int) -> DataFrame:
-    """Members against a few of their list, chosen by a hash (another in each round)."""
-    rank = F.row_number().over(Window.partitionBy("token").orderBy(F.xxhash64("cid", F.lit(salt))))
+    """Members against a few of their list: first those with the fewest n-grams of their
+    own, as the origin of many near copies has, then by a hash (another in each round)."""
+    by_hash = F.xxhash64("cid", F.lit(salt))
+    rank = F.row_number().over(Window.partitionBy("token").orderBy(*(["lone", by_hash] if salt == 0 else [by_hash])))
     pivots = lists.withColumn("rank_", rank).where(F.col("rank_") <= PIVOTS).drop("rank_")
     return _pairs(pivots, lists, percent, boundary)
 
@@ -310,19 +326,21 @@ def jaccard_components(documents: DataFrame, n: int, percent: int, id_col: str =
     classes = classes.select("key", F.col("first.doc_id").alias("first_id"), F.col("first.t").alias("first_t"), "size", "tokens")
     classes = stage(classes.withColumn("cid", F.monotonically_increasing_id()), "join-classes")
 
-    heavy = stage(shared_lists(heavy_lists(classes, percent), percent), "join-lists")
+    heavy = stage(with_live(shared_lists(heavy_lists(classes, percent), percent), percent), "join-lists")
     lengths = heavy.groupBy("token").agg(F.count(F.lit(1)).alias("n")).agg(F.sum(F.col("n") * F.col("n")).alias("squares"), F.sum("n").alias("n")).first()
     boundary = choose_boundary((lengths["squares"] or 0) / max(lengths["n"] or 0, 1), percent)
-    lists = heavy.unionByName(stage(shared_lists(light_lists(classes, boundary, percent), percent), "join-subsets"))
+    subsets = shared_lists(light_lists(classes, boundary, percent), percent)
+    lists = heavy.unionByName(stage(subsets.withColumns({"live": F.lit(0).cast("long"), "lone": F.lit(0).cast("long")}), "join-subsets"))
 
     members = lists.select("cid").distinct()
     wanted = stage(classes.join(members, "cid").select("cid", "key", "first_id", "first_t"), "join-members")
     sets = stage(sets_of(docs, wanted, n), "join-sets")
     comps = wanted.select("cid", F.col("cid").alias("comp"))
 
-    seen = None
+    seen, still = None, lists.withColumn("comp", F.col("cid"))
     for step in range(ROUNDS + 1):
-        still = stage(open_lists(lists, comps), "join-open")
+        if step:  # a list that has closed stays so
+            still = stage(open_lists(still.drop("comp"), comps), "join-open")
         pairs = pivot_pairs(still, percent, boundary, step) if step < ROUNDS else crossing_pairs(still, percent, boundary)
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")

@@ -101,6 +101,29 @@ def test_components(spark, n, percent):
     assert sorted(map(tuple, got.collect()), key=str) == brute_components(rows, n, percent)
 
 
+@pytest.mark.parametrize("percent", [85, 70])
+def test_long_near_copies(spark, percent, monkeypatch):
+    rng = random.Random(9)
+    origins = [[f"v{rng.randrange(400)}" for _ in range(rng.randint(60, 200))] for _ in range(3)]
+    rows = []
+    for i in range(400):
+        w = list(origins[0] if i < 300 else rng.choice(origins))
+        for _ in range(rng.randint(0, 9)):
+            w[rng.randrange(len(w))] = f"own{rng.randrange(2000)}"
+        rows.append((i, " ".join(w[rng.randint(0, 8):])))
+    tried, write = [], jaccard.stage
+
+    def counted(df, name):
+        out = write(df, name)
+        tried.extend([out.count()] if name == "join-pairs" else [])
+        return out
+
+    monkeypatch.setattr(jaccard, "stage", counted)
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 4, percent).drop("t")
+    assert sorted(map(tuple, got.collect()), key=str) == brute_components(rows, 4, percent)
+    assert sum(tried) < 40 * len(rows)  # 45,000 pairs share a list
+
+
 def test_boundary_follows_cost():
     assert jaccard.choose_boundary(1.0, 85) < jaccard.choose_boundary(1000.0, 85) <= jaccard.SMALL
 
