@@ -9,7 +9,9 @@ class; only classes are joined. Candidate lists come in two kinds:
   few that a linked pair can't avoid.
 
 The boundary is the largest size at which enumerating subsets costs no more than
-scanning lists does. Rarity is a count over the whole corpus in a table of fixed size.
+scanning lists does. Rarity is a count over the whole corpus, in a table of hash cells
+that grows with the bytes of text up to ``MAX_CELLS`` (a byte each where it is broadcast);
+it steers which n-grams are scanned, never which pairs are found.
 
 A list that thousands of near copies share would give all their pairs. Instead its
 members are first held against a few pivots, of which the first have the fewest n-grams
@@ -40,8 +42,9 @@ from pyspark.sql import functions as F
 from casebook.llm.common import blocks, column, id_text, mix, spread, stage, tidy, word_lists
 
 BLOCK_BYTES = 4 << 20
-CELLS = 1 << 20  # of the rarity table, for any input size
-CELL_PARTS = 64
+CELL_BYTES = 64  # of text for each cell of the rarity table
+CELL_PARTS = 256
+MIN_CELLS, MAX_CELLS = 1 << 20, 1 << 25
 SMALL = 24  # sets up to this size keep all their n-grams for subset enumeration
 PIVOTS = 4  # per list and round
 ROUNDS = 2  # of pivots, before all pairs left are verified
@@ -74,39 +77,58 @@ def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(np.bincount(doc[new], minlength=len(ends))), grams[new]
 
 
-def _cell(grams: np.ndarray) -> np.ndarray:
-    return (grams & np.uint64(CELLS - 1)).astype(np.int64)
+def cells_for(n_bytes: int) -> int:
+    """Cells of the rarity table for a corpus of so many bytes, in whole parts."""
+    wanted = min(max(n_bytes // CELL_BYTES, MIN_CELLS), MAX_CELLS)
+    return -(-wanted // CELL_PARTS) * CELL_PARTS
+
+
+def _cell(grams: np.ndarray, cells: int) -> np.ndarray:
+    return (((grams >> np.uint64(32)) * np.uint64(cells)) >> np.uint64(32)).astype(np.int64)
+
+
+def graded(counts: np.ndarray) -> np.ndarray:
+    """Counts as bytes in the same order: exact to 127, then eighths of a doubling."""
+    high = 128 + np.minimum(8 * (np.log2(np.maximum(counts, 128)) - 7), 127)
+    return np.where(counts < 128, counts, high).astype(np.uint8)
 
 
 def rarity(docs: DataFrame, n: int) -> np.ndarray:
-    """How many documents' n-grams fall into each of ``CELLS`` cells, over all documents."""
-    width = CELLS // CELL_PARTS
+    """How many documents' n-grams fall into each cell, over all documents, graded."""
+    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    cells = cells_for(n_bytes)
+    width = cells // CELL_PARTS
 
-    packed = lambda x: zlib.compress(x.astype("<i8").tobytes(), 1)
-    unpacked = lambda b: np.frombuffer(zlib.decompress(b), "<i8")
+    packed = lambda x, kind: zlib.compress(x.astype(kind).tobytes(), 1)
+    unpacked = lambda b, kind: np.frombuffer(zlib.decompress(b), kind)
 
     def count(batches):
-        total = np.zeros(CELLS, np.int64)
+        total = np.zeros(cells, np.uint32)
         for table in blocks(batches, "text", BLOCK_BYTES):
             _, grams = shingle_sets(column(table, "text"), n)
-            total += np.bincount(_cell(grams), minlength=CELLS)
-        yield pa.RecordBatch.from_arrays([pa.array(range(CELL_PARTS), pa.int32()), pa.array([packed(x) for x in total.reshape(CELL_PARTS, width)], pa.binary())], ["part", "counts"])
-
-    def add(key, table):
-        total = np.zeros(width, np.int64)
-        for x in column(table, "counts"):
-            total += unpacked(x.as_py())
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([packed(total)], pa.binary())})
-
-    counted = docs.select("text").mapInArrow(count, "part int, counts binary")
+            np.add.at(total, _cell(grams, cells), 1)
+        for part, x in enumerate(total.reshape(CELL_PARTS, width)):
+            if x.any():
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([packed(x, "<u4")], pa.binary())], ["part", "counts"])
+
+    def adder(finish, kind):
+        def add(key, table):
+            total = np.zeros(width, np.int64)
+            for x in column(table, "counts"):
+                total += unpacked(x.as_py(), "<u4")
+            return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([packed(finish(total), kind)], pa.binary())})
+        return add
+
+    counted = docs.select("text").mapInArrow(tidy(count), "part int, counts binary")
     # Two levels: 64 tasks' parts are added first, so that few meet in the second.
     lane = F.floor(F.spark_partition_id() / 64)
-    first = counted.withColumn("lane", lane).groupBy("part", "lane").applyInArrow(add, "part int, counts binary")
-    parts = first.groupBy("part").applyInArrow(add, "part int, counts binary").collect()  # CELLS numbers
-    cells = np.zeros((CELL_PARTS, width), np.int64)
+    capped = lambda x: np.minimum(x, (1 << 32) - 1)
+    first = counted.withColumn("lane", lane).groupBy("part", "lane").applyInArrow(adder(capped, "<u4"), "part int, counts binary")
+    parts = first.groupBy("part").applyInArrow(adder(graded, "u1"), "part int, counts binary").collect()  # at most MAX_CELLS bytes
+    table = np.zeros((CELL_PARTS, width), np.uint8)
     for r in parts:
-        cells[r["part"]] = unpacked(r["counts"])
-    return cells.ravel()
+        table[r["part"]] = unpacked(r["counts"], "u1")
+    return table.ravel()
 
 
 def set_key(grams: np.ndarray) -> bytes:
@@ -116,13 +138,13 @@ def set_key(grams: np.ndarray) -> bytes:
 def signatures(docs: DataFrame, n: int, percent: int, cells: np.ndarray) -> DataFrame:
     """``doc_id, t, key, size, tokens``: the set's digest, its size and the n-grams whose
     lists it must scan, rarest first (all of them for small sets)."""
-    shared = docs.sparkSession.sparkContext.broadcast(np.minimum(cells, (1 << 20) - 1).astype(np.int32))  # CELLS numbers
+    shared = docs.sparkSession.sparkContext.broadcast(cells)  # at most MAX_CELLS bytes
 
     def run(batches):
         for table in blocks(batches, "text", BLOCK_BYTES):
             ends, grams = shingle_sets(column(table, "text"), n)
             # The count leads and the hash follows: one order of all n-grams everywhere.
-            ranked = (shared.value[_cell(grams)].astype(np.uint64) << np.uint64(43)) | (grams >> np.uint64(21))
+            ranked = (shared.value[_cell(grams, len(shared.value))].astype(np.uint64) << np.uint64(55)) | (grams >> np.uint64(9))
             keys, sizes, tokens, a = [], [], [], 0
             for e in ends:
                 own = grams[a:e]

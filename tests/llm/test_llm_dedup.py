@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_SMALL
 
@@ -128,6 +129,23 @@ def test_boundary_follows_cost():
     assert jaccard.choose_boundary(1.0, 85) < jaccard.choose_boundary(1000.0, 85) <= jaccard.SMALL
 
 
+def test_rarity_grows_with_the_text(spark, monkeypatch):
+    sizes = [jaccard.cells_for(n) for n in (0, 10**8, 10**9, 10**13)]
+    assert sizes == sorted(set(sizes)) and sizes[0] == jaccard.MIN_CELLS and sizes[-1] == jaccard.MAX_CELLS
+    assert not any(c % jaccard.CELL_PARTS for c in sizes)
+    grades = jaccard.graded(np.arange(1 << 20)).astype(int)
+    assert (np.diff(grades) >= 0).all() and (grades[:128] == np.arange(128)).all() and grades.max() < 256
+    monkeypatch.setattr(jaccard, "MIN_CELLS", 512)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(["a b c d e", "b c d e", None, "z"] * 50)], "doc_id long, text string").repartition(5)
+    want = np.zeros(512, np.int64)
+    for text in ["a b c d e", "b c d e", "z"] * 50:
+        _, grams = jaccard.shingle_sets(pa.array([text]), 4)
+        np.add.at(want, jaccard._cell(grams, 512), 1)
+    assert (jaccard.rarity(df, 4) == jaccard.graded(want)).all()
+    empty = jaccard.jaccard_components(df.limit(0), 4, 85)
+    assert empty.count() == 0 and empty.columns == ["doc_id", "n_shingles", "component_id", "t"]
+
+
 def test_op4_query_and_empty(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted(map(tuple, QUERIES["op4_jaccard_join"](spark, SF_SMALL).collect()), key=str) == brute_components(rows, 4, 85)
