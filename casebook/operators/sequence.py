@@ -31,16 +31,18 @@ def first_last_by(df: DataFrame, key, order, value, which: str = "first",
 
     ``ties="break"``: one row per key; ties on ``order`` go to the smallest (first) or
     largest (last) ``value``. ``ties="all"``: every row tied on the first/last
-    ``order`` (deduplicated), via a ``rank`` filter that Spark limits per task before
-    the shuffle.
+    ``order`` (deduplicated). The distinct rows meet each key's first order again by
+    (key, order), a join that AQE broadcasts or splits where one key's first day is huge.
     """
     keys, order, values = as_list(key), as_list(order), as_list(value)
     if ties == "all":
-        o = [F.col(c).asc() if which == "first" else F.col(c).desc() for c in order]
-        w = Window.partitionBy(*keys).orderBy(*o)
-        # distinct first: a key's many rows alike become one before the window gathers them
-        return (df.select(*keys, *order, *values).distinct().withColumn("_rk", F.rank().over(w))
-                  .filter(F.col("_rk") == 1).drop("_rk"))
+        rows = df.select(*keys, *order, *values).distinct()
+        at = F.struct(*order)
+        # min_by, as the distinct rows then stay one exchange for both branches
+        found = rows.groupBy(*keys).agg((F.min_by if which == "first" else F.max_by)(at, at).alias("_at"))
+        found = found.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[F.col(f"_at.{c}").alias(f"_o{i}") for i, c in enumerate(order)])
+        same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)] + [F.col(c).eqNullSafe(F.col(f"_o{i}")) for i, c in enumerate(order)]
+        return rows.join(found, same, "left_semi")
     picked = df.groupBy(*keys).agg(_pick(order, values, which).alias("_p"))
     return picked.select(*keys, *[F.col(f"_p.{c}").alias(c) for c in order + values])
 

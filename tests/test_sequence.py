@@ -108,3 +108,26 @@ def test_hot_customer_is_split_across_tasks(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     cols = ["customer_id", "sub_seq", "prev_plan_id", "next_plan_id", "next_start_date"]
     assert rows(plain, *cols) == rows(split, *cols)
+
+
+def test_all_ties_of_a_hot_first_day(spark):
+    df = spark.range(40_000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id") % 500).alias("k"),
+        F.when(F.col("id") % 2 == 0, F.lit("2024-01-01")).otherwise(F.lit("2024-01-02")).cast("date").alias("d"), F.col("id").alias("v"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tied = SQ.first_last_by(df, "k", "d", "v", ties="all")
+        sizes = sorted(r["count"] for r in tied.where("k = 7").groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert sum(sizes) == 20_000 and len(sizes) >= 4 and sizes[-1] <= 3 * sizes[len(sizes) // 2]
+
+
+def test_all_ties_with_nulls(spark):
+    data = [(None, 1, "a"), (None, 1, "b"), (None, 2, "c"), (1, None, "d"), (1, None, "d"), (1, 5, "e"), (2, 3, None), (2, 3, "f"), (2, 4, "g")]
+    df = spark.createDataFrame(data, "k int, o int, v string")
+    first = sorted(map(tuple, SQ.first_last_by(df, "k", "o", "v", ties="all").collect()), key=str)
+    last = sorted(map(tuple, SQ.first_last_by(df, "k", "o", "v", which="last", ties="all").collect()), key=str)
+    assert first == sorted([(None, 1, "a"), (None, 1, "b"), (1, None, "d"), (2, 3, None), (2, 3, "f")], key=str)
+    assert last == sorted([(None, 2, "c"), (1, 5, "e"), (2, 4, "g")], key=str)
