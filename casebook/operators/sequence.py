@@ -37,10 +37,10 @@ def first_last_by(df: DataFrame, key, order, value, which: str = "first",
     keys, order, values = as_list(key), as_list(order), as_list(value)
     if ties == "all":
         rows = df.select(*keys, *order, *values).distinct()
-        at = F.struct(*order)
-        # min_by, as the distinct rows then stay one exchange for both branches
-        found = rows.groupBy(*keys).agg((F.min_by if which == "first" else F.max_by)(at, at).alias("_at"))
-        found = found.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[F.col(f"_at.{c}").alias(f"_o{i}") for i, c in enumerate(order)])
+        o = [F.col(c).asc() if which == "first" else F.col(c).desc() for c in order]
+        # a task keeps one row a key before the shuffle, so no key's rows are gathered
+        one = rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*o))).filter(F.col("_rn") == 1)
+        found = one.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
         same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)] + [F.col(c).eqNullSafe(F.col(f"_o{i}")) for i, c in enumerate(order)]
         return rows.join(found, same, "left_semi")
     picked = df.groupBy(*keys).agg(_pick(order, values, which).alias("_p"))
