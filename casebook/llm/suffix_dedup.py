@@ -38,6 +38,7 @@ from casebook.llm.common import blocks, column, id_text, mix, own_name, spread,
 LENGTH = 200
 GRAM = 40
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
+PLACE_BITS = 21  # of a gram's hash give way to its place when the smallest is looked for
 BLOCK_BYTES = 1 << 20
 SORT_BYTES = 1 << 20  # bytes sorted at once; a part of one anchor hash stays whole
 CROWD = 20_000  # different runs of one anchor hash that are still sorted in one part
@@ -67,18 +68,22 @@ def gram_hashes(data: np.ndarray, powers: tuple[np.ndarray, np.ndarray]) -> np.n
 
 
 def leftmost_minima(h: np.ndarray, width: int) -> np.ndarray:
-    """Position of the leftmost smallest value in each window of ``width`` values."""
-    value, at, size = h, np.arange(len(h), dtype=np.int64), 1
-
-    def better(v, a, step, n):
-        left, right = v[:n], v[step:step + n]
-        take = right < left
-        return np.where(take, right, left), np.where(take, a[step:step + n], a[:n])
-
-    while 2 * size <= width:
-        value, at = better(value, at, size, len(value) - size)
-        size *= 2
-    return better(value, at, width - size, len(h) - width + 1)[1]
+    """Position of the smallest value, by the bits above ``PLACE_BITS``, in each window of
+    ``width`` values; the leftmost of equals."""
+    out = np.zeros(max(len(h) - width + 1, 0), np.int64)
+    step = (1 << PLACE_BITS) - width
+    low = np.uint64((1 << PLACE_BITS) - 1)
+    for a in range(0, len(out), step):  # value and place in one number, so places must fit
+        part = h[a:a + step + width - 1]
+        v = (part & ~low) | np.arange(len(part), dtype=np.uint64)
+        size = 1
+        while size < width:  # the smallest of ``size`` values; at last of ``width``
+            more = min(size, width - size)
+            v = np.minimum(v[:-more], v[more:])
+            size += more
+        out[a:a + step] = (v & low).view(np.int64)
+        out[a:a + step] += a
+    return out
 
 
 def anchors_of(data: np.ndarray, starts: np.ndarray, lens: np.ndarray, powers) -> tuple[np.ndarray, ...]:
@@ -126,18 +131,16 @@ def anchors(keyed: DataFrame) -> DataFrame:
 # Suffix sorting
 
 def words_at(data: np.ndarray) -> np.ndarray:
-    """The eight bytes from each position on, as a number that sorts like them."""
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    out = np.zeros(len(data), np.uint64)
+    """The eight bytes from each position on, as a number that sorts like them; zeros
+    follow the end, over which ``LENGTH`` bytes may reach."""
+    padded = np.concatenate([data, np.zeros(LENGTH + 8, np.uint8)])
+    out = np.zeros(len(data) + LENGTH, np.uint64)
     for i in range(8):
-        out = (out << np.uint64(8)) | padded[i:i + len(data)].astype(np.uint64)
+        out <<= np.uint64(8)
+        out |= padded[i:i + len(out)]
     return out
 
 
-def _at(words: np.ndarray, pos: np.ndarray) -> np.ndarray:
-    return np.where(pos < len(words), words[np.minimum(pos, len(words) - 1)], np.uint64(0))
-
-
 def smaller_than_next(data: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than its successor (the end is smallest)."""
     step = np.zeros(len(data), np.int8)
@@ -147,27 +150,43 @@ def smaller_than_next(data: np.ndarray) -> np.ndarray:
     return step[np.minimum.accumulate(nonzero[::-1])[::-1]] > 0
 
 
+def by_group(group: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """The order by ``group``, which is ascending, and ``key``."""
+    order = np.argsort(key)
+    of = np.cumsum(np.diff(group, prepend=group[0]) != 0)
+    if of[-1] < 1 << 16:  # sorted by digits
+        of = of.astype(np.uint16)
+    return order[np.argsort(of[order], kind="stable")]
+
+
 def sort_directly(pos: np.ndarray, words: np.ndarray, depth: int) -> np.ndarray:
     """``pos`` by the ``depth`` bytes from there on: eight bytes at a time, and only
-    those still tied."""
-    pos = pos[np.argsort(words[pos], kind="stable")]
+    those still tied. Ties whose next bytes are all alike are in order already."""
     key = words[pos]
-    tied_with_last = np.zeros(len(pos), bool)
-    tied_with_last[1:] = key[1:] == key[:-1]
+    order = np.argsort(key)
+    pos, key = pos[order], key[order]
+    at, p = np.arange(len(pos)), pos  # places of what is tied, and what is there
+    like_last = np.zeros(len(pos), bool)  # tied with the one before
+    like_last[1:] = key[1:] == key[:-1]
     for d in range(8, depth, 8):
-        tied = tied_with_last.copy()
-        tied[:-1] |= tied_with_last[1:]
-        at = np.flatnonzero(tied)
+        tied = like_last.copy()
+        tied[:-1] |= like_last[1:]
+        at, p, like_last = at[tied], p[tied], like_last[tied]
         if not len(at):
             break
-        group = np.cumsum(~tied_with_last)[at]
-        key = _at(words, pos[at] + d)
-        order = np.lexsort((key, group))
-        pos[at] = pos[at][order]
-        key = key[order]
+        key = words[p + d]
         same = np.zeros(len(at), bool)
-        same[1:] = (group[1:] == group[:-1]) & (key[1:] == key[:-1])
-        tied_with_last[at] = same
+        same[1:] = key[1:] == key[:-1]
+        group = np.cumsum(~like_last) - 1
+        mixed = np.zeros(group[-1] + 1, bool)
+        mixed[group[like_last & ~same]] = True
+        some = np.flatnonzero(mixed[group])
+        if len(some):
+            order = some[by_group(group[some], key[some])]
+            p[some], key[some] = p[order], key[order]
+            pos[at[some]] = p[some]
+            same[1:] = key[1:] == key[:-1]
+        like_last &= same
     return pos
 
 
@@ -214,9 +233,9 @@ def repeated_windows(data: np.ndarray, valid: np.ndarray) -> np.ndarray:
     words = words_at(data)
     order = suffix_array(data, words, LENGTH)
     same = np.ones(len(order) - 1, bool)  # adjacent common prefix of LENGTH or more
-    for d in range(0, LENGTH, 8):
+    for d in reversed(range(0, LENGTH, 8)):  # most that differ somewhere do so at the end
         at = np.flatnonzero(same)
-        x, y = _at(words, order[at] + d), _at(words, order[at + 1] + d)
+        x, y = words[order[at] + d], words[order[at + 1] + d]
         if LENGTH - d < 8:
             keep = np.uint64(64 - 8 * (LENGTH - d))
             x, y = x >> keep, y >> keep

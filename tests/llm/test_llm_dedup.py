@@ -36,6 +36,34 @@ def test_suffix_array():
         assert suffix_dedup.suffix_array(d, suffix_dedup.words_at(d), 200).tolist() == sorted(range(len(b)), key=lambda i: b[i:])
 
 
+def test_suffixes_whose_next_bytes_are_alike_are_not_sorted_again(monkeypatch):
+    sorted_again = []
+    plain = suffix_dedup.by_group
+    monkeypatch.setattr(suffix_dedup, "by_group", lambda group, key: sorted_again.append(len(key)) or plain(group, key))
+    rng = random.Random(7)
+    copies = [rng.randbytes(1000)] * 30
+    d = np.frombuffer(b"".join(copies + [rng.randbytes(300)]), np.uint8)
+    hit = suffix_dedup.repeated_windows(d, np.arange(len(d)) <= len(d) - suffix_dedup.LENGTH)
+    assert np.flatnonzero(hit).tolist() == list(range(29_801))  # the last copy runs on into other bytes
+    assert sum(sorted_again) < len(d)  # 15,000 suffixes stay tied for 24 rounds
+
+
+def test_order_by_group():
+    rng = np.random.default_rng(8)
+    for groups in (1, 50, 100_000):
+        group, key = np.sort(rng.integers(0, groups, 150_000)), rng.integers(0, 1 << 63, 150_000).astype(np.uint64)
+        assert suffix_dedup.by_group(group, key).tolist() == np.lexsort((key, group)).tolist()
+
+
+@pytest.mark.parametrize("bits", [21, 9])
+def test_smallest_hash_of_each_window(monkeypatch, bits):
+    monkeypatch.setattr(suffix_dedup, "PLACE_BITS", bits)
+    h = np.random.default_rng(9).integers(0, 60, 3000).astype(np.uint64) << np.uint64(bits)  # many equal
+    for n, width in ((3000, 161), (161, 161), (160, 161), (700, 8), (0, 8)):
+        own = h[:n].tolist()
+        assert suffix_dedup.leftmost_minima(h[:n], width).tolist() == [min(range(i, i + width), key=own.__getitem__) for i in range(n - width + 1)]
+
+
 @pytest.mark.parametrize("crowd", [20_000, 3])
 def test_repeats(spark, monkeypatch, crowd):
     for name, value in (("LENGTH", 20), ("GRAM", 6), ("SORT_BYTES", 500), ("CROWD", crowd)):
