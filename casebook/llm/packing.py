@@ -32,7 +32,7 @@ from casebook.llm.common import blocks, column, id_text, spread, stage, tidy, wo
 
 CAPACITY = 4096
 END_ID = 1
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 8 << 20  # smaller ones hold less memory and look more words up
 SPLITS = 64  # parts of the numbering of one length
 NODE_LIMIT = 2000  # search nodes before the best packing found is taken, at least
 LEAVES = 4  # and so many for each distinct length: a step mostly uses up one
@@ -117,33 +117,40 @@ def word_ids(words: pa.Array, held: WordIds) -> tuple[np.ndarray, np.ndarray]:
     return lens.reshape(-1, 2).sum(axis=1), ids[spread(lens, at[both])]
 
 
-def cut_pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
+def pieces_of(table: pa.Table, held: WordIds, capacity: int) -> pa.RecordBatch:
+    """The pieces of one block. A function of its own, so that what a block needs is
+    given up before the next is read."""
+    ends, codes, words = word_lists(column(table, "text"))
+    n, ids = word_ids(words, held)
+    at = np.cumsum(n) - n
+    per_word = n[codes]
+    token_ends = np.concatenate([[0], np.cumsum(per_word)])[np.concatenate([[0], ends])]
+    # each document's ids with the end mark after them
+    flat = np.insert(ids[spread(per_word, at[codes])].astype("<u4"), token_ends[1:], np.uint32(END_ID))
+    lens = np.diff(token_ends) + 1
+    pieces = -(-lens // capacity)
+    rows = np.repeat(np.arange(len(lens)), pieces)
+    piece = spread(pieces, np.zeros(len(lens), np.int64))
+    start = piece * capacity
+    length = np.minimum(lens[rows] - start, capacity)
+    first = (np.cumsum(lens) - lens)[rows] + start
+    crc = np.fromiter((zlib.crc32(flat[a:a + n]) for a, n in zip(first.tolist(), length.tolist(), strict=True)), np.int64, len(rows))
+    return pa.RecordBatch.from_arrays([column(table, "doc_id").take(pa.array(rows)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc)],
+                                      ["doc_id", "piece", "start", "length", "ids_crc32"])
+
+
+def cut_pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, block_bytes: int | None = None) -> DataFrame:
     """One row per piece. The tokenizer drops white space and works on the words
     between it one by one (its special strings, which hold none, are found within them),
     so each distinct word of a task is encoded once."""
     with open(tokenizer_path, encoding="utf-8") as f:
         data = documents.sparkSession.sparkContext.broadcast(f.read())  # a vocabulary of fixed size
+    at_once = block_bytes or BLOCK_BYTES
 
     def run(batches):
         held = WordIds(load_tokenizer(data.value))
-        for table in blocks(batches, "text", BLOCK_BYTES):
-            ends, codes, words = word_lists(column(table, "text"))
-            n, ids = word_ids(words, held)
-            at = np.cumsum(n) - n
-            per_word = n[codes]
-            token_ends = np.concatenate([[0], np.cumsum(per_word)])[np.concatenate([[0], ends])]
-            # each document's ids with the end mark after them
-            flat = np.insert(ids[spread(per_word, at[codes])].astype("<u4"), token_ends[1:], np.uint32(END_ID))
-            lens = np.diff(token_ends) + 1
-            pieces = -(-lens // capacity)
-            rows = np.repeat(np.arange(len(lens)), pieces)
-            piece = spread(pieces, np.zeros(len(lens), np.int64))
-            start = piece * capacity
-            length = np.minimum(lens[rows] - start, capacity)
-            first = (np.cumsum(lens) - lens)[rows] + start
-            crc = np.fromiter((zlib.crc32(flat[a:a + n]) for a, n in zip(first.tolist(), length.tolist(), strict=True)), np.int64, len(rows))
-            yield pa.RecordBatch.from_arrays([column(table, "doc_id").take(pa.array(rows)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc)],
-                                             ["doc_id", "piece", "start", "length", "ids_crc32"])
+        for table in blocks(batches, "text", at_once):
+            yield pieces_of(table, held, capacity)
 
     return id_text(documents).mapInArrow(tidy(run), PIECES)
 
@@ -366,5 +373,5 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return ready.mapInArrow(run, PIECES + ", sequence_id long, offset long")
 
 
-def pack(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
-    return pack_pieces(stage(cut_pieces(documents, tokenizer_path, capacity), "pack-pieces"), capacity)
+def pack(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, block_bytes: int | None = None) -> DataFrame:
+    return pack_pieces(stage(cut_pieces(documents, tokenizer_path, capacity, block_bytes), "pack-pieces"), capacity)

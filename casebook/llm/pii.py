@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import blocks, column, id_text
+from casebook.llm.common import blocks, column, id_text, tidy
 
 KINDS = ("email", "ip", "card", "phone")
 ACCEPT = 0.9
@@ -241,7 +241,7 @@ def count_patterns(documents: DataFrame) -> dict[int, int]:
                     seen[c] = seen.get(c, 0) + 1
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int32()), pa.array(list(seen.values()), pa.int64())], ["code", "n"])
 
-    counted = id_text(documents).select("text").mapInArrow(run, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    counted = id_text(documents).select("text").mapInArrow(tidy(run), "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
     return {r["code"]: r["n"] for r in counted.collect()}  # at most 4 * 3**4 * 16 rows
 
 
@@ -295,7 +295,7 @@ def find_personal_data(documents: DataFrame, model: SpanModel) -> DataFrame:
             cols = [pa.array(c, t) for c, t in zip(zip(*out), types)]
             yield pa.RecordBatch.from_arrays([column(table, "doc_id"), *cols], ["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans"])
 
-    return id_text(documents).mapInArrow(run, FOUND)
+    return id_text(documents).mapInArrow(tidy(run), FOUND)
 
 
 def redact(text: str, model: SpanModel) -> str:
@@ -323,4 +323,4 @@ def redact_documents(documents: DataFrame, model: SpanModel, text_col: str = "te
                 table = table.set_column(field, length_col, pc.utf8_length(new).cast(table.schema.field(field).type))
             yield from table.to_batches()
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.mapInArrow(tidy(run), documents.schema)

@@ -22,14 +22,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import blocks, column, id_text, mix, word_lists
+from casebook.llm.common import blocks, column, id_text, mix, tidy, word_lists
 
 DIM = 1 << 20
 SAMPLE_PER_CLASS = {1: 3000, 0: 6000}  # at most so many labelled rows train the model
 STEM = 5
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 6.0, 1.0
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
@@ -103,6 +103,13 @@ def is_held_out(doc_id):
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(5)) == 0, F.lit(False))
 
 
+def training_rows(table: pa.Table) -> list[tuple[np.ndarray, int]]:
+    """(coordinates, label) of each row by ``order``; the coordinates stay in the table."""
+    features, labels = column(table, "features"), column(table, "toxic").to_pylist()
+    order = np.argsort(np.asarray(table.column("order")), kind="stable")
+    return [(np.frombuffer(features[i].as_buffer(), "<i4"), labels[i]) for i in order.tolist()]
+
+
 def train(documents: DataFrame, labels: DataFrame) -> Model:
     """Fit on at most ``SAMPLE_PER_CLASS`` rows of each class, the first by a hash of
     their id. The intercept is moved from the sample's odds to those of all labels."""
@@ -113,13 +120,10 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
         some = known.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         sample = some if sample is None else sample.unionByName(some)
     chosen = id_text(documents).join(F.broadcast(sample), "doc_id", "left_semi")  # bounded by the sample's size
-    sets = chosen.mapInArrow(feature_sets, "doc_id long, features binary").groupBy("doc_id").agg(F.min("features").alias("features"))
+    sets = chosen.mapInArrow(tidy(feature_sets), "doc_id long, features binary").groupBy("doc_id").agg(F.min("features").alias("features"))
 
     def fit(table: pa.Table) -> pa.Table:
-        order = np.argsort(np.asarray(table.column("order")), kind="stable")
-        rows = table.take(pa.array(order))
-        data = [(np.frombuffer(f, "<i4").astype(np.int64), y) for f, y in zip(rows.column("features").to_pylist(), rows.column("toxic").to_pylist())]
-        m = ftrl(data)
+        m = ftrl(training_rows(table))
         return pa.table({"index": [m.index.tobytes()], "weight": [m.weight.tobytes()], "intercept": [m.intercept]})
 
     fitted = (sets.join(F.broadcast(sample), "doc_id").select("features", "toxic", F.xxhash64("doc_id", F.lit("order")).alias("order"), F.lit(0).alias("one"))
@@ -151,7 +155,7 @@ def score_documents(documents: DataFrame, model: Model) -> DataFrame:
             s = scores(column(batch, "text"), w, model.intercept)
             yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(s)], ["doc_id", "score"])
 
-    return id_text(documents).mapInArrow(run, "doc_id long, score double")
+    return id_text(documents).mapInArrow(tidy(run), "doc_id long, score double")
 
 
 def drop_toxic(documents: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
@@ -163,4 +167,4 @@ def drop_toxic(documents: DataFrame, model: Model, text_col: str = "text", thres
             s = scores(column(table, text_col), w, model.intercept)
             yield from table.filter(pa.array(s < threshold)).to_batches()
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.mapInArrow(tidy(run), documents.schema)
